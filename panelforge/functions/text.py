@@ -9,6 +9,7 @@ from html.entities import name2codepoint
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 SPACES = r"(?U)\s+"
 TAG = r"<[^>]+>"
@@ -31,7 +32,7 @@ def collapse_spaces(value: Column) -> Column:
     return F.trim(F.regexp_replace(value, SPACES, " "))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Unicode NFC; Spark has no builtin, so whole Arrow batches go through one call."""
     return text.str.normalize("NFC")

@@ -80,10 +80,10 @@ def since(df: DataFrame, ts: str, as_of: Column, minutes: int) -> DataFrame:
     return df.filter(F.col(ts) >= as_of - F.expr(f"INTERVAL {minutes} MINUTES"))
 
 
-def hourly_trend(panel: DataFrame, hours: int) -> DataFrame:
+def hourly_trend(panel: DataFrame, hours: int, digits: int = 2) -> DataFrame:
     """Mean speed and jam per clock hour; hours without rows do not appear."""
     return within_lookback(panel, hours).groupBy("city", F.date_trunc("hour", "timestamp").cast("timestamp_ntz").alias("hour")).agg(
-        F.round(F.avg("currentSpeed"), 2).alias("avg_speed"), F.round(F.avg("jamFactor"), 2).alias("avg_jam_factor"),
+        F.round(F.avg("currentSpeed"), digits).alias("avg_speed"), F.round(F.avg("jamFactor"), digits).alias("avg_jam_factor"),
     )
 
 
