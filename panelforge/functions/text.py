@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 from html.entities import name2codepoint
 
@@ -18,6 +19,11 @@ IMAGE = r"""(?i)<img[^>]+src=["']([^"']+)["']"""
 MISSING_WORDS = ("", "none", "null", "nan")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times inside ``body`` (lambdas would recompute it)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def is_missing(value: Column) -> Column:
     """Null, or text that only says so."""
     return value.isNull() | F.lower(F.trim(value.cast("string"))).isin(*MISSING_WORDS)
@@ -40,18 +46,24 @@ def nfc(text: pd.Series) -> pd.Series:
 
 def decode_entities(value: Column) -> Column:
     """Named (Latin-1, symbols, Greek) and numeric HTML entities; unknown names stay as written."""
-    names = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
+    common = ("amp", "quot", "nbsp", "lt", "gt")
+    ordered = {name: name2codepoint[name] for name in (*common, *name2codepoint)}
+    names = F.create_map(*[F.lit(x) for name, code in ordered.items() for x in (name, chr(code))])
     pieces = F.split(value, r"(?=&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});)")
 
     def decode(piece: Column) -> Column:
-        body = F.regexp_extract(piece, r"^&(#?[A-Za-z0-9]+);", 1)
+        # Splitting leaves the entity at the start of its piece, closed by the first semicolon.
+        body = F.substring_index(F.substring_index(piece, ";", 1), "&", -1)
         rest = F.substring(piece, F.length(body) + 3, F.length(piece))
-        hexadecimal = F.conv(F.regexp_extract(body, r"^#[xX]([0-9a-fA-F]+)$", 1), 16, 10).cast("long")
-        number = F.coalesce(hexadecimal, F.regexp_extract(body, r"^#([0-9]+)$", 1).try_cast("long"))
+        digits = F.when(F.lower(F.substring(body, 2, 1)) == "x", F.conv(F.substring(body, 3, 6), 16, 10)).otherwise(
+            F.substring(body, 2, 7)
+        )
+        number = digits.try_cast("long")
         usable = number.between(1, 1114111) & ~number.between(55296, 57343)
         numeric = F.when(usable, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
-        char = F.coalesce(F.try_element_at(names, body), numeric)
-        return F.when((body != "") & char.isNotNull(), F.concat(char, rest)).otherwise(piece)
+        char = F.when(body.startswith("#"), numeric).otherwise(F.try_element_at(names, body))
+        starts = piece.startswith("&") & piece.contains(";")
+        return F.when(starts, F.coalesce(F.concat(char, rest), piece)).otherwise(piece)
 
     return F.when(value.contains("&"), F.concat_ws("", F.transform(pieces, decode))).otherwise(value)
 
@@ -113,7 +125,7 @@ def contains_any(text: Column, words: list[str]) -> Column:
 
 def first_contained(text: Column, words: list[str]) -> Column:
     """First word of the list, in list order, that the text contains."""
-    return F.get(F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(text, w)), 0)
+    return F.coalesce(*[F.when(text.contains(w), F.lit(w)) for w in words], F.lit(None))
 
 
 def first_label(text: Column, rules: dict[str, list[str]], order: list[str] | None = None) -> Column:

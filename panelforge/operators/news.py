@@ -27,7 +27,9 @@ def city_by_alias(text: Column, hint: Column, aliases: dict[str, list[str]]) ->
             for alias in words
         ]
     )
-    search = lambda hay: F.get(F.filter(table, lambda a: F.contains(tx.fold_accents(hay), a["key"])), 0)
+    search = lambda hay: tx.let(
+        tx.fold_accents(hay), lambda folded: F.get(F.filter(table, lambda a: F.contains(folded, a["key"])), 0)
+    )
     found = F.coalesce(search(tx.present(hint)), search(text))
     return F.when(found.isNotNull(), F.struct(found["city"].alias("city"), found["alias"].alias("alias")))
 
@@ -36,11 +38,12 @@ def place_names(text: Column, gazetteer: list[str]) -> Column:
     """Places of the gazetteer the text contains, longest name first."""
     ordered = sorted(dict.fromkeys(gazetteer), key=len, reverse=True)
     table = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(n.lower()).alias("key")) for n in ordered])
-    return F.transform(F.filter(table, lambda p: F.contains(F.lower(text), p["key"])), lambda p: p["name"])
+    found = tx.let(F.lower(text), lambda low: F.filter(table, lambda p: F.contains(low, p["key"])))
+    return F.transform(found, lambda p: p["name"])
 
 
 def named_city(text: Column, cities: dict[str, list[str]] = catalog.PLACE_CITIES) -> Column:
-    return tx.first_label(F.lower(text), cities)
+    return tx.let(F.lower(text), lambda low: tx.first_label(low, cities))
 
 
 def located_places(text: Column, hint: Column, gazetteer: list[str], cities: dict[str, list[str]], found: Column | None = None) -> Column:
@@ -51,7 +54,9 @@ def located_places(text: Column, hint: Column, gazetteer: list[str], cities: dic
     city = F.coalesce(named_city(text, cities), hint)
     every = [w for words in cities.values() for w in words]
     has_city = lambda p: tx.contains_any(F.lower(p), every)
-    return F.transform(places, lambda p: F.when(has_city(p) | city.isNull(), p).otherwise(F.concat_ws(", ", p, city)))
+    return tx.let(
+        city, lambda c: F.transform(places, lambda p: F.when(has_city(p) | c.isNull(), p).otherwise(F.concat_ws(", ", p, c)))
+    )
 
 
 def primary_place(text: Column, hint: Column, gazetteer: list[str], cities: dict[str, list[str]]) -> Column:
@@ -97,18 +102,21 @@ def geocode(df: DataFrame, gazetteer: DataFrame, place: str, city: str) -> DataF
 
 
 def event_type(text: Column, rules: dict[str, list[str]] = catalog.EVENT_TYPE_RULES) -> Column:
-    return F.coalesce(tx.first_label(F.lower(text), rules), F.lit("other"))
+    return tx.let(F.lower(text), lambda low: F.coalesce(tx.first_label(low, rules), F.lit("other")))
 
 
 def keyword_severity(text: Column, levels: dict[int, list[str]] = catalog.SEVERITY_WORDS) -> Column:
-    lowered = F.lower(text)
-    return F.coalesce(*[F.when(tx.contains_any(lowered, words), F.lit(level)) for level, words in levels.items()], F.lit(0))
+    level_of = lambda low: [F.when(tx.contains_any(low, words), F.lit(level)) for level, words in levels.items()]
+    return tx.let(F.lower(text), lambda low: F.coalesce(*level_of(low), F.lit(0)))
 
 
 def category_and_subtype(text: Column, rules: dict = catalog.EVENT_RULES) -> Column:
     """struct<category, subtype>: planning about infrastructure wins over everything unless works are active;
     active works come before the other categories."""
-    low = F.lower(text)
+    return tx.let(F.lower(text), lambda low: _classify(low, rules))
+
+
+def _classify(low: Column, rules: dict) -> Column:
     active = tx.first_contained(low, rules["active_roadwork"])
     planning = tx.first_contained(low, rules["planning"])
     pair = lambda category, subtype: F.struct(F.lit(category).alias("category"), subtype.alias("subtype"))
@@ -125,16 +133,19 @@ def category_and_subtype(text: Column, rules: dict = catalog.EVENT_RULES) -> Col
 
 
 def event_severity(category: Column, text: Column, rules: dict = catalog.EVENT_RULES) -> Column:
-    low = F.lower(text)
     planned = category.isin("infrastructure_planning", "roadwork_planned")
-    return (
-        F.when(category == "unrelated", 0)
-        .when(tx.contains_any(low, rules["fatal"]), 5)
-        .when(tx.contains_any(low, rules["severe"]), 4)
-        .when(tx.contains_any(low, rules["moderate"]), 3)
-        .when(planned & tx.contains_any(low, rules["early_plan"]), 1)
-        .otherwise(2)
-    )
+
+    def score(low: Column) -> Column:
+        return (
+            F.when(category == "unrelated", 0)
+            .when(tx.contains_any(low, rules["fatal"]), 5)
+            .when(tx.contains_any(low, rules["severe"]), 4)
+            .when(tx.contains_any(low, rules["moderate"]), 3)
+            .when(planned & tx.contains_any(low, rules["early_plan"]), 1)
+            .otherwise(2)
+        )
+
+    return tx.let(F.lower(text), score)
 
 
 def _by_category(category: Column, table: dict[str, float], default: float) -> Column:
@@ -146,7 +157,7 @@ def _by_category(category: Column, table: dict[str, float], default: float) -> C
 
 def relevance(category: Column, severity: Column, text: Column, rules: dict = catalog.EVENT_RULES) -> Column:
     base = _by_category(category, catalog.RELEVANCE_BASE, 0.0)
-    off_topic = tx.contains_any(F.lower(text), rules["off_topic"])
+    off_topic = tx.let(F.lower(text), lambda low: tx.contains_any(low, rules["off_topic"]))
     total = base + F.when(severity >= 4, 0.05).otherwise(0.0) - F.when(off_topic, 0.1).otherwise(0.0)
     return nm.clip(total, 0, 1)
 
@@ -161,7 +172,8 @@ def model_relevant(city: Column, category: Column, score: Column) -> Column:
 
 
 def keyword_relevant(title: Column, summary: Column, words: list[str] = catalog.TRAFFIC_WORDS) -> Column:
-    return tx.contains_any(F.lower(F.concat_ws(" ", title, F.coalesce(summary, F.lit("")))), words)
+    body = F.lower(F.concat_ws(" ", title, F.coalesce(summary, F.lit(""))))
+    return tx.let(body, lambda low: tx.contains_any(low, words))
 
 
 ARTICLE_LINKS = (r"-\d{5,}\.html?$", r"-\d{5,}\.vov$", r"-\d{9,}\.htm$")
@@ -281,7 +293,7 @@ def news_table(
             "source_domain": urls.domain(F.col("source_url")),
             "source_section": urls.section(F.col("source")),
             "_place": city_by_alias(full_text, F.col("city_hint"), aliases),
-            "_labels": tx.all_labels(tx.fold_accents(full_text), folded_hints),
+            "_labels": tx.let(tx.fold_accents(full_text), lambda folded: tx.all_labels(folded, folded_hints)),
             "ingestion_time_utc": tm.parse_utc(F.col("ingestion_time")),
         }
     )

@@ -1,4 +1,4 @@
 """Queries over the given tables, one per operator, with their SQL."""
 
 from workload.registry import ORACLES, QUERIES  # noqa: F401
-from workload import panel_queries, series_queries  # noqa: F401,E402
+from workload import panel_queries, series_queries, text_queries  # noqa: F401,E402

@@ -73,7 +73,7 @@ def main() -> int:
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    spark = get_session("check", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
+    spark = get_session("check", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:

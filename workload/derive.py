@@ -122,7 +122,7 @@ def raw_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("page_id")
     at = F.timestamp_seconds(F.lit(1704067200) + n * 1020)
     iso = lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    stamped = F.concat("url", F.lit("/tin-20240105"), F.lpad((n % 24).cast("string"), 2, "0"), F.lit("1530.htm"))
+    stamped = F.concat(F.regexp_extract("url", "^[^?#]*", 0), F.lit("/tin-20240105"), F.lpad((n % 24).cast("string"), 2, "0"), F.lit("1530.htm"))
     return pages.select(
         F.col("page_id").alias("record_id"),
         F.concat(F.lit("x"), (n % 200).cast("string")).alias("external_id"),
@@ -143,7 +143,7 @@ RAW_NEWS = """raw_news AS (
     CASE WHEN page_id % 2 = 0 THEN 'rss' ELSE 'html_listing' END AS provider,
     regexp_extract(html, '<title>(.*?)</title>', 1) AS title,
     CASE WHEN page_id % 7 = 0 THEN NULL WHEN page_id % 4 = 0 THEN '<img src="' || url || '">' || html ELSE html END AS summary,
-    CASE WHEN page_id % 10 = 1 THEN url || '/tin-20240105' || lpad((page_id % 24)::VARCHAR, 2, '0') || '1530.htm' ELSE url END AS source_url,
+    CASE WHEN page_id % 10 = 1 THEN regexp_extract(url, '^[^?#]*') || '/tin-20240105' || lpad((page_id % 24)::VARCHAR, 2, '0') || '1530.htm' ELSE url END AS source_url,
     CASE WHEN page_id % 5 = 0 OR page_id % 10 = 1 THEN NULL
       ELSE TIMESTAMP '2024-01-01' + to_seconds(page_id * 1020) END AS published_at,
     CASE page_id % 6 WHEN 0 THEN 'Hà Nội' WHEN 1 THEN 'none' END AS city_hint,
