@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelforge.functions import scoring as sc, text as tx, times as tm, urls
 from panelforge.operators import cluster as cl, news as nw
 from panelforge.plans import builds
+from panelforge.session import cut_lineage
 from panelforge.sources import readers as rd
 from workload import derive as dv
 from workload.registry import pick, query, tidy
@@ -404,7 +405,7 @@ COUNTS = lambda p, c, t="news": f"SELECT '{p}.' || coalesce({c}, 'missing'), cou
     UNION ALL SELECT 'top_sources_by_record_count.' || row_number() OVER (ORDER BY c DESC, source) || '.' || source, c::VARCHAR FROM src
     UNION ALL SELECT 'source_imbalance_notes', CASE WHEN max(c) / sum(c) >= 0.5 THEN 'dominant_source=' || arg_max(source, c) || ';share=' || printf('%.4f', max(c) / sum(c)) || ';review_source_mix_before_modeling' ELSE 'no_single_source_exceeds_50pct' END FROM src""")
 def news_quality_report(spark, sf):
-    return nw.news_report(news(spark, sf))
+    return nw.news_report(cut_lineage(news(spark, sf)))
 
 
 @query("top_sources", "SELECT 'top.' || row_number() OVER (ORDER BY c DESC, source) || '.' || source AS metric, c::VARCHAR AS value FROM (SELECT source, count(*) AS c FROM documents WHERE lang = 'en' GROUP BY source ORDER BY c DESC, source LIMIT 10)")
