@@ -1,14 +1,15 @@
 """Duplicate detection: URL keys, MinHash titles, SimHash content and the layered decision.
 
-All near-duplicate operators use one idea, ``elect_originals``: records are processed in id order, a
-record is an original unless an earlier original matches it, and only originals are ever compared
-with. Work inside a hash bucket is therefore members × originals - linear for a bucket that is one
-big group of copies - and a bucket never emits its pairs or gathers in one task.
+All near-duplicate operators use one idea, ``elect_originals``: records are processed in id order and a
+record is an original unless an earlier original matches it. A large hash bucket - one big group of
+copies, say - only compares its members with its originals, so its work stays linear, and no bucket
+is gathered in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -48,17 +49,17 @@ def token_codes(tokens: Column) -> Column:
 def minhash(tokens: Column, count: int = 125) -> Column:
     """Signature of a token set; null for the empty set."""
     family = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in permutations(count)])
-    codes = token_codes(tokens)
-    return F.when(
-        F.size(tokens) > 0,
-        F.transform(family, lambda p: F.array_min(F.transform(codes, lambda x: (x * p["a"] + p["b"]) % MERSENNE))),
+    lowest = lambda codes: F.transform(
+        family, lambda p: F.array_min(F.transform(codes, lambda x: (x * p["a"] + p["b"]) % MERSENNE))
     )
+    return F.when(F.size(tokens) > 0, tx.let(token_codes(tokens), lowest))
 
 
 def minhash_buckets(signature: Column, rows: int = 5, count: int = 125) -> Column:
     """Band keys. 25 bands of 5 rows find a pair of Jaccard 0.8 with probability 0.99995."""
-    bands = [F.concat_ws(":", F.lit(f"t{i}"), F.slice(signature, i * rows + 1, rows).cast("array<string>")) for i in range(count // rows)]
-    return F.array(*[F.xxhash64(b) for b in bands])
+    starts = range(1, count + 1, rows)
+    keys = lambda s: F.array(*[F.xxhash64(F.lit(f"t{i}"), *[s[i + j - 1] for j in range(rows)]) for i in starts])
+    return tx.let(signature, keys)
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -84,16 +85,20 @@ def simhash(df: DataFrame, key: str, text: str, window: int | None = 1000) -> Da
     return votes.select(key, packed.alias("simhash"))
 
 
-# The five bit bands. Two words at distance ≤ 4 agree on at least one of them.
-SIMHASH_BANDS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
+# Seven blocks of bits. Two words at distance ≤ 4 agree on at least three whole blocks, so the
+# combinations of three find every such pair, and a key of 27 or more bits hardly ever joins others.
+BLOCKS = [(0, 9), (9, 9), (18, 9), (27, 9), (36, 9), (45, 9), (54, 10)]
+SIMHASH_DISTANCE = 4
 
 
 def simhash_buckets(value: Column) -> Column:
+    def mask(blocks: tuple[tuple[int, int], ...]) -> int:
+        bits = sum(((1 << width) - 1) << start for start, width in blocks)
+        return bits - (1 << 64) if bits >= 1 << 63 else bits
+
+    choices = combinations(BLOCKS, len(BLOCKS) - SIMHASH_DISTANCE)
     return F.array(
-        *[
-            F.xxhash64(F.lit(f"c{i}"), F.shiftrightunsigned(value, start).bitwiseAND(F.lit((1 << width) - 1).cast("long")))
-            for i, (start, width) in enumerate(SIMHASH_BANDS)
-        ]
+        *[F.xxhash64(F.lit(f"c{i}"), value.bitwiseAND(F.lit(mask(c)).cast("long"))) for i, c in enumerate(choices)]
     )
 
 
@@ -104,38 +109,57 @@ def hamming(a: Column, b: Column) -> Column:
 # ---------------------------------------------------------------- election
 
 
+SMALL_BUCKET = 32
+
+
 def elect_originals(
     nodes: DataFrame, key: str, buckets: str, payload: list[str], score: Callable[[Callable, Callable], Column]
 ) -> DataFrame:
     """(key, original, score): original is null for originals, else the smallest matching original.
 
     ``score(a, b)`` gets two column lookups (earlier, later) and returns null for no match, else a value
-    to order matches by (lower first, ties by id). Each round makes every record an original that no
-    undecided earlier record shares a bucket with, and compares it with the rest of its buckets.
+    to order matches by (lower first, ties by id).
+
+    Buckets of at most ``SMALL_BUCKET`` members compare directly, which bounds the work per member.
+    Larger ones only ever offer their first open record: it blocks the rest of the bucket until it is
+    settled, and as an original it is compared once with every member. Rounds go on until all records
+    are settled, so no bucket is cut short whatever its size.
     """
     spread = cut_lineage(nodes.select(key, F.explode(F.array_distinct(buckets)).alias("_bucket")))
     facts = cut_lineage(nodes.select(key, *payload))
-    # A bucket of one record can never produce a match.
-    shared = spread.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_bucket")
-    member = cut_lineage(spread.join(shared, "_bucket", "left_semi"))
-    undecided = member.select(key).distinct()
+    left = facts.select(*[F.col(c).alias(f"_a_{c}") for c in (key, *payload)])
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """(key, _lead, _score) of the pairs that match."""
+        both = pairs.distinct().join(left, F.col("_lead") == F.col(f"_a_{key}")).join(facts, key)
+        scored = both.withColumn("_score", score(lambda c: F.col(f"_a_{c}"), lambda c: F.col(c)))
+        return cut_lineage(scored.filter(F.col("_score").isNotNull()).select(key, "_lead", "_score"))
+
+    sized = spread.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    member = spread.join(sized, "_bucket")
+    small = member.filter(F.col("_n") <= SMALL_BUCKET).select(key, "_bucket")
+    large = cut_lineage(member.filter(F.col("_n") > SMALL_BUCKET).select(key, "_bucket"))
+    earlier = small.select(F.col(key).alias("_lead"), "_bucket")
+    edges = verified(small.join(earlier, "_bucket").filter(F.col("_lead") < F.col(key)).select(key, "_lead"))
+
+    ends = edges.select(key).unionByName(edges.select(F.col("_lead").alias(key)))
+    undecided = cut_lineage(ends.unionByName(large.select(key)).distinct())
     matches = None
-    while True:
-        open_members = member.join(undecided, key, "left_semi")
-        heads = open_members.groupBy("_bucket").agg(F.min(key).alias("_head"))
-        leads = open_members.join(heads, "_bucket").groupBy(key).agg(F.min(F.col("_head") == F.col(key)).alias("_safe"))
-        leaders = cut_lineage(leads.filter("_safe").select(key))
-        if leaders.isEmpty():
-            break
-        # At most one new original per bucket: this join is as long as the bucket table.
-        offers = member.join(leaders, key, "left_semi").withColumnRenamed(key, "_lead")
-        pairs = member.join(offers, "_bucket").filter(F.col(key) > F.col("_lead")).select(key, "_lead").distinct()
-        left = facts.select(*[F.col(c).alias(f"_a_{c}") for c in (key, *payload)])
-        compared = pairs.join(left, pairs["_lead"] == left[f"_a_{key}"]).join(facts, key)
-        value = score(lambda c: F.col(f"_a_{c}"), lambda c: F.col(c))
-        hit = cut_lineage(compared.withColumn("_score", value).filter(F.col("_score").isNotNull()).select(key, "_lead", "_score"))
+    while not undecided.isEmpty():
+        open_leads = undecided.select(F.col(key).alias("_lead"))
+        waiting = edges.join(open_leads, "_lead", "left_semi").select(key)
+        open_large = large.join(undecided, key, "left_semi")
+        heads = open_large.groupBy("_bucket").agg(F.min(key).alias("_head"))
+        behind = open_large.join(heads, "_bucket").filter(F.col(key) > F.col("_head")).select(key)
+        leaders = cut_lineage(undecided.join(waiting.unionByName(behind), key, "left_anti"))
+        offers = leaders.select(F.col(key).alias("_lead"))
+        direct = edges.join(offers, "_lead", "left_semi")
+        # At most one new original per large bucket: this join is as long as the bucket table.
+        calls = large.join(leaders, key, "left_semi").withColumnRenamed(key, "_lead")
+        compared = verified(large.join(calls, "_bucket").filter(F.col(key) > F.col("_lead")).select(key, "_lead"))
+        hit = direct.unionByName(compared)
         matches = hit if matches is None else matches.unionByName(hit)
-        settled = leaders.unionByName(hit.select(key)).distinct()
+        settled = leaders.unionByName(hit.select(key))
         undecided = cut_lineage(undecided.join(settled, key, "left_anti"))
     ids = nodes.select(key)
     if matches is None:
@@ -163,8 +187,8 @@ def title_originals(
 
 def content_originals(df: DataFrame, key: str, text: str, distance: int = 4, window: int | None = 1000) -> DataFrame:
     """Original of every text by Hamming distance of its SimHash."""
-    if distance > len(SIMHASH_BANDS) - 1:
-        raise ValueError("the bands prove completeness only up to distance 4")
+    if distance > SIMHASH_DISTANCE:
+        raise ValueError(f"the buckets prove completeness only up to distance {SIMHASH_DISTANCE}")
     nodes = simhash(df, key, text, window).withColumn("_buckets", simhash_buckets(F.col("simhash")))
 
     def score(a, b):

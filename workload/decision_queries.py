@@ -14,7 +14,7 @@ from workload.series_queries import BASELINE, LAGGED
 C01 = lambda x: f"greatest(0.0::DOUBLE, least(1.0::DOUBLE, {x}))"
 # Context columns of the newest rows, derived from the row itself.
 CONTEXT = f"""{dv.PANEL}, ctx AS (SELECT *, (source_rows % 4)::DOUBLE * 9 AS weather_rain_1h, (source_rows % 3)::DOUBLE AS weather_severity, (source_rows % 2)::INTEGER AS has_rain,
-  (hour(time_bucket) % 8)::DOUBLE AS max_event_severity_1h, (hour(time_bucket) % 2)::DOUBLE AS accident_count_1h, (hour(time_bucket) % 3)::DOUBLE AS news_event_count_1h, currentSpeed * (50 + hour(time_bucket)) / 100.0::DOUBLE AS predicted_speed FROM panel),
+  (hour(time_bucket) % 8)::DOUBLE AS max_event_severity_1h, (hour(time_bucket) % 2)::DOUBLE AS accident_count_1h, (hour(time_bucket) % 3)::DOUBLE AS news_event_count_1h, currentSpeed * (51.3::DOUBLE + hour(time_bucket)) / 103.7::DOUBLE AS predicted_speed FROM panel),
 clatest AS (SELECT * FROM ctx QUALIFY row_number() OVER (PARTITION BY city, segment_id ORDER BY timestamp DESC) = 1)"""
 
 
@@ -24,7 +24,7 @@ def context(spark, sf):
         {
             "weather_rain_1h": (n % 4).cast("double") * 9, "weather_severity": (n % 3).cast("double"), "has_rain": (n % 2).cast("int"),
             "max_event_severity_1h": (h % 8).cast("double"), "accident_count_1h": (h % 2).cast("double"), "news_event_count_1h": (h % 3).cast("double"),
-            "predicted_speed": F.col("currentSpeed") * (h + 50) / 100.0,
+            "predicted_speed": F.col("currentSpeed") * (h + 51.3) / 103.7,
         }
     )
 

@@ -92,12 +92,12 @@ def error_quantiles(spark, sf):
     return tidy(ln.error_quantiles(carried(spark, sf), "y", "p", ["city"]))
 
 
-@query("skewed_quantiles", """SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE l_returnflag END AS g, """ + ", ".join(f"round(quantile_cont(l_extendedprice * (1 - l_discount), {q}), 4) + 0.0 AS p{round(q * 100):02d}" for q in (0.15, 0.5, 0.85)) + " FROM lineitem GROUP BY ALL")
+@query("skewed_quantiles", """SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE l_returnflag END AS g, """ + ", ".join(f"round(quantile_cont(l_extendedprice * (1 - l_discount), {q}), 6) + 0.0 AS p{round(q * 100):02d}" for q in (0.15, 0.5, 0.85)) + " FROM lineitem GROUP BY ALL")
 def skewed_quantiles(spark, sf):
     rows = dv.table(spark, sf, "lineitem").select(
         F.when(F.col("l_orderkey") % 3 == 0, "hot").otherwise(F.col("l_returnflag")).alias("g"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("v")
     )
-    return tidy(ql.exact_quantiles(rows, ["g"], "v", [0.15, 0.5, 0.85]), 4)
+    return tidy(ql.exact_quantiles(rows, ["g"], "v", [0.15, 0.5, 0.85]))
 
 
 WANTED = ["current_speed_kph", "jam_lag_1", "speed_ratio", "hour_sin", "rain_intensity_level", "event_type", "row_has_complete_lag_features", "pressure_trend", "corridor_code", "speed_lag_1", "local_hour"]
