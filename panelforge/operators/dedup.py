@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelforge import catalog
 from panelforge.functions import text as tx, urls
@@ -71,13 +71,13 @@ def simhash(df: DataFrame, key: str, text: str, window: int | None = 1000) -> Da
     """(key, simhash): bit votes of the md5 of every whitespace token of the text.
 
     ``window`` limits the text to its first characters as the classic setting does; None reads all.
-    Votes are summed with one aggregation over exploded tokens, so one huge text is spread as well.
+    Votes add up map-side: the shuffle carries 64 counters per text, not its tokens.
     """
     body = F.substring(F.col(text), 1, window) if window else F.col(text)
-    tokens = df.select(key, F.explode(tx.words(F.lower(body))).alias("t")).groupBy(key, "t").agg(F.count(F.lit(1)).alias("c"))
-    low = lambda start: F.conv(F.substring(F.md5("t"), start, 8), 16, 10).cast("long")
-    halves = tokens.withColumns({"_hi": low(17), "_lo": low(25)})
-    vote = lambda half, bit: F.sum(F.when(F.shiftrightunsigned(half, bit).bitwiseAND(F.lit(1)) == 1, F.col("c")).otherwise(-F.col("c")))
+    tokens = df.select(key, F.explode(tx.words(F.lower(body))).alias("t")).withColumn("_h", F.md5("t"))
+    low = lambda start: F.conv(F.substring("_h", start, 8), 16, 10).cast("long")
+    halves = tokens.select(key, low(17).alias("_hi"), low(25).alias("_lo"))
+    vote = lambda half, bit: F.sum(F.when(F.shiftrightunsigned(half, bit).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1))
     votes = halves.groupBy(key).agg(*[vote(F.col("_lo") if b < 32 else F.col("_hi"), b % 32).alias(f"b{b}") for b in range(64)])
     packed = F.lit(0).cast("long")
     for b in range(64):
@@ -109,7 +109,7 @@ def hamming(a: Column, b: Column) -> Column:
 # ---------------------------------------------------------------- election
 
 
-SMALL_BUCKET = 32
+HEADS = 32
 
 
 def elect_originals(
@@ -120,44 +120,52 @@ def elect_originals(
     ``score(a, b)`` gets two column lookups (earlier, later) and returns null for no match, else a value
     to order matches by (lower first, ties by id).
 
-    Buckets of at most ``SMALL_BUCKET`` members compare directly, which bounds the work per member.
-    Larger ones only ever offer their first open record: it blocks the rest of the bucket until it is
-    settled, and as an original it is compared once with every member. Rounds go on until all records
-    are settled, so no bucket is cut short whatever its size.
+    Buckets of at most ``HEADS`` members compare directly. Of a larger bucket only the first ``HEADS``
+    open records compare with each other in a round; they block the rest until they are settled, and
+    those that become originals are compared once with every member. Rounds go on until all records are
+    settled: no bucket is cut short, and each costs its members × originals, never its square.
     """
-    spread = cut_lineage(nodes.select(key, F.explode(F.array_distinct(buckets)).alias("_bucket")))
-    facts = cut_lineage(nodes.select(key, *payload))
+    nodes = cut_lineage(nodes.select(key, buckets, *payload))
+    facts = nodes.select(key, *payload)
     left = facts.select(*[F.col(c).alias(f"_a_{c}") for c in (key, *payload)])
 
     def verified(pairs: DataFrame) -> DataFrame:
         """(key, _lead, _score) of the pairs that match."""
         both = pairs.distinct().join(left, F.col("_lead") == F.col(f"_a_{key}")).join(facts, key)
         scored = both.withColumn("_score", score(lambda c: F.col(f"_a_{c}"), lambda c: F.col(c)))
-        return cut_lineage(scored.filter(F.col("_score").isNotNull()).select(key, "_lead", "_score"))
+        return scored.filter(F.col("_score").isNotNull()).select(key, "_lead", "_score")
+
+    def earlier(members: DataFrame) -> DataFrame:
+        """(key, _lead) of all pairs inside the buckets of ``members``, which are at most ``HEADS`` long."""
+        leads = members.select(F.col(key).alias("_lead"), "_bucket")
+        return members.join(leads, "_bucket").filter(F.col("_lead") < F.col(key)).select(key, "_lead")
 
+    spread = cut_lineage(nodes.select(key, F.explode(F.array_distinct(buckets)).alias("_bucket")))
     sized = spread.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     member = spread.join(sized, "_bucket")
-    small = member.filter(F.col("_n") <= SMALL_BUCKET).select(key, "_bucket")
-    large = cut_lineage(member.filter(F.col("_n") > SMALL_BUCKET).select(key, "_bucket"))
-    earlier = small.select(F.col(key).alias("_lead"), "_bucket")
-    edges = verified(small.join(earlier, "_bucket").filter(F.col("_lead") < F.col(key)).select(key, "_lead"))
+    small = member.filter(F.col("_n") <= HEADS).select(key, "_bucket")
+    large = cut_lineage(member.filter(F.col("_n") > HEADS).select(key, "_bucket"))
+    edges = cut_lineage(verified(earlier(small)))
 
     ends = edges.select(key).unionByName(edges.select(F.col("_lead").alias(key)))
     undecided = cut_lineage(ends.unionByName(large.select(key)).distinct())
+    # Spark applies the rank limit before the shuffle, so no bucket travels whole.
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
     matches = None
     while not undecided.isEmpty():
-        open_leads = undecided.select(F.col(key).alias("_lead"))
-        waiting = edges.join(open_leads, "_lead", "left_semi").select(key)
         open_large = large.join(undecided, key, "left_semi")
-        heads = open_large.groupBy("_bucket").agg(F.min(key).alias("_head"))
-        behind = open_large.join(heads, "_bucket").filter(F.col(key) > F.col("_head")).select(key)
-        leaders = cut_lineage(undecided.join(waiting.unionByName(behind), key, "left_anti"))
-        offers = leaders.select(F.col(key).alias("_lead"))
-        direct = edges.join(offers, "_lead", "left_semi")
-        # At most one new original per large bucket: this join is as long as the bucket table.
+        heads = open_large.withColumn("_rank", rank).filter(F.col("_rank") <= HEADS).drop("_rank")
+        last = heads.groupBy("_bucket").agg(F.max(key).alias("_last"))
+        behind = open_large.join(last, "_bucket").filter(F.col(key) > F.col("_last")).select(key)
+        open_leads = undecided.select(F.col(key).alias("_lead"))
+        waiting = edges.select(key, "_lead").join(open_leads, "_lead", "left_semi").select(key)
+        among = verified(earlier(heads)).select(key)
+        blocked = waiting.unionByName(behind).unionByName(among)
+        leaders = cut_lineage(undecided.join(blocked, key, "left_anti"))
+        direct = edges.join(leaders.select(F.col(key).alias("_lead")), "_lead", "left_semi")
         calls = large.join(leaders, key, "left_semi").withColumnRenamed(key, "_lead")
         compared = verified(large.join(calls, "_bucket").filter(F.col(key) > F.col("_lead")).select(key, "_lead"))
-        hit = direct.unionByName(compared)
+        hit = cut_lineage(direct.select(key, "_lead", "_score").unionByName(compared))
         matches = hit if matches is None else matches.unionByName(hit)
         settled = leaders.unionByName(hit.select(key))
         undecided = cut_lineage(undecided.join(settled, key, "left_anti"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 from pyspark.sql import types as T
 
 from panelforge.functions import geo, numeric as nm, text as tx, times as tm
+from panelforge.session import cut_lineage
 
 TRAFFIC_CRITICAL = {"has_null_speed": "currentSpeed", "has_null_timestamp": "event_time", "has_null_segment_id": "segment_id"}
 
@@ -184,8 +185,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, marks: list[floa
     if not keys:
         base, keys = base.withColumn("_all", F.lit(0)), ["_all"]
         return exact_quantiles(base, keys, "x", marks, bins).drop("_all")
-    counts = base.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
-    spread = base.groupBy(*keys).agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n"))
+    # Stored once: three later steps read the counts, and the input may be expensive to derive.
+    counts = cut_lineage(base.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c")))
+    spread = counts.groupBy(*keys).agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("c").alias("n"))
     positions = spread.select(
         *keys, "lo", "hi", "n",
         F.explode(F.array_distinct(F.flatten(F.array(*[
@@ -213,9 +215,11 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, marks: list[floa
         *keys, F.col("blo").alias("lo"), F.col("bhi").alias("hi"), (F.col("rank") - F.col("start")).alias("rank"),
         F.col("rank").alias("full"), "n",
     )
+    first = cut_lineage(first)
     second = locate(counts, first).select(
         *keys, F.col("blo").alias("lo"), F.col("bhi").alias("hi"), (F.col("rank") - F.col("start")).alias("rank"), "full", "n"
     )
+    second = cut_lineage(second)
     slivers = counts.join(second.select(*keys, "lo", "hi").distinct(), keys).filter(F.col("x").between(F.col("lo"), F.col("hi")))
     order = Window.partitionBy(*keys, "lo", "hi").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
     ranked = slivers.withColumn("start", F.coalesce(F.sum("c").over(order), F.lit(0)))

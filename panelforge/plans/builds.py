@@ -31,13 +31,18 @@ def gold_build(
     panel: DataFrame, weather: DataFrame, event_features: DataFrame | None = None, bucket_minutes: int = 5,
     horizons: tuple[int, ...] = ts.HORIZONS,
 ) -> DataFrame:
-    """Panel → features and targets. Lags and targets share one chunked window, so the wide table is
-    sorted once for offsets and once for gaps."""
-    base = ts.add_base_features(ts.add_time_features(panel, bucket_minutes))
+    """Panel → features and targets.
+
+    The panel is stored once, since offsets, weather matching and the baseline all read it. Lags and
+    targets share one chunked window: one shuffle and one sort for all of them.
+    """
+    base = cut_lineage(ts.add_base_features(ts.add_time_features(panel, bucket_minutes)))
     offsets = ts.exact_offsets(base, {**ts.lag_spec(bucket_minutes), **ts.target_spec(horizons)})
     lagged = ts.add_past_rolling(offsets.withColumns(ts.trend_columns())).withColumns(ts.target_flags(horizons))
-    with_weather = ft.add_weather(lagged, weather, max(bucket_minutes * 6, 30))
-    complete = ft.add_placeholders(ts.add_baseline(with_weather))
+    keys = [*pn.PANEL_KEYS, "weather_cell_id"]
+    matched = ft.add_weather(base.select(keys), weather, max(bucket_minutes * 6, 30)).drop("weather_cell_id")
+    with_weather = lagged.join(matched, pn.PANEL_KEYS)
+    complete = ft.add_placeholders(ts.add_baseline(with_weather, ts.percentile_baseline(base)))
     merged = complete if event_features is None else ft.merge_events(complete, event_features)
     return ft.tidy_numbers(merged)
 
