@@ -174,8 +174,17 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("_row")).select("_row.*")
 
 
-def latest_by_segment(df: DataFrame, city: str | None = None, ts: str = "timestamp") -> DataFrame:
-    """Newest row of every (city, segment) as a partial-aggregated ``max_by``; the bucket settles ties."""
+def latest_by_segment(
+    df: DataFrame, city: str | None = None, ts: str = "timestamp", columns: list[str] | None = None
+) -> DataFrame:
+    """Newest row of every (city, segment) as a partial-aggregated ``max_by``; the bucket settles ties.
+
+    ``columns`` names what is needed besides the keys: a packed row cannot be pruned afterwards, so
+    naming few columns keeps the scan and the shuffle narrow.
+    """
+    if columns is not None:
+        keep = ["city", "segment_id", ts, *[c for c in ("time_bucket",) if c in df.columns], *columns]
+        df = df.select(*dict.fromkeys(keep))
     if city:
         df = df.filter(F.col("city") == city)
     row = F.struct(*[F.col(c) for c in df.columns])

@@ -9,6 +9,19 @@ from panelforge.operators import graph as gr
 from panelforge.operators.panel import latest_by_segment
 
 
+METRICS = ["currentSpeed", "freeFlowSpeed", "jamFactor"]
+RISK_CONTEXT = [
+    "upstream_congestion_score", "weather_rain_1h", "weather_severity", "max_event_severity_1h", "accident_count_1h",
+    "news_event_count_1h",
+]
+
+
+def _newest(panel: DataFrame, city: str | None = None, extra: list[str] | None = None) -> DataFrame:
+    """Newest rows with the metrics and those of the extra columns that exist."""
+    wanted = [*METRICS, *[c for c in (extra or []) if c in panel.columns]]
+    return latest_by_segment(panel, city, columns=wanted)
+
+
 def _risk(df: DataFrame, predicted: Column | None = None, coverage: Column | None = None) -> Column:
     """Segment risk from whatever context columns the table carries."""
     have = set(df.columns)
@@ -23,7 +36,7 @@ def _risk(df: DataFrame, predicted: Column | None = None, coverage: Column | Non
 def city_status(panel: DataFrame) -> DataFrame:
     """Segments, mean speed, congested share, worst jam and newest time per city."""
     jam = F.col("jamFactor")
-    return latest_by_segment(panel).groupBy("city").agg(
+    return _newest(panel).groupBy("city").agg(
         F.countDistinct("segment_id").alias("total_segments"),
         F.round(F.avg("currentSpeed"), 2).alias("avg_speed"),
         F.round(F.avg(F.when(jam >= 3, 1.0).otherwise(0.0)), 4).alias("congestion_ratio"),
@@ -36,7 +49,7 @@ def city_status(panel: DataFrame) -> DataFrame:
 def dashboard_summary(panel: DataFrame) -> DataFrame:
     """Segments by jam band per city."""
     jam = F.col("jamFactor")
-    return latest_by_segment(panel).groupBy("city").agg(
+    return _newest(panel).groupBy("city").agg(
         F.countDistinct("segment_id").alias("monitored_segments"),
         F.count_if(jam >= 3).alias("active_alerts"),
         F.count_if(jam < 3).alias("free_flow_segments"),
@@ -52,7 +65,7 @@ def city_runtime(panel: DataFrame, cities: dict[str, bool]) -> DataFrame:
     """Online / offline and averages for a fixed list of cities and their switches."""
     spark = panel.sparkSession
     wanted = spark.createDataFrame(list(cities.items()), "city string, enabled boolean")
-    stats = latest_by_segment(panel).groupBy("city").agg(
+    stats = _newest(panel).groupBy("city").agg(
         F.countDistinct("segment_id").alias("segment_count"), F.max("timestamp").alias("latest_timestamp"),
         F.round(F.avg("currentSpeed"), 2).alias("avg_speed"), F.round(F.avg("jamFactor"), 2).alias("avg_jam_factor"),
     )
@@ -62,7 +75,7 @@ def city_runtime(panel: DataFrame, cities: dict[str, bool]) -> DataFrame:
 
 
 def segments_worst_first(panel: DataFrame, limit: int, city: str | None = None) -> DataFrame:
-    rows = latest_by_segment(panel, city).orderBy(F.desc("jamFactor"), "city", "segment_id").limit(limit)
+    rows = _newest(panel, city).orderBy(F.desc("jamFactor"), "city", "segment_id").limit(limit)
     return rows.select(
         "segment_id", "city", F.round("currentSpeed", 2).alias("current_speed"), F.round("freeFlowSpeed", 2).alias("free_flow_speed"),
         F.round("jamFactor", 2).alias("jam_factor"), "timestamp",
@@ -89,7 +102,7 @@ def hourly_trend(panel: DataFrame, hours: int, digits: int = 2) -> DataFrame:
 
 def active_alerts(panel: DataFrame, limit: int, severity: str | None = None, city: str | None = None) -> DataFrame:
     """Worst segments with jam ≥ 3, their severity, explanation and advice."""
-    rows = latest_by_segment(panel, city).filter(F.col("jamFactor") >= 3)
+    rows = _newest(panel, city, ["p50", *RISK_CONTEXT]).filter(F.col("jamFactor") >= 3)
     level = nm.jam_severity(F.col("jamFactor"))
     if severity:
         rows = rows.filter(level == severity)
@@ -130,7 +143,7 @@ def rule_alerts(predictions: DataFrame, as_of: Column, drop_overrides: bool = Tr
 
 def current_hotspots(panel: DataFrame, severity: str | None = None) -> DataFrame:
     """Congested segments grouped by the first twelve characters of their name."""
-    rows = latest_by_segment(panel).filter(F.col("jamFactor") >= 3)
+    rows = _newest(panel, extra=["segment_name", "lat", "lon"]).filter(F.col("jamFactor") >= 3)
     name = F.substring(F.coalesce("segment_name", "segment_id").cast("string"), 1, 12)
     lost = F.greatest(F.lit(0.0), F.col("freeFlowSpeed") - F.col("currentSpeed"))
     grouped = rows.groupBy("city", name.alias("cluster")).agg(
@@ -178,7 +191,7 @@ def with_reliability(predictions: DataFrame, horizon: str, as_of: Column) -> Dat
 def corridor_rank(panel: DataFrame, corridor: str = "district", limit: int = 10) -> DataFrame:
     """Corridors by mean segment risk."""
     column = corridor if corridor in panel.columns else "city"
-    scored = latest_by_segment(panel).withColumn("_risk", _risk(panel)["risk_score"])
+    scored = _newest(panel, extra=[column, *RISK_CONTEXT]).withColumn("_risk", _risk(panel)["risk_score"])
     ranked = scored.groupBy(F.col(column).alias("corridor_id")).agg(
         F.avg("_risk").alias("_score"), F.max("jamFactor").alias("_jam"), F.countDistinct("segment_id").alias("segment_count"),
     )
@@ -238,7 +251,7 @@ def scenario_impact(latest: DataFrame, scenarios: DataFrame, baseline_on_changed
 
 def map_segments(panel: DataFrame, viewport: tuple[float, float, float, float] | None, limit: int) -> DataFrame:
     """Live-map rows of the segments with a usable line inside the viewport."""
-    rows = latest_by_segment(panel).withColumn("points", geo.line_points(F.col("geometry"))).filter(F.col("points").isNotNull())
+    rows = _newest(panel, extra=["geometry"]).withColumn("points", geo.line_points(F.col("geometry"))).filter(F.col("points").isNotNull())
     if viewport:
         rows = rows.filter(geo.any_vertex_in(F.col("points"), viewport))
     ratio = nm.speed_ratio(F.col("currentSpeed"), F.col("freeFlowSpeed"))
@@ -253,7 +266,7 @@ def map_segments(panel: DataFrame, viewport: tuple[float, float, float, float] |
 
 def geojson_features(panel: DataFrame, limit: int = 250) -> DataFrame:
     """One GeoJSON feature per segment; a short line through the coordinate where there is no geometry."""
-    latest = latest_by_segment(panel)
+    latest = _newest(panel, extra=["lat", "lon", "geometry"])
     real = geo.line_points(F.col("geometry")) if "geometry" in panel.columns else F.lit(None)
     points = F.coalesce(real, geo.point_line(F.col("lat"), F.col("lon")))
     feature = F.struct(
@@ -274,7 +287,7 @@ def segment_detail(panel: DataFrame, segment_id: str) -> DataFrame:
 
 def upstream_chain(panel: DataFrame, size: int = 4) -> DataFrame:
     """Worst segments as a chain with status and synthetic distance."""
-    chain = gr.ranked_chain(latest_by_segment(panel), size, first=1)
+    chain = gr.ranked_chain(_newest(panel), size, first=1)
     return chain.select(
         "segment_id", F.round("currentSpeed", 2).alias("speed_kmh"), nm.corridor_status(F.col("jamFactor")).alias("status"), "distance_m"
     )
@@ -282,7 +295,7 @@ def upstream_chain(panel: DataFrame, size: int = 4) -> DataFrame:
 
 def propagation(panel: DataFrame, depth: int = 3) -> DataFrame:
     """Worst segments as a path with their risk and the mean risk of the path."""
-    chain = gr.ranked_chain(latest_by_segment(panel), depth + 1).withColumn("_r", _risk(panel))
+    chain = gr.ranked_chain(_newest(panel, extra=RISK_CONTEXT), depth + 1).withColumn("_r", _risk(panel))
     path = chain.select(
         "segment_id", "distance_m", F.round("jamFactor", 2).alias("jam_factor"), F.round("currentSpeed", 2).alias("current_speed"),
         F.col("_r.risk_score").alias("risk_score"), F.col("_r.risk_level").alias("risk_level"),
@@ -291,10 +304,10 @@ def propagation(panel: DataFrame, depth: int = 3) -> DataFrame:
 
 
 def segment_risks(panel: DataFrame) -> DataFrame:
-    return latest_by_segment(panel).withColumn("_r", _risk(panel)).select("city", "segment_id", "_r.*")
+    return _newest(panel, extra=RISK_CONTEXT).withColumn("_r", _risk(panel)).select("city", "segment_id", "_r.*")
 
 
 def dominant_source(panel: DataFrame, column: str) -> DataFrame:
     """Most frequent value among the newest rows, smallest of equals."""
-    counted = latest_by_segment(panel).groupBy(column).agg(F.count(F.lit(1)).alias("segments"))
+    counted = latest_by_segment(panel, columns=[column]).groupBy(column).agg(F.count(F.lit(1)).alias("segments"))
     return counted.orderBy(F.desc("segments"), column).limit(1)
