@@ -172,12 +172,6 @@ def window_aggregates(
     return kept.select(*by, grid_ts, *sums, *maxes)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast hint only when a counted prefix proves the table small; else Spark decides at run time."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def lookup(left: DataFrame, right: DataFrame, keys: list[str], defaults: dict[str, object]) -> DataFrame:
     """Left equi join with a default for every column a miss leaves null. AQE broadcasts or splits skew."""
     joined = left.join(right.select(*keys, *defaults), keys, "left")

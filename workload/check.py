@@ -58,7 +58,7 @@ def compare(spark, con, sf_dir: str, name: str) -> tuple[str, str]:
     a, b = rows_of(df.columns, got), rows_of(names, want)
     if a == b:
         return ("ok" if a else "EMPTY", note)
-    kinds = "" if len(a) != len(b) else ""
+    kinds = "row counts differ"
     for left, right in zip(a, b):
         if left != right:
             cols = sorted(names)

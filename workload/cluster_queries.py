@@ -26,10 +26,9 @@ walk(rn, leaders, id, original) AS (SELECT 0::BIGINT, []::BIGINT[], NULL::BIGINT
   UNION ALL SELECT o.rn, CASE WHEN list_has_any(o.e, w.leaders) THEN w.leaders ELSE list_append(w.leaders, o.id) END, o.id, list_min(list_intersect(o.e, w.leaders)) FROM walk w JOIN ordered o ON o.rn = w.rn + 1)"""
 
 TITLES = f"""tok AS (SELECT doc_id, list_sort(list_distinct({TOKENS})) AS t FROM documents), sets AS (SELECT t, min(doc_id) AS rep, list(doc_id) AS ids FROM tok WHERE len(t) > 0 GROUP BY t),
-simsets AS (SELECT x.ids AS xi, y.ids AS yi FROM sets x JOIN sets y ON len(x.t) >= 0.8 * len(y.t) AND len(y.t) >= 0.8 * len(x.t) AND (x.t[1] = y.t[1] OR true)
+simsets AS (SELECT x.ids AS xi, y.ids AS yi FROM sets x JOIN sets y ON len(x.t) >= 0.8 * len(y.t) AND len(y.t) >= 0.8 * len(x.t)
   WHERE len(list_intersect(x.t, y.t)) >= 0.8 * (len(x.t) + len(y.t) - len(list_intersect(x.t, y.t)))),
 titlenear AS (SELECT DISTINCT a, b FROM (SELECT unnest(xi) AS a, yi FROM simsets), LATERAL (SELECT unnest(yi) AS b) WHERE a < b)"""
-TITLES = TITLES.replace(" AND (x.t[1] = y.t[1] OR true)", "")
 
 
 @query("title_originals", f"WITH RECURSIVE {TITLES}, near AS (SELECT * FROM titlenear), {GREEDY} SELECT t.doc_id, w.original, w.original IS NOT NULL AS is_duplicate FROM tok t LEFT JOIN walk w ON w.id = t.doc_id WHERE len(t.t) > 0")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelforge.functions import geo, numeric as nm, scoring as sc
+from panelforge.functions import geo, numeric as nm, scoring as sc, times as tm
 from panelforge.operators import graph as gr, panel as pn, timeseries as ts
 from panelforge.plans import dashboards as db
 from workload import derive as dv
@@ -97,14 +97,24 @@ def predicted_hotspots(spark, sf):
     round(greatest(0.0::DOUBLE, value - (base + (1 - cov) * base + CASE WHEN fb THEN base ELSE 0 END)), 3) + 0.0 AS band_low, round(value + base + (1 - cov) * base + CASE WHEN fb THEN base ELSE 0 END, 3) + 0.0 AS band_high FROM q""")
 def reliability(spark, sf):
     e = F.col("event_id")
-    from panelforge.functions import times as tm
-
     age = F.when(e % 13 != 0, F.floor((tm.epoch(F.lit("2024-01-30 23:59:59").cast("timestamp_ntz")) - tm.epoch(F.col("ts"))) / 500))
     horizon = F.element_at(F.array(*[F.lit(h) for h in ("15m", "60m", "240m", "999m")]), (e % 4 + 1).cast("int"))
     r = sc.reliability(F.lit(20), (e % 21).cast("int"), age, horizon, F.col("value"), e % 11 == 0)
     return tidy(dv.table(spark, sf, "events").select("event_id", r.alias("r")).select("event_id", "r.*"), 4)
 
 
+@query("prediction_table", f"""WITH {CONTEXT}, a AS (SELECT *, floor(epoch(TIMESTAMP '2024-01-31'))::BIGINT - floor(epoch(timestamp))::BIGINT AS age, (6 + hour(time_bucket) % 5) / 10.0::DOUBLE AS cov FROM ctx)
+    SELECT city, segment_id, time_bucket, greatest(age, 0) AS data_freshness_seconds, round(cov, 4) + 0.0 AS feature_coverage_ratio, CASE WHEN cov < 0.7::DOUBLE OR age > 3600 THEN 'low' WHEN cov < 0.9::DOUBLE OR age > 600 THEN 'medium' ELSE 'high' END AS reliability_level,
+    round(greatest(0.0::DOUBLE, predicted_speed - (7.5::DOUBLE + (1 - cov) * 7.5::DOUBLE)), 3) + 0.0 AS band_low, round(predicted_speed + 7.5::DOUBLE + (1 - cov) * 7.5::DOUBLE, 3) + 0.0 AS band_high FROM a""")
+def prediction_table(spark, sf):
+    rows = context(spark, sf).select(
+        "city", "segment_id", "time_bucket", "predicted_speed", F.col("timestamp").alias("latest_timestamp"), F.lit(10).alias("required_feature_count"),
+        (F.hour("time_bucket") % 5 + 6).alias("available_feature_count"), F.lit(False).alias("is_fallback"),
+    )
+    out = db.with_reliability(rows, "60m", F.lit("2024-01-31").cast("timestamp_ntz"))
+    return tidy(out.select("city", "segment_id", "time_bucket", "data_freshness_seconds", "feature_coverage_ratio", "reliability_level", "band_low", "band_high"), 4)
+
+
 ALERTS = f"""WITH {LAGGED}{BASELINE}, j AS (SELECT l.*, p15, p50, l.currentSpeed * 0.8::DOUBLE AS pred FROM lagged l JOIN baseline b USING (city, segment_id, hour_of_day, day_of_week)),
 v AS (SELECT *, CASE WHEN speed_lag_1 > 0 AND speed_lag_1 - currentSpeed > 20 THEN 'MEDIUM' WHEN pred < p15 * 0.8::DOUBLE THEN 'CRITICAL' WHEN pred < p50 * 0.7::DOUBLE THEN 'HIGH' WHEN pred < p50 * 0.9::DOUBLE THEN 'MEDIUM' WHEN pred < p50 THEN 'LOW' END AS severity FROM j)"""
 

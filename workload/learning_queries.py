@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelforge.functions import numeric as nm
-from panelforge.operators import features as ft, learn as ln, quality as ql, timeseries as ts
+from panelforge.operators import learn as ln, quality as ql, timeseries as ts
+from panelforge.operators.panel import latest_by_segment
 from panelforge.plans import builds
 from panelforge.session import cut_lineage
 from workload import derive as dv
@@ -195,8 +195,6 @@ def batch_predict(spark, sf):
 @query("attribution")
 def attribution(spark, sf):
     """Top features of the newest row of each segment by single-feature replacement."""
-    from panelforge.operators.panel import latest_by_segment
-
     rows, inputs = _training(spark, sf)
     model = ln.fit_horizons(rows, inputs, (60,), rounds=5, depth=4)[60]
     baseline = {r["feature"]: float(r["baseline"]) for r in ln.baseline_values(rows, inputs, []).collect()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelforge.functions import scoring as sc, text as tx, times as tm, urls
-from panelforge.operators import cluster as cl, news as nw
+from panelforge.operators import cluster as cl, news as nw, panel as pn
 from panelforge.plans import builds
 from panelforge.session import cut_lineage
 from panelforge.sources import readers as rd
@@ -431,8 +431,6 @@ def collapse_groups(spark, sf):
     b AS (SELECT * FROM d WHERE m <= 500 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY m, segment_id) = 1)
     SELECT p.event_id, b.segment_id AS snapped_segment_id, round(b.m, 3) + 0.0 AS snap_distance_m FROM p LEFT JOIN b ON b.event_id = p.event_id""")
 def nearest_segment(spark, sf):
-    from panelforge.operators import panel as pn
-
     segments = pn.latest_by_segment(dv.panel(spark, sf)).select("segment_id", "lat", "lon")
     points = dv.observations(spark, sf).select("event_id", (F.col("lat") + 0.0013).alias("lat"), (F.col("lon") - 0.0007).alias("lon"))
     return tidy(cl.nearest_segment(points, segments, "event_id"), 3)
