@@ -9,7 +9,7 @@ from panelforge.operators.event_groups import event_groups
 from panelforge.operators import panel as pn, timeseries as ts
 from workload import derive as dv
 from workload.registry import pick, query, tidy
-from workload.text_queries import STOPS, STOPWORDS, TOKENS, docs, title
+from workload.text_queries import STOPWORDS, TOKENS, docs, title
 
 
 @query("url_dedup", """WITH u AS (SELECT doc_id, 'https://n.example.com/a/' || (doc_id % 700) AS link FROM documents) SELECT sha1(link) AS key, min(doc_id) AS original, count(*) AS copies FROM u GROUP BY link""")

@@ -8,7 +8,7 @@ from panelforge.functions import geo, numeric as nm, scoring as sc, times as tm
 from panelforge.operators import graph as gr, panel as pn, timeseries as ts
 from panelforge.plans import dashboards as db
 from workload import derive as dv
-from workload.registry import pick, query, tidy
+from workload.registry import query, tidy
 from workload.series_queries import BASELINE, LAGGED
 
 C01 = lambda x: f"greatest(0.0::DOUBLE, least(1.0::DOUBLE, {x}))"

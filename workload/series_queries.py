@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelforge.functions import numeric as nm, times as tm
-from panelforge.operators import features as ft, joins as jn, panel as pn, quality as ql, timeseries as ts
+from panelforge.functions import times as tm
+from panelforge.operators import features as ft, joins as jn, panel as pn, timeseries as ts
 from workload import derive as dv
 from workload.registry import pick, query, tidy
 

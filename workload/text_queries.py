@@ -10,7 +10,7 @@ from panelforge.plans import builds
 from panelforge.session import cut_lineage
 from panelforge.sources import readers as rd
 from workload import derive as dv
-from workload.registry import pick, query, tidy
+from workload.registry import query, tidy
 
 
 def pages(spark, sf):
