@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import packing, quality_rules, simhash, token_files
+from panelforge.llm import packing, quality_rules, simhash, token_files, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), radius=4)
+
+
+@query
+def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
