@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelforge.llm import packing, quality_rules, simhash, token_files, word_bpe
+from panelforge.llm import embed_dedup, mixing_lm, packing, quality_rules, simhash, token_files, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,15 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query
+def op7_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = lambda n: F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n))
+    scored = mixing_lm.score_texts(table(spark, sf_dir, "documents"), fold(5) != 1, group=F.col("lang"))
+    return scored.select("doc_id", (fold(5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)

@@ -14,18 +14,22 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import zstandard
+from pyspark.sql import Column, DataFrame, functions as F
 
-from panelforge.llm.common import as_texts, mapped, small_batches, stored, text_or_empty, write_whole
+from panelforge.llm.common import as_texts, mapped, small_batches, stored, tasks, text_or_empty, write_whole
 from panelforge.session import scratch_path
 
 #: Distinct words and word positions of one block: bounds a task's memory.
 WORDS, POSITIONS = 1 << 18, 1 << 23
-#: Word lists of a block are cut into so many buckets by hash; a bucket's distinct words meet in one task.
-BUCKETS = 1024
+#: Word lists of a block are cut into buckets by hash: at least so many, and some for each task of a shuffle. A bucket's
+#: distinct words meet in one task.
+BUCKETS, BUCKETS_PER_TASK = 1024, 4
 
 
-class _Index(dict):
+class Numbers(dict):
+    """Words numbered from 0 in the order of their first use."""
+
     def __missing__(self, word):
         self[word] = at = len(self)
         return at
@@ -33,16 +37,12 @@ class _Index(dict):
 
 def packed(words: list[bytes], *numbers: np.ndarray) -> bytes:
     """A word list with arrays of the same length, compressed."""
-    import zstandard
-
     parts = [np.array([len(words)], "<i8").tobytes(), np.fromiter(map(len, words), "<u4", len(words)).tobytes()]
     parts += [np.ascontiguousarray(x, "<i8").tobytes() for x in numbers]
     return zstandard.ZstdCompressor(level=3).compress(b"".join([*parts, *words]))
 
 
 def unpacked(payload: bytes, numbers: int) -> tuple[list[bytes], list[np.ndarray]]:
-    import zstandard
-
     data = zstandard.ZstdDecompressor().decompress(payload)
     n = int(np.frombuffer(data, "<i8", 1)[0])
     at = 8 + 4 * n
@@ -54,29 +54,29 @@ def unpacked(payload: bytes, numbers: int) -> tuple[list[bytes], list[np.ndarray
 
 
 class WordBlocks:
-    """``words`` (bucket, block, payload of words, their positions' steps and their counts in flagged documents) and the blocks' files."""
+    """``words`` (bucket, block, payload of words, their positions' steps and their counts by group) and the blocks' files."""
 
-    def __init__(self, words: DataFrame, folder: str, key_type: str):
-        self.words, self.folder, self.key_type = words, folder, key_type
+    def __init__(self, words: DataFrame, folder: str):
+        self.words, self.folder = words, folder
 
 
-def write_blocks(docs: DataFrame, splitter: Callable[[], Callable[[str], list]], key: str = "doc_id", text: str = "text", flag=None) -> WordBlocks:
+def write_blocks(docs: DataFrame, splitter: Callable[[], Callable[[str], list]], key: str = "doc_id", text: str = "text", group: Column | None = None, groups: int = 0) -> WordBlocks:
     """Split every whole text by ``splitter()`` and write blocks and word lists once.
 
-    ``flag`` (a boolean column) marks documents whose words are counted. Null texts are empty: a row without words.
+    ``group`` (0 to ``groups`` − 1) names the group in which a document's words are counted; null: in none. Null texts are empty: a row without words.
     A task that runs again writes files under new names, and the stored table names those of the attempt that counted.
     """
     spark = docs.sparkSession
     small_batches(spark)
     folder = scratch_path(spark, "word-blocks")
-    counted = F.lit(False) if flag is None else F.coalesce(flag, F.lit(False))
-    key_type = docs.schema[key].dataType.simpleString()
+    counted = F.lit(-1) if group is None else F.coalesce(group.cast("int"), F.lit(-1))
+    buckets = max(BUCKETS, BUCKETS_PER_TASK * tasks(spark))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter()
-        index, sink, writer, positions, seen, flagged = _Index(), None, None, 0, [], []
+        index, sink, writer, positions, seen, flagged = Numbers(), None, None, 0, [], []
         for batch in batches:
-            keys, texts, flags = batch.column(0), as_texts(batch.column(1)), batch.column(2).to_pylist()
+            keys, texts, of = batch.column(0), as_texts(batch.column(1)), batch.column(2).to_pylist()
             codes = [np.fromiter(map(index.__getitem__, split(t)), np.int32) for t in texts]
             if writer is None:
                 schema = pa.schema([("key", keys.type), ("low", pa.list_(pa.uint16())), ("high", pa.list_(pa.uint16()))])
@@ -87,37 +87,39 @@ def write_blocks(docs: DataFrame, splitter: Callable[[], Callable[[str], list]],
             listed = lambda x: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x.astype(np.uint16)))
             writer.write_batch(pa.RecordBatch.from_arrays([keys, listed(flat & 0xFFFF), listed(flat >> 16)], names=["key", "low", "high"]))
             positions += len(flat)
-            seen.append(np.bincount(np.concatenate([c for c, f in zip(codes, flags) if f] or [np.zeros(0, np.int32)]), minlength=0))
+            if groups:
+                counts = np.bincount(np.concatenate([c.astype(np.int64) * groups + g for c, g in zip(codes, of) if g >= 0] or [np.zeros(0, np.int64)]), minlength=len(index) * groups)
+                seen.append(counts.reshape(-1, groups).T)
             if len(index) >= WORDS or positions >= POSITIONS:
                 writer.close()
-                yield from _close(index, sink.getvalue(), seen, folder)
-                index, writer, positions, seen = _Index(), None, 0, []
+                yield from _close(index, sink.getvalue(), seen, groups, folder, buckets)
+                index, writer, positions, seen = Numbers(), None, 0, []
         if writer is not None:
             writer.close()
-            yield from _close(index, sink.getvalue(), seen, folder)
+            yield from _close(index, sink.getvalue(), seen, groups, folder, buckets)
 
-    rows = docs.select(F.col(key), text_or_empty(text).alias("_text"), counted.alias("_flag"))
+    rows = docs.select(F.col(key), text_or_empty(text).alias("_text"), counted.alias("_group"))
     words = stored(rows.mapInArrow(run, "bucket int, block long, payload binary"), "block-words")
-    return WordBlocks(words, folder, key_type)
+    return WordBlocks(words, folder)
 
 
-def _close(index: dict, docs: pa.Buffer, seen: list[np.ndarray], folder: str) -> Iterator[pa.RecordBatch]:
+def _close(index: dict, docs: pa.Buffer, seen: list[np.ndarray], groups: int, folder: str, buckets: int) -> Iterator[pa.RecordBatch]:
     block = secrets.randbits(62)
     write_whole(f"{folder}/{block}.docs", [docs])
     words = [w if isinstance(w, bytes) else w.encode() for w in index]
-    counts = np.zeros(len(words), np.int64)
+    counts = np.zeros((groups, len(words)), np.int64)
     for c in seen:
-        counts[: len(c)] += c
-    bucket = np.fromiter((zlib.crc32(w) for w in words), np.uint32, len(words)) % BUCKETS
+        counts[:, : c.shape[1]] += c
+    bucket = np.fromiter((zlib.crc32(w) for w in words), np.uint32, len(words)) % buckets
     order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
     rows = []
-    for b, lo, hi in zip(range(BUCKETS), edges, edges[1:]):
+    for b, lo, hi in zip(range(buckets), edges, edges[1:]):
         if hi > lo:
             at = order[lo:hi]
-            rows.append((b, packed([words[i] for i in at], np.diff(at, prepend=0), counts[at])))
+            rows.append((b, packed([words[i] for i in at], np.diff(at, prepend=0), *counts[:, at])))
     if not rows:  # a block of wordless texts still has to come back
-        rows.append((0, packed([], np.zeros(0), np.zeros(0))))
+        rows.append((0, packed([], *[np.zeros(0)] * (1 + groups))))
     yield pa.RecordBatch.from_arrays(
         [pa.array([r[0] for r in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
         names=["bucket", "block", "payload"],

@@ -15,10 +15,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from panelforge.llm import word_blocks
+from panelforge.llm.tokens import byte_values
 
 # Fixed value: the published split of this kind of vocabulary.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
@@ -56,13 +58,6 @@ def splitter(vocabulary: str) -> Callable[[], Callable[[str], list[str]]]:
     return make
 
 
-def byte_values() -> dict[str, int]:
-    """The character that stands for each byte in a byte-level vocabulary: printable bytes for themselves, the others from 256 on."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def pieces(vocabulary: str) -> list[bytes]:
     """Bytes of every id: the id-to-piece table. Added tokens stand for their own text."""
     with open(vocabulary) as source:
@@ -85,8 +80,6 @@ def _gather(starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.n
 
 def _word_ids(vocabulary: str):
     def encode(bucket: int, rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = _TOKENIZERS.get(vocabulary)
         if tokenizer is None:
@@ -95,7 +88,7 @@ def _word_ids(vocabulary: str):
             tokenizer.no_padding()
         press, known = zstandard.ZstdCompressor(level=3), {}
         for _, block, payload in rows:
-            words, (steps, _) = word_blocks.unpacked(payload, 2)
+            words, (steps,) = word_blocks.unpacked(payload, 1)
             new = [w for w in words if w not in known]
             found = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
             known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(new, found))
@@ -111,8 +104,6 @@ _TOKENIZERS: dict = {}
 
 def _text_ids(folder: str, emit: Callable, names: list[str]):
     def texts(block: int, rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
         opened = zstandard.ZstdDecompressor()
         places, counts, ids = [], [], []
         for _, payload in rows:
