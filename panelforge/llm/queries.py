@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelforge.llm import embed_dedup, mixing_lm, packing, quality_rules, simhash, token_files, word_bpe
+from panelforge.llm import embed_dedup, mixing_lm, packing, quality_rules, simhash, token_files, url_rules, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,50 @@ def op7_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, RULES))
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+ORACLES["op10_url_rules"] = f"""
+WITH RECURSIVE tags AS (
+  SELECT url, regexp_extract(unnest(regexp_extract_all(html, {_quoted(url_rules.LINK_TAG)})), {_quoted(url_rules.LINK_TARGET)}, 1) AS t FROM pages WHERE contains(url, '://')
+  UNION ALL
+  SELECT url, regexp_extract(unnest(regexp_extract_all(html, {_quoted(url_rules.REFRESH_TAG)})), {_quoted(url_rules.REFRESH_TARGET)}, 1) FROM pages WHERE contains(url, '://')
+), ends AS (
+  SELECT DISTINCT split_part(url, '#', 1) AS a, split_part(CASE
+    WHEN starts_with(t, '//') THEN split_part(url, '://', 1) || ':' || t
+    WHEN starts_with(t, '/') THEN regexp_extract(url, '^[^/?#]*://[^/?#]*') || t
+    WHEN contains(t, '://') THEN t END, '#', 1) AS b FROM tags
+), edges AS (
+  SELECT a, b FROM ends WHERE a <> b UNION SELECT b, a FROM ends WHERE a <> b
+), reach AS (
+  SELECT a AS node, a AS other FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.other
+), urls AS (
+  SELECT url FROM pages WHERE url IS NOT NULL UNION SELECT a FROM edges
+), rest AS (
+  SELECT url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM urls
+), parsed AS (
+  SELECT url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM rest
+), rules(rule, rule_host, rule_path, action) AS (
+  VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+    ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')
+), decided AS (
+  SELECT url, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action FROM parsed, rules
+  WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY url
+), aliases AS (
+  SELECT r.node, min(d.action) AS action FROM reach r JOIN decided d ON split_part(d.url, '#', 1) = r.other GROUP BY r.node
+)
+SELECT p.page_id, coalesce(x.host, '') AS host, coalesce(x.path, '') AS path, d.rule, coalesce(d.action, a.action, 'allow') AS verdict
+FROM pages p LEFT JOIN parsed x ON x.url = p.url LEFT JOIN decided d ON d.url = p.url LEFT JOIN aliases a ON a.node = split_part(p.url, '#', 1)
+"""
