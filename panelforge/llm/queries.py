@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from panelforge.llm import embed_dedup, mixing_lm, packing, quality_rules, simhash, token_files, url_rules, word_bpe
+from panelforge.llm import embed_dedup, mixing_lm, packing, quality_rules, simhash, token_files, toxicity, url_rules, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(n: int) -> Column:
+    """crc32 of the document id as text, modulo n; a null id counts as empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
 @query
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1)
@@ -53,7 +58,6 @@ def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fold = lambda n: F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n))
     scored = mixing_lm.score_texts(table(spark, sf_dir, "documents"), fold(5) != 1, group=F.col("lang"))
     return scored.select("doc_id", (fold(5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
@@ -66,6 +70,12 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold(3) != 1, threshold=0.7)
+    return scored.select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
+
+
 @query
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, RULES))

@@ -40,7 +40,7 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
 
 
 def decided(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """(url, rule, action) of distinct ``urls`` that a rule fits: the longest; among equally long ones an allow, then the smaller name.
+    """(url, rule, action) of distinct ``urls`` that a rule fits: the longest; among equally long ones an allow.
 
     Hosts meet rules by their suffixes, once per distinct host; paths are compared afterwards, so rules may be as many as they like.
     """
