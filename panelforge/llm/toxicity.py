@@ -29,6 +29,8 @@ GRAM, MIN_SHARE, MIN_TEXTS, MIN_RATIO = 5, 0.01, 4, 3.0
 MARKS = b".,;:!?\"'()|"
 #: Begins every window and both dictionaries: its match pays the fixed cost of a block, so a second match shows in full.
 LEAD = b"~#~#~#~#~#~#"
+#: Ends every window: the compressor does not look for matches that begin in the last eight bytes.
+TAIL = b"<+=^`{}>"
 PARAMETERS = dict(window_log=14, hash_log=12, chain_log=12, search_log=4, min_match=5, strategy=zstandard.STRATEGY_LAZY)
 TOP, LEVELS = 3, (2, 4, 6, 8)
 FEATURES = TOP + len(LEVELS) + 1
@@ -120,7 +122,7 @@ class Scorer:
         """Bytes by which the toxic dictionary makes the word's window shorter."""
         found = self.known.get(word)
         if found is None:
-            data = LEAD + window(word)
+            data = LEAD + window(word) + TAIL
             found = len(self.without(data)) - len(self.with_toxic(data))
             if len(self.known) >= KEEP:
                 self.known.clear()
