@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import packing, quality_rules, queries, simhash
+from panelforge.llm import packing, quality_rules, quality_sampling, queries, simhash
 from panelforge.llm.common import stored
 
 
@@ -17,6 +17,11 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling towards labelled good ones keeps."""
+    return quality_sampling.keep_sampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every SimHash group: the one with the smallest id."""
     return simhash.near_duplicate_free(docs, radius=4)
@@ -30,6 +35,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality_rules", rules_stage),
+    ("quality_classifier", classifier_stage),
     ("near_duplicates", near_duplicate_stage),
     ("packing", packing_stage),
 ]

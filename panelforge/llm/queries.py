@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from panelforge.llm import embed_dedup, mixing_lm, packing, quality_rules, simhash, token_files, toxicity, url_rules, word_bpe
+from panelforge.llm import embed_dedup, mixing_lm, packing, quality_rules, quality_sampling, simhash, token_files, toxicity, url_rules, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,6 +70,12 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
+@query
+def op8_quality_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sampled = quality_sampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return sampled.select("doc_id", "log_weight", "n_grams", "gumbel_key", "kept")
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold(3) != 1, threshold=0.7)
