@@ -124,7 +124,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, group: int = GROUP) -> DataFra
     places = stored(done.unionByName(second).unionByName(
         pieces.filter(F.col("length") >= capacity).select("doc_id", "copy", "start", F.lit(None).cast("long").alias("bin"), F.lit(0).cast("long").alias("offset"))
     ), "placed")
-    return pieces.join(_numbered(places), ["doc_id", "copy", "start"])
+    return pieces.join(_numbered(places), ["copy", "start"])  # copy alone names the row: keys may be null or repeat
 
 
 def _packed(parts: DataFrame, capacity: int, group: int) -> DataFrame:
@@ -156,4 +156,4 @@ def _numbered(places: DataFrame) -> DataFrame:
     bases = bins.groupBy("_slot").count().select("_slot", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
     rank = F.row_number().over(Window.partitionBy("_slot").orderBy("_bin")) - 1
     ids = bins.withColumn("_rank", rank).join(bases, "_slot").select("_bin", (F.col("_base") + F.col("_rank")).cast("long").alias("sequence_id"))
-    return named.join(ids, "_bin").select("doc_id", "copy", "start", "sequence_id", "offset")
+    return named.join(ids, "_bin").select("copy", "start", "sequence_id", "offset")
