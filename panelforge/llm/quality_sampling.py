@@ -2,8 +2,8 @@
 
 Documents are bags of hashed n-grams: words, word pairs, and pairs of word shapes (case, digits, symbols, length, and
 whether a word repeats the one before). One generative model is counted from target documents (labelled good), one from the
-whole corpus; a document's log weight is the sum of its n-grams' log ratios. Adding Gumbel noise and taking the k largest is a
-weighted sample without replacement. k is how many documents weigh at least what separates labelled good from labelled bad.
+whole corpus; a document's log weight is the sum of its n-grams' log ratios, taken to a fixed length. Adding Gumbel noise and taking the k largest is a
+weighted sample without replacement. k is how many documents weigh no less than labelled good ones do.
 """
 
 from __future__ import annotations
@@ -20,10 +20,12 @@ from panelforge.llm.common import as_texts, small_batches, stored, text_or_empty
 
 WORD_SLOTS, SHAPE_SLOTS = 1 << 14, 1 << 13
 SLOTS = WORD_SLOTS + SHAPE_SLOTS
-PSEUDO = 1.0  # added to every slot's count
-#: Labelled documents of each kind that are read at most: the first by hash of their key.
+PRIOR = 2.0
+#: A longer text weighs what so many of its n-grams weigh on average, so that length alone decides nothing.
+SPAN = 150
+#: Labelled good documents that are read at most: the first by hash of their key.
 LABELLED_ROWS = 5000
-#: Share of the labelled good documents that the calibrated threshold may lose.
+#: The threshold lies under all but this share of the labelled good documents.
 LOSS = 0.001
 #: Gumbel noise lies above this in one of 100,000 draws.
 MARGIN = 12.0
@@ -88,11 +90,16 @@ def slot_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """Log ratio of the two models, each kind of n-gram a distribution of its own."""
+    """Log ratio of the two models, each kind of n-gram a distribution of its own.
+
+    The target's prior is the raw model, weighing ``PRIOR`` n-grams a slot: what few target documents happen not to say tells little.
+    """
     out = np.zeros(SLOTS)
     for part in (slice(0, WORD_SLOTS), slice(WORD_SLOTS, SLOTS)):
-        p, q = target[part] + PSEUDO, raw[part] + PSEUDO
-        out[part] = np.log(p / p.sum()) - np.log(q / q.sum())
+        q = raw[part] + 1.0
+        q /= q.sum()
+        mass = PRIOR * len(q)
+        out[part] = np.log((target[part] + mass * q) / (target[part].sum() + mass)) - np.log(q)
     return out
 
 
@@ -128,14 +135,9 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, value: int, key: st
     return docs.join(F.broadcast(chosen), key, "left_semi")  # the limit bounds what is broadcast
 
 
-def threshold(good: np.ndarray, bad: np.ndarray) -> float:
-    """Weight below which a document is unlike the target: just under the good, by more than the noise moves a document,
-    or halfway to the bad where those are nearer."""
-    if not len(good):
-        return -np.inf
-    high = float(np.quantile(good, LOSS))
-    low = float(np.quantile(bad, 0.95)) if len(bad) else -np.inf
-    return max(high - MARGIN, (low + high) / 2) if low < high else high
+def threshold(good: np.ndarray) -> float:
+    """Weight below which a document is unlike the target: under nearly all the good, by more than the noise moves a document."""
+    return float(np.quantile(good, LOSS)) - MARGIN if len(good) else -np.inf
 
 
 def weighted(docs: DataFrame, ratio: np.ndarray, key: str = "doc_id", text: str = "text", columns: list[str] | None = None) -> DataFrame:
@@ -147,7 +149,7 @@ def weighted(docs: DataFrame, ratio: np.ndarray, key: str = "doc_id", text: str
         features = Features()
         for batch in batches:
             slots = [features.slots(t) for t in as_texts(batch.column(1))]
-            weight = np.array([float(ratio[s].sum()) for s in slots])
+            weight = np.array([float(ratio[s].sum()) * min(1.0, SPAN / max(1, len(s))) for s in slots])
             noisy = weight + np.array([gumbel(k) for k in batch.column(0).to_pylist()])
             added = [pa.array(weight), pa.array([len(s) for s in slots], pa.int64()), pa.array(noisy), pa.array(ordered_bits(noisy))]
             yield pa.RecordBatch.from_arrays([*batch.columns[2:], *added], names=[*columns, "log_weight", "n_grams", "gumbel_key", "rank"])
@@ -168,14 +170,15 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, label: st
     ratio = log_ratio(slot_counts(target, text), slot_counts(docs, text))
     scored = stored(weighted(docs, ratio, key, text, columns), "weights")
     if k is None:
-        weights = lambda df: np.array([r[0] for r in weighted(df, ratio, key, text).select("log_weight").collect()])  # at most LABELLED_ROWS
-        good = weights(target)
-        least = threshold(good, weights(labelled(docs, labels, label, 0, key)))
+        good = weighted(target, ratio, key, text).select("log_weight").collect()  # LABELLED_ROWS keys at most
+        least = threshold(np.array([r[0] for r in good]))
         k = scored.filter(F.col("log_weight") >= float(least)).count() if np.isfinite(least) else scored.count()
     cut = kth_largest(scored, k) if k > 0 else None
     return scored.withColumn("kept", F.lit(False) if cut is None else F.col("rank") >= F.lit(cut))
 
 
 def keep_sampled(docs: DataFrame, labels: DataFrame, k: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that resampling leaves out, all columns as given."""
-    return resample(docs, labels, k, key=key, text=text, columns=docs.columns).filter("kept").select(*docs.columns)
+    """``docs`` without the rows that resampling leaves out, all columns as given, whatever their names."""
+    whole = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"), F.struct(*docs.columns).alias("_row"))
+    sampled = resample(whole, labels.withColumnRenamed(key, "_k"), k, key="_k", text="_t", columns=["_row"])
+    return sampled.filter("kept").select("_row.*")

@@ -178,13 +178,14 @@ def fit(docs: DataFrame, labels: DataFrame, learns: Column, label: str = "toxic"
     pick = lambda value, rows: usable.filter(F.col("_label") == value).orderBy(order, key).limit(rows)
     chosen = pick(1, TOXIC_ROWS).unionByName(pick(0, ORDINARY_ROWS))
     small_batches(docs.sparkSession)
-    rows = docs.join(chosen, key).select(text_or_empty(text).alias("t"), F.col("_label").cast("int").alias("y"), (F.pmod(order, F.lit(2)) == 0).alias("c"))
+    rows = docs.select(key, text).join(chosen, key).select(text_or_empty(text).alias("t"), F.col("_label").cast("int").alias("y"), (F.pmod(order, F.lit(2)) == 0).alias("c"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
         yield pa.RecordBatch.from_pydict({"model": [json.dumps(fit_rows(sorted(data)))]})
 
-    return json.loads(rows.repartition(1).mapInArrow(run, "model string").first()["model"])
+    fitted = rows.repartition(1).mapInArrow(run, "model string").first()
+    return json.loads(fitted["model"]) if fitted else fit_rows([])
 
 
 def score(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
