@@ -122,15 +122,22 @@ HINT_RULES = {
     "possible_unrelated": ["ngân hàng", "tài chính", "sim", "thuê bao", "trái cây", "lễ phục"],
 }
 
-# City aliases in match order. Plain spellings follow by folding the accents.
-# The raw-news table and the event table share all cities but the first two and one more.
-_OTHER_CITIES = {
+# City aliases in match order, one table for raw news and one for events. Plain spellings follow by folding the accents.
+NEWS_CITY_ALIASES = {
+    "hanoi": [
+        "hà nội", "thường tín", "nguyễn chí thanh", "la thành", "nguyễn chánh", "nội bài", "mỹ đình", "pháp vân",
+        "cầu giẽ",
+    ],
+    "hcmc": [
+        "tp hcm", "tp.hcm", "tphcm", "tp hồ chí minh", "hồ chí minh", "sài gòn", "thủ thiêm", "cầu sài gòn",
+        "tân sơn nhất", "cộng hòa", "hàng xanh", "cầu phú mỹ", "điện biên phủ", "nguyễn duy trinh",
+    ],
     "haiphong": ["hải phòng", "cát bi"],
     "danang": ["đà nẵng"],
     "cantho": ["cần thơ"],
     "hue": ["huế", "phú bài"],
     "dongnai": ["đồng nai", "long thành", "dầu giây", "quốc lộ 51"],
-    "lamdong": ["lâm đồng", "đạ huoai"],
+    "lamdong": ["lâm đồng", "đạ huoai", "cư jút"],
     "hatinh": ["hà tĩnh", "bãi vọt", "hàm nghi"],
     "quangninh": ["quảng ninh", "hạ long", "móng cái", "cẩm phả"],
     "hungyen": ["hưng yên", "nguyễn văn linh"],
@@ -151,18 +158,6 @@ _OTHER_CITIES = {
     "angiang": ["an giang", "núi sam", "châu đốc"],
     "dongthap": ["đồng tháp"],
 }
-NEWS_CITY_ALIASES = {
-    "hanoi": [
-        "hà nội", "thường tín", "nguyễn chí thanh", "la thành", "nguyễn chánh", "nội bài", "mỹ đình", "pháp vân",
-        "cầu giẽ",
-    ],
-    "hcmc": [
-        "tp hcm", "tp.hcm", "tphcm", "tp hồ chí minh", "hồ chí minh", "sài gòn", "thủ thiêm", "cầu sài gòn",
-        "tân sơn nhất", "cộng hòa", "hàng xanh", "cầu phú mỹ", "điện biên phủ", "nguyễn duy trinh",
-    ],
-    **_OTHER_CITIES,
-    "lamdong": ["lâm đồng", "đạ huoai", "cư jút"],
-}
 EVENT_CITY_ALIASES = {
     "hanoi": [
         "hà nội", "nguyễn chí thanh", "la thành", "nguyễn chánh", "thủ đô", "nội bài", "vành đai 3", "hoàn kiếm",
@@ -173,8 +168,31 @@ EVENT_CITY_ALIASES = {
         "bến thành", "cộng hòa", "hàng xanh", "cầu phú mỹ", "cầu bình lợi", "điện biên phủ", "nguyễn duy trinh",
         "an khánh", "sala", "bùi viện",
     ],
-    **_OTHER_CITIES,
+    "danang": ["đà nẵng"],
+    "haiphong": ["hải phòng", "cát bi"],
+    "cantho": ["cần thơ"],
+    "hue": ["huế", "phú bài"],
+    "dongnai": ["đồng nai", "long thành", "dầu giây", "quốc lộ 51"],
     "lamdong": ["lâm đồng", "đà lạt", "đạ huoai"],
+    "hatinh": ["hà tĩnh", "bãi vọt", "hàm nghi"],
+    "quangninh": ["quảng ninh", "hạ long", "móng cái", "cẩm phả"],
+    "hungyen": ["hưng yên", "nguyễn văn linh"],
+    "ninhbinh": ["ninh bình", "hoa lư"],
+    "quangtri": ["quảng trị", "cam lộ", "la sơn", "đông hà"],
+    "khanhhoa": ["khánh hòa", "nha trang"],
+    "tayninh": ["tây ninh"],
+    "daklak": ["đắk lắk", "daklak", "buôn ma thuột"],
+    "gialai": ["gia lai", "an khê", "tô na"],
+    "laocai": ["lào cai"],
+    "bacninh": ["bắc ninh"],
+    "nghean": ["nghệ an"],
+    "thanhhoa": ["thanh hóa"],
+    "quangngai": ["quảng ngãi"],
+    "vungtau": ["vũng tàu", "bà rịa"],
+    "binhduong": ["bình dương", "thủ dầu một"],
+    "camau": ["cà mau"],
+    "angiang": ["an giang", "núi sam", "châu đốc"],
+    "dongthap": ["đồng tháp"],
 }
 
 # Districts and main roads a text may name.

@@ -67,10 +67,10 @@ def jaccard(a: Column, b: Column) -> Column:
     return shared / (F.size(a) + F.size(b) - shared)
 
 
-def simhash(df: DataFrame, key: str, text: str, window: int | None = 1000) -> DataFrame:
+def simhash(df: DataFrame, key: str, text: str, window: int | None = None) -> DataFrame:
     """(key, simhash): bit votes of the md5 of every whitespace token of the text.
 
-    ``window`` limits the text to its first characters as the classic setting does; None reads all.
+    The whole text is read; ``window`` limits it to its first characters where a caller wants the classic setting.
     Votes add up map-side: the shuffle carries 64 counters per text, not its tokens.
     """
     body = F.substring(F.col(text), 1, window) if window else F.col(text)
@@ -193,7 +193,7 @@ def title_originals(
     return found.select(key, "original", F.col("original").isNotNull().alias("is_duplicate"))
 
 
-def content_originals(df: DataFrame, key: str, text: str, distance: int = 4, window: int | None = 1000) -> DataFrame:
+def content_originals(df: DataFrame, key: str, text: str, distance: int = 4, window: int | None = None) -> DataFrame:
     """Original of every text by Hamming distance of its SimHash."""
     if distance > SIMHASH_DISTANCE:
         raise ValueError(f"the buckets prove completeness only up to distance {SIMHASH_DISTANCE}")
@@ -217,7 +217,7 @@ def layered_originals(
     text: str,
     threshold: float = 0.8,
     distance: int = 4,
-    window: int | None = 1000,
+    window: int | None = None,
     stopwords: list[str] = catalog.TITLE_STOPWORDS,
 ) -> DataFrame:
     """URL → title → content decision. Only originals are remembered, so a chain of near copies may

@@ -118,8 +118,8 @@ def event_groups(
     assigned = own.unionByName(best)
     titles = shaped.select(F.col("id").alias("_id"), "city", "category", "title", F.col("t").alias("_t"))
     label = F.concat_ws(
-        "|", "city", "category", F.substring("title", 1, 80), F.date_format(F.timestamp_micros("_t"), "yyyy-MM-dd")
+        "|", "city", "category", "title", F.date_format(F.timestamp_micros("_t"), "yyyy-MM-dd"), F.col("_lead.id").cast("string")
     )
     return assigned.join(titles, F.col("_lead.id") == F.col("_id")).select(
-        F.col("id").alias(key), F.col("_lead.id").alias("leader"), F.substring(F.sha1(label), 1, 16).alias("dedup_group_id")
+        F.col("id").alias(key), F.col("_lead.id").alias("leader"), F.sha1(label).alias("dedup_group_id")
     )

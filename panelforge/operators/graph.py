@@ -49,12 +49,19 @@ def graph_export(latest: DataFrame, limit: int | None = None) -> tuple[DataFrame
     return nodes, edges.distinct()
 
 
-def upstream_edges(latest: DataFrame, limit: int) -> DataFrame:
-    """Consecutive pairs by jam inside a city among the ``limit`` worst segments (the bound of the window)."""
-    worst = latest.orderBy(F.desc("jamFactor"), "city", "segment_id").limit(limit)
-    order = Window.partitionBy("city").orderBy(F.desc("jamFactor"), "segment_id")
-    paired = worst.select("city", F.col("segment_id").alias("upstream"), F.lead("segment_id").over(order).alias("downstream"))
-    return paired.filter(F.col("downstream").isNotNull())
+def upstream_edges(latest: DataFrame, limit: int | None = None, steps: int = 100) -> DataFrame:
+    """Consecutive pairs by jam inside a city, of all segments or of the ``limit`` worst.
+
+    Pairs form inside slices of a ``1 / steps`` jam; the last segment of a slice pairs with the head of the next slice of
+    its city, so no task sorts a whole city.
+    """
+    worst = latest.orderBy(F.desc("jamFactor"), "city", "segment_id").limit(limit) if limit else latest
+    sliced = worst.select("city", "segment_id", "jamFactor", F.floor(-F.col("jamFactor") * steps).alias("_slice"))
+    inside = Window.partitionBy("city", "_slice").orderBy(F.desc("jamFactor"), "segment_id")
+    heads = sliced.groupBy("city", "_slice").agg(F.min(F.struct((-F.col("jamFactor")).alias("j"), "segment_id")).alias("_h"))
+    following = heads.select("city", "_slice", F.lead("_h.segment_id").over(Window.partitionBy("city").orderBy("_slice")).alias("_head"))
+    paired = sliced.withColumn("_next", F.lead("segment_id").over(inside)).join(following, ["city", "_slice"])
+    return paired.select("city", F.col("segment_id").alias("upstream"), F.coalesce("_next", "_head").alias("downstream")).filter("downstream is not null")
 
 
 def upstream_walk(edges: DataFrame, start: str, depth: int) -> DataFrame:

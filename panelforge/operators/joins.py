@@ -161,7 +161,9 @@ def window_aggregates(
         *[F.sum(e).alias(n) for n, (e, _, _) in sums.items()], *[F.max(e).alias(n) for n, (e, _, _) in maxes.items()]
     )
     instants = grid.select(*by, grid_ts).dropna().distinct()
-    instants = instants.withColumn(AT, 2 * (tm.epoch(F.col(grid_ts)) / bucket_seconds).cast("long"))
+    at = tm.epoch_micros(F.col(grid_ts))
+    off = F.raise_error(F.concat(F.lit("instant off the bucket grid: "), F.col(grid_ts).cast("string"))).cast("long")
+    instants = instants.withColumn(AT, F.when(at % size == 0, 2 * F.floor(at / size).cast("long")).otherwise(off))
     line = slotted.unionByName(instants, allowMissingColumns=True)
     window = chunk_window(by, AT)
     spread = chunked(line, F.col(AT), max(4 * (back + ahead), 2048), before=back, after=ahead)

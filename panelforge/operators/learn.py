@@ -157,11 +157,10 @@ def training_rows(df: DataFrame, features: list[str], targets: list[str]) -> tup
     return kept.withColumns({f: nm.zero_if_missing(F.col(f)) for f in usable}), usable
 
 
-def hash_sample(df: DataFrame, keys: list[str], share: float, threshold: int) -> DataFrame:
-    """Keep about ``share`` of the rows once the table exceeds ``threshold``; repeatable, chosen by key hash."""
+def hash_sample(df: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """About ``share`` of the rows, repeatable, chosen by key hash: for a fit that is to read fewer."""
     digits = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys])), 1, 8), 16, 10)
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return df.filter((total <= threshold) | (digits.cast("double") / 4294967296.0 < share))
+    return df.filter(digits.cast("double") / 4294967296.0 < share)
 
 
 def boosted_trees(features: list[str], target: str, rounds: int = 20, depth: int = 5, seed: int = 7) -> Pipeline:

@@ -7,11 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from panelforge import catalog
 from panelforge.functions import numeric as nm, scoring as sc, text as tx, times as tm, urls
 
-BRONZE_VERSIONS = {
-    "crawler_name": "raw_news_ingest_enhancer",
-    "crawler_version": "news_bronze_crawler_v1.0",
-    "schema_version": "news_bronze_schema_v1",
-}
+BRONZE_VERSIONS = {"crawler_name": "news_reader", "crawler_version": "1", "schema_version": "1"}
 
 
 # ---------------------------------------------------------------- places
@@ -76,13 +72,13 @@ def road_in(text: Column, pattern: str = catalog.ROAD_PATTERN) -> Column:
 def geocode(df: DataFrame, gazetteer: DataFrame, place: str, city: str) -> DataFrame:
     """Coordinates by exact lookup of the place (with its city), else of the city; adds status.
 
-    ``gazetteer`` is (key, lat, lon) with lower-case keys. Distinct queries are resolved once.
+    ``gazetteer`` is (key, lat, lon) with lower-case keys; of a key that it holds twice the smallest point counts.
     """
     full = F.when(F.contains(F.lower(F.col(place)), F.lower(F.col(city))) | F.col(city).isNull(), F.col(place)).otherwise(
         F.concat_ws(", ", F.col(place), F.col(city))
     )
     keyed = df.withColumns({"_k1": F.lower(F.trim(full)), "_k2": F.lower(F.trim(F.col(city)))})
-    names = gazetteer.select(F.col("key"), F.struct("lat", "lon").alias("_p"))
+    names = gazetteer.groupBy("key").agg(F.min(F.struct("lat", "lon")).alias("_p"))
     joined = keyed.join(names.withColumnsRenamed({"key": "_k1", "_p": "_p1"}), "_k1", "left").join(
         names.withColumnsRenamed({"key": "_k2", "_p": "_p2"}), "_k2", "left"
     )
@@ -268,7 +264,8 @@ def news_table(
     """Audited news table: cleaned text, canonical URL and hashes, publish time, hints and quality flags.
 
     Needs source, provider, external_id, title, summary, source_url, published_at, city_hint,
-    ingestion_time and record_id.
+    ingestion_time and record_id; content, html, author, tags, language, encoding, http_status and
+    raw_payload_json where there are any.
     """
     base = raw.withColumns(
         {
@@ -308,6 +305,7 @@ def news_table(
         "possible_unrelated": F.array_contains("_labels", "possible_unrelated"),
         "html_listing_partial": partial,
     }
+    optional = lambda name: F.col(name) if name in raw.columns else F.lit(None).cast("string")
     own = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in flags.items()]))
     return base.select(
         "record_id",
@@ -317,20 +315,31 @@ def news_table(
         tx.present(F.col("provider")).alias("provider"),
         *[F.lit(v).alias(n) for n, v in BRONZE_VERSIONS.items()],
         tx.present(F.col("source_url")).alias("source_url"),
-        "canonical_url", "url_hash", "content_hash", "title_raw", "summary_raw", "summary_text", "image_url",
+        "canonical_url", "url_hash", "content_hash", "title_raw", "summary_raw", "summary_text",
+        optional("content").alias("content_raw_optional"), optional("html").alias("html_raw_optional"), "image_url",
         tx.present(F.col("published_at")).alias("published_at_raw"),
         "published_at_utc",
         F.from_utc_timestamp("published_at_utc", tm.LOCAL_ZONE).alias("published_at_local"),
         "published_at_source", "published_at_parse_status", "ingestion_time_utc",
         F.date_format("ingestion_time_utc", "yyyy-MM-dd").alias("crawl_date"),
         F.when(partial, "partial").otherwise("ok").alias("fetch_status"),
+        optional("http_status").alias("http_status"),
+        F.coalesce(F.nullif(optional("language"), F.lit("")), F.lit("vi")).alias("language"),
+        F.coalesce(F.nullif(optional("encoding"), F.lit("")), F.lit("utf-8")).alias("encoding"),
         F.col("_place.city").alias("city_hint_raw"),
         F.col("_place.alias").alias("location_hint_raw"),
         F.when(F.size("_labels") > 0, F.array_join("_labels", ";")).alias("category_hint_raw"),
+        # The reader keeps lists and objects as JSON text.
+        optional("author").alias("author_raw"), optional("tags").alias("tags_raw"), optional("raw_payload_json").alias("raw_payload_json"),
         F.array_sort(F.array_distinct(F.concat(own, F.col("_time_flags")))).alias("data_quality_flags"),
     )
 
 
+def by_ingestion(news: DataFrame) -> DataFrame:
+    """The table in its published order: ingestion time, source, title, nulls last."""
+    return news.orderBy(*[F.asc_nulls_last(c) for c in ("ingestion_time_utc", "source", "title_raw")])
+
+
 def mark_duplicates(news: DataFrame, order: list[str]) -> DataFrame:
     """Flag rows whose id, URL or content was seen before and name the first record that had it.
 

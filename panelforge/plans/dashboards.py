@@ -100,14 +100,14 @@ def hourly_trend(panel: DataFrame, hours: int, digits: int = 2) -> DataFrame:
     )
 
 
-def active_alerts(panel: DataFrame, limit: int, severity: str | None = None, city: str | None = None) -> DataFrame:
-    """Worst segments with jam ≥ 3, their severity, explanation and advice."""
+def active_alerts(panel: DataFrame, limit: int | None = None, severity: str | None = None, city: str | None = None) -> DataFrame:
+    """Segments with jam ≥ 3, their severity, explanation and advice; ``limit`` keeps the worst."""
     rows = _newest(panel, city, ["p50", *RISK_CONTEXT]).filter(F.col("jamFactor") >= 3)
     level = nm.jam_severity(F.col("jamFactor"))
     if severity:
         rows = rows.filter(level == severity)
     baseline = F.col("p50") if "p50" in panel.columns else F.col("freeFlowSpeed")
-    worst = rows.orderBy(F.desc("jamFactor"), "city", "segment_id").limit(limit)
+    worst = rows.orderBy(F.desc("jamFactor"), "city", "segment_id").limit(limit) if limit else rows
     scored = worst.withColumns({"severity": level, "_risk": _risk(panel), "_base": baseline})
     return scored.select(
         F.concat_ws("_", F.lit("alert"), "city", "segment_id").alias("alert_id"), "segment_id", "city", "severity",
@@ -120,9 +120,8 @@ def active_alerts(panel: DataFrame, limit: int, severity: str | None = None, cit
 
 
 def alert_by_id(panel: DataFrame, alert_id: str) -> DataFrame:
-    """One alert: the id names city and segment, so the filter reaches the scan."""
-    _, city, segment = alert_id.split("_", 2)
-    return active_alerts(panel.filter((F.col("city") == city) & (F.col("segment_id") == segment)), 1)
+    """One alert. City and segment may hold the separator themselves, so the id is compared as composed."""
+    return active_alerts(panel.filter(F.concat_ws("_", F.lit("alert"), "city", "segment_id") == alert_id), 1)
 
 
 def rule_alerts(predictions: DataFrame, as_of: Column, drop_overrides: bool = True) -> DataFrame:
@@ -141,10 +140,11 @@ def rule_alerts(predictions: DataFrame, as_of: Column, drop_overrides: bool = Tr
     )
 
 
-def current_hotspots(panel: DataFrame, severity: str | None = None) -> DataFrame:
-    """Congested segments grouped by the first twelve characters of their name."""
+def current_hotspots(panel: DataFrame, severity: str | None = None, prefix: int | None = None) -> DataFrame:
+    """Congested segments grouped by their name, or by its first ``prefix`` characters."""
     rows = _newest(panel, extra=["segment_name", "lat", "lon"]).filter(F.col("jamFactor") >= 3)
-    name = F.substring(F.coalesce("segment_name", "segment_id").cast("string"), 1, 12)
+    name = F.coalesce("segment_name", "segment_id").cast("string")
+    name = F.substring(name, 1, prefix) if prefix else name
     lost = F.greatest(F.lit(0.0), F.col("freeFlowSpeed") - F.col("currentSpeed"))
     grouped = rows.groupBy("city", name.alias("cluster")).agg(
         F.round(F.avg("lat"), 6).alias("center_lat"), F.round(F.avg("lon"), 6).alias("center_lon"),
@@ -205,17 +205,13 @@ def corridor_rank(panel: DataFrame, corridor: str = "district", limit: int = 10)
 def scenario_impact(latest: DataFrame, scenarios: DataFrame, baseline_on_changed_row: bool = False) -> DataFrame:
     """Every segment under every scenario (name, rain_1h_mm, event_type, is_peak_hour).
 
-    Scenarios are a handful of user inputs: they travel inside each row as an array literal. The
+    Scenarios are user inputs: a scalar subquery gathers them into one array that each row unfolds. The
     baseline risk uses the unchanged row unless asked otherwise.
     """
-    listed = [r.asDict() for r in scenarios.limit(1001).collect()]
-    if len(listed) > 1000:
-        raise ValueError("at most 1000 scenarios")
-    entries = F.array(*[
-        F.struct(F.lit(r["name"]).alias("name"), F.lit(float(r["rain_1h_mm"] or 0)).alias("rain"),
-                 F.lit((r["event_type"] or "none").lower()).alias("event"), F.lit(bool(r["is_peak_hour"])).alias("peak"))
-        for r in listed
-    ])
+    entries = scenarios.agg(F.collect_list(F.struct(
+        "name", F.coalesce(F.col("rain_1h_mm").cast("double"), F.lit(0.0)).alias("rain"),
+        F.lower(F.coalesce("event_type", F.lit("none"))).alias("event"), F.coalesce("is_peak_hour", F.lit(False)).alias("peak"),
+    )).alias("s")).scalar()
     have = set(latest.columns)
     get = lambda n: nm.zero_if_missing(F.col(n)) if n in have else F.lit(0.0)
     base = F.coalesce("predicted_speed", "currentSpeed") if "predicted_speed" in have else F.col("currentSpeed")
@@ -264,7 +260,7 @@ def map_segments(panel: DataFrame, viewport: tuple[float, float, float, float] |
     )
 
 
-def geojson_features(panel: DataFrame, limit: int = 250) -> DataFrame:
+def geojson_features(panel: DataFrame, limit: int | None = None) -> DataFrame:
     """One GeoJSON feature per segment; a short line through the coordinate where there is no geometry."""
     latest = _newest(panel, extra=["lat", "lon", "geometry"])
     real = geo.line_points(F.col("geometry")) if "geometry" in panel.columns else F.lit(None)
@@ -277,7 +273,8 @@ def geojson_features(panel: DataFrame, limit: int = 250) -> DataFrame:
             F.round("freeFlowSpeed", 2).alias("free_flow_speed"), "city",
         ).alias("properties"),
     )
-    return latest.orderBy("city", "segment_id").limit(limit).select("city", "segment_id", F.to_json(feature).alias("feature"))
+    shown = latest.orderBy("city", "segment_id").limit(limit) if limit else latest
+    return shown.select("city", "segment_id", F.to_json(feature).alias("feature"))
 
 
 def segment_detail(panel: DataFrame, segment_id: str) -> DataFrame:

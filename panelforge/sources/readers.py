@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from panelforge.functions import numeric as nm
@@ -56,12 +56,17 @@ def read_weather(spark: SparkSession, path: str) -> DataFrame:
     ).drop("timestamp", "point_id", "raw")
 
 
-def read_news(spark: SparkSession, path: str) -> DataFrame:
-    """News JSONL with the raw line, its file and a record id that does not depend on how files are split."""
-    lines = spark.read.option("pathGlobFilter", "*.jsonl").text(path).filter(F.trim("value") != "")
-    lines = lines.select("value", F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("raw_payload_json"))
+def read_news(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
+    """News JSONL with the raw line, its file and a record id that does not depend on how files are split.
+
+    The id hashes the file's path, the line and which of its occurrences in the file this is; Spark knows no line numbers.
+    """
+    lines = spark.read.option("pathGlobFilter", pattern).text(path).filter(F.trim("value") != "")
+    lines = lines.select("value", F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("raw_payload_json"))
     rows, _ = split_json(lines, F.col("value"), schemas.NEWS_RAW)
-    return rows.withColumn("record_id", F.sha1(F.concat_ws(":", "source_file", "raw_payload_json")))
+    same = Window.partitionBy("source_file", F.sha1("raw_payload_json")).orderBy("raw_payload_json")
+    numbered = rows.withColumn("_occurrence", F.row_number().over(same))
+    return numbered.withColumn("record_id", F.sha1(F.concat_ws(":", "source_file", "_occurrence", "raw_payload_json"))).drop("_occurrence")
 
 
 FLOW = (
@@ -194,7 +199,7 @@ def road_segments(edges: DataFrame, city: str, order: list[str]) -> DataFrame:
     """
     wkt = F.concat(F.lit("LINESTRING ("), F.array_join(
         F.transform("points", lambda p: F.concat_ws(" ", p["lon"].cast("string"), p["lat"].cast("string"))), ", "), F.lit(")"))
-    identity = F.substring(F.sha1(F.concat_ws("|", *[F.col(c).cast("string") for c in order])), 1, 12)
+    identity = F.sha1(F.concat_ws("|", *[F.col(c).cast("string") for c in order]))
     return edges.select(
         F.concat_ws("_", F.lit(city.lower().replace(" ", "_")), identity).alias("segment_id"), F.lit(city).alias("city"),
         "highway", wkt.alias("geometry_wkt"), F.lit("openstreetmap").alias("source"),

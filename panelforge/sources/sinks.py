@@ -8,11 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str = "append", files_per_value: int | None = None) -> None:
     """Partitioned Parquet. Rows are grouped by partition value first so that a task writes few files;
     ``files_per_value`` salts the grouping where one value holds much of the table."""
-    grouped = df
-    if files_per_value:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c not in columns]), F.lit(files_per_value))
-        grouped = df.repartition(*[F.col(c) for c in columns], salt)
-    grouped.write.mode(mode).partitionBy(*columns).parquet(path)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c not in columns]), F.lit(files_per_value or 1))
+    df.repartition(*[F.col(c) for c in columns], salt).write.mode(mode).partitionBy(*columns).parquet(path)
 
 
 def create_table(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
@@ -27,7 +24,12 @@ def create_empty(spark: SparkSession, path: str, schema: str, columns: list[str]
 
 
 def upserted(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Target after a merge: matched rows replaced, others added. ``updates`` has one row per key."""
+    """Target after a merge: matched rows replaced, others added. Of several updates of one key the greatest row stands."""
+    rest = [c for c in updates.columns if c not in keys]
+    if rest:
+        updates = updates.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_u")).select(*keys, "_u.*").select(*updates.columns)
+    else:
+        updates = updates.distinct()
     kept = target.join(updates.select(*keys), keys, "left_anti")
     return kept.unionByName(updates, allowMissingColumns=True)
 

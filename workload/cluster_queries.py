@@ -87,7 +87,7 @@ near AS (SELECT x.id AS a, y.id AS b FROM norm x JOIN norm y ON x.id < y.id AND
 
 
 @query("event_groups", f"""WITH RECURSIVE {GROUPS}, {GREEDY}, led AS (SELECT n.id, coalesce(w.original, n.id) AS leader FROM norm n LEFT JOIN walk w ON w.id = n.id)
-    SELECT led.id AS record_id, led.leader, substr(sha1(l.city || '|' || l.cat || '|' || substr(l.n, 1, 80) || '|' || strftime(l.t, '%Y-%m-%d')), 1, 16) AS dedup_group_id FROM led JOIN norm l ON l.id = led.leader""")
+    SELECT led.id AS record_id, led.leader, sha1(l.city || '|' || l.cat || '|' || l.n || '|' || strftime(l.t, '%Y-%m-%d') || '|' || led.leader) AS dedup_group_id FROM led JOIN norm l ON l.id = led.leader""")
 def event_group_ids(spark, sf):
     return event_groups(page_events(spark, sf), "record_id")
 

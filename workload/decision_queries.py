@@ -144,13 +144,13 @@ def active_alerts(spark, sf):
 @query("alert_by_id", f"WITH {dv.PANEL} SELECT 'alert_' || city || '_' || segment_id AS alert_id, timestamp AS created_at FROM latest WHERE segment_id = (SELECT min(segment_id) FROM latest WHERE jamFactor >= 3)")
 def alert_by_id(spark, sf):
     panel = dv.panel(spark, sf)
-    worst = db.active_alerts(panel, 1000).orderBy("segment_id").limit(1).select("alert_id").collect()[0][0]
+    worst = db.active_alerts(panel).orderBy("segment_id").select("alert_id").first()[0]
     return db.alert_by_id(panel, worst).select("alert_id", "created_at")
 
 
-@query("prefix_hotspots", f"""WITH {dv.PANEL}, g AS (SELECT city, substr(coalesce(segment_name, segment_id), 1, 6) AS x, * EXCLUDE (city) FROM latest WHERE jamFactor >= 3) SELECT city, substr(coalesce(segment_name, segment_id), 1, 12) AS cluster, round(avg(lat), 6) AS center_lat, round(avg(lon), 6) AS center_lon,
+@query("prefix_hotspots", f"""WITH {dv.PANEL}, g AS (SELECT city, substr(coalesce(segment_name, segment_id), 1, 6) AS x, * EXCLUDE (city) FROM latest WHERE jamFactor >= 3) SELECT city, coalesce(segment_name, segment_id) AS cluster, round(avg(lat), 6) AS center_lat, round(avg(lon), 6) AS center_lon,
     count(DISTINCT segment_id) AS num_segments, round(avg(greatest(0, freeFlowSpeed - currentSpeed)), 3) AS avg_congestion, round(avg(jamFactor), 2) AS avg_jam_factor, max(timestamp) AS detected_at,
-    CASE WHEN avg(jamFactor) >= 8 THEN 'critical' WHEN avg(jamFactor) >= 6 THEN 'high' ELSE 'medium' END AS severity FROM g GROUP BY city, substr(coalesce(segment_name, segment_id), 1, 12)""")
+    CASE WHEN avg(jamFactor) >= 8 THEN 'critical' WHEN avg(jamFactor) >= 6 THEN 'high' ELSE 'medium' END AS severity FROM g GROUP BY city, coalesce(segment_name, segment_id)""")
 def prefix_hotspots(spark, sf):
     return db.current_hotspots(dv.panel(spark, sf)).drop("radius_km")
 
@@ -180,10 +180,10 @@ def scenario_impact(spark, sf):
     return tidy(out.select("city", "segment_id", "scenario", "baseline_speed", "simulated_speed", "speed_delta", "baseline_risk", "simulated_risk", "simulated_level"), 3)
 
 
-@query("upstream_edges", f"""WITH {dv.PANEL}, w AS (SELECT * FROM latest ORDER BY jamFactor DESC, city, segment_id LIMIT 200), e AS (SELECT city, segment_id AS upstream, lead(segment_id) OVER (PARTITION BY city ORDER BY jamFactor DESC, segment_id) AS downstream FROM w)
+@query("upstream_edges", f"""WITH {dv.PANEL}, w AS (SELECT * FROM latest), e AS (SELECT city, segment_id AS upstream, lead(segment_id) OVER (PARTITION BY city ORDER BY jamFactor DESC, segment_id) AS downstream FROM w)
     SELECT * FROM e WHERE downstream IS NOT NULL""")
 def upstream_edges(spark, sf):
-    return gr.upstream_edges(pn.latest_by_segment(dv.panel(spark, sf)), 200)
+    return gr.upstream_edges(pn.latest_by_segment(dv.panel(spark, sf)))
 
 
 @query("upstream_walk", f"""WITH RECURSIVE {dv.PANEL}, e AS (SELECT city, segment_id AS upstream, lead(segment_id) OVER (PARTITION BY city ORDER BY jamFactor DESC, segment_id) AS downstream FROM latest),
@@ -192,7 +192,7 @@ def upstream_edges(spark, sf):
 def upstream_walk(spark, sf):
     latest = pn.latest_by_segment(dv.panel(spark, sf))
     start = latest.filter("city = 'hanoi'").orderBy("jamFactor", F.desc("segment_id")).limit(1).collect()[0]["segment_id"]
-    return gr.upstream_walk(gr.upstream_edges(latest, 10_000), start, 3)
+    return gr.upstream_walk(gr.upstream_edges(latest), start, 3)
 
 
 @query("propagation", f"""WITH {CONTEXT}, w AS (SELECT *, row_number() OVER (ORDER BY jamFactor DESC, city, segment_id) AS rn FROM clatest), r AS (SELECT segment_id, ((rn - 1) * 500)::INTEGER AS distance_m, round(jamFactor, 2) AS jam_factor, round({risk_sql('currentSpeed')}, 3) AS risk_score FROM w WHERE rn <= 4)
@@ -285,7 +285,7 @@ def map_segments(spark, sf):
     return db.map_segments(panel, geo.parse_viewport("100,10,110,22"), 120).select("id", "city", "speedRatio", "congestionLevel", "travelTimeDelayMin")
 
 
-@query("segment_geojson", f"""WITH {dv.PANEL} SELECT city, segment_id, 'Feature' AS type, 3 AS vertices, round(jamFactor, 2) AS jam_factor, round(currentSpeed, 2) AS current_speed FROM latest ORDER BY city, segment_id LIMIT 250""")
+@query("segment_geojson", f"""WITH {dv.PANEL} SELECT city, segment_id, 'Feature' AS type, 3 AS vertices, round(jamFactor, 2) AS jam_factor, round(currentSpeed, 2) AS current_speed FROM latest""")
 def segment_geojson(spark, sf):
     """Features as JSON text, read back to compare their content."""
     out = db.geojson_features(dv.panel(spark, sf))

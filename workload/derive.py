@@ -74,11 +74,11 @@ latest AS (
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signup events as weather readings; cell W3 gets none and has to fall back to its city."""
+    """Events as weather readings; cell W3 gets none and has to fall back to its city."""
     events = table(spark, sf_dir, "events")
     road = F.floor(F.col("user_id") / 20)
     v = F.col("value")
-    return events.filter((F.col("event_type") == "signup") & (road % 4 != 3)).select(
+    return events.filter(road % 4 != 3).select(
         "event_id", F.when(road % 2 == 0, "hanoi").otherwise("hcmc").alias("city"),
         F.concat(F.lit("W"), (road % 4).cast("string")).alias("weather_cell_id"), F.col("ts").alias("event_time"),
         (15 + v % 20).alias("temp"), (15 + v % 18).alias("feels_like"), (40 + v % 70).alias("humidity"),
@@ -90,7 +90,7 @@ RAW_WEATHER = """raw_weather AS (
   SELECT event_id, CASE WHEN (user_id // 20) % 2 = 0 THEN 'hanoi' ELSE 'hcmc' END AS city, 'W' || ((user_id // 20) % 4) AS weather_cell_id,
     ts AS event_time, 15 + value % 20 AS temp, 15 + value % 18 AS feels_like, 40 + value % 70 AS humidity, 990 + value % 40 AS pressure,
     value * 21 AS visibility, value / 50 AS rain_1h, value % 12 AS wind_speed
-  FROM events WHERE event_type = 'signup' AND (user_id // 20) % 4 <> 3)"""
+  FROM events WHERE (user_id // 20) % 4 <> 3)"""
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,8 +199,8 @@ DIMENSION = """dimension AS (
 
 
 def road_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases and errors as typed road events of a city."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type").isin("error", "purchase"))
+    """Events as typed road events of a city."""
+    e = table(spark, sf_dir, "events")
     n = F.col("event_id")
     kinds = F.array(*[F.lit(x) for x in ("accident", "flood", "roadwork", "event", "other")])
     return e.select(
@@ -217,4 +217,4 @@ ROAD_EVENTS = """road_events AS (
     CASE WHEN event_id % 11 = 0 THEN date_trunc('hour', ts) ELSE ts END AS event_time,
     (['accident', 'flood', 'roadwork', 'event', 'other'])[event_id % 5 + 1] AS event_type, (event_id % 6)::INTEGER AS severity,
     (event_id % 10)::DOUBLE / 10 AS traffic_relevance_score, CASE WHEN event_id % 3 <> 0 THEN 1 ELSE 0 END AS is_relevant_for_traffic_model
-  FROM events WHERE event_type IN ('error', 'purchase'))"""
+  FROM events)"""

@@ -134,9 +134,9 @@ def baseline_values(spark, sf):
     return out.select("feature", number.alias("number"), F.when(text, F.col("baseline")).alias("label"))
 
 
-@query("hash_sample", "SELECT o_orderkey, o_custkey FROM orders WHERE ('0x' || substr(md5(o_orderkey::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE < 0.5 OR (SELECT count(*) FROM orders) <= 1000")
+@query("hash_sample", "SELECT o_orderkey, o_custkey FROM orders WHERE ('0x' || substr(md5(o_orderkey::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE < 0.5")
 def hash_sample(spark, sf):
-    return ln.hash_sample(dv.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], 0.5, 1000)
+    return ln.hash_sample(dv.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], 0.5)
 
 
 @query("model_select", f"""WITH {PRED}, k AS (SELECT city, abs(y - p) AS e1, abs(y - 30) AS e2, abs(y - p) * 0.999::DOUBLE AS e3 FROM pr WHERE p IS NOT NULL), m AS (SELECT city, 'carry' AS family, avg(e1) AS mae FROM k GROUP BY city UNION ALL SELECT city, 'flat', avg(e2) FROM k GROUP BY city UNION ALL SELECT city, 'boost', avg(e3) FROM k GROUP BY city),

@@ -408,9 +408,9 @@ def news_quality_report(spark, sf):
     return nw.news_report(cut_lineage(news(spark, sf)))
 
 
-@query("top_sources", "SELECT 'top.' || row_number() OVER (ORDER BY c DESC, source) || '.' || source AS metric, c::VARCHAR AS value FROM (SELECT source, count(*) AS c FROM documents WHERE lang = 'en' GROUP BY source ORDER BY c DESC, source LIMIT 10)")
+@query("top_sources", "SELECT 'top.' || row_number() OVER (ORDER BY c DESC, source) || '.' || source AS metric, c::VARCHAR AS value FROM (SELECT source, count(*) AS c FROM documents GROUP BY source ORDER BY c DESC, source LIMIT 10)")
 def top_sources(spark, sf):
-    return nw.top_values(docs(spark, sf).filter("lang = 'en'"), "top", "source")
+    return nw.top_values(docs(spark, sf), "top", "source")
 
 
 @query("mirror_sources", "SELECT md5(text) AS content, array_to_string(list_sort(list(DISTINCT source)), ';') AS mirrored_sources FROM documents GROUP BY md5(text)")
@@ -420,7 +420,7 @@ def mirror_sources(spark, sf):
 
 
 @query("collapse_groups", """SELECT record_id, city, severity, round(traffic_relevance_score, 6) + 0.0 AS relevance FROM (SELECT event_id AS record_id, 'g' || (event_id % 300) AS g, CASE WHEN event_id % 2 = 0 THEN 'hanoi' ELSE 'hcmc' END AS city, (event_id % 6)::INTEGER AS severity,
-    (event_id % 10)::DOUBLE / 10 AS traffic_relevance_score FROM events WHERE event_type IN ('error', 'purchase')) QUALIFY row_number() OVER (PARTITION BY g ORDER BY traffic_relevance_score DESC, severity DESC, record_id) = 1""")
+    (event_id % 10)::DOUBLE / 10 AS traffic_relevance_score FROM events) QUALIFY row_number() OVER (PARTITION BY g ORDER BY traffic_relevance_score DESC, severity DESC, record_id) = 1""")
 def collapse_groups(spark, sf):
     rows = dv.road_events(spark, sf).withColumns({"g": F.concat(F.lit("g"), (F.col("record_id") % 300).cast("string")), "severity_score": F.col("severity")})
     return tidy(nw.collapse_groups(rows, "g").select("record_id", "city", "severity", F.col("traffic_relevance_score").alias("relevance")))
