@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -163,18 +163,26 @@ def hash_sample(df: DataFrame, keys: list[str], share: float) -> DataFrame:
     return df.filter(digits.cast("double") / 4294967296.0 < share)
 
 
-def boosted_trees(features: list[str], target: str, rounds: int = 20, depth: int = 5, seed: int = 7) -> Pipeline:
+def boosted_trees(
+    features: list[str], target: str, rounds: int = 100, depth: int = 5, rate: float = 0.05, held: str | None = None, seed: int = 7
+) -> Pipeline:
+    """Up to ``rounds`` trees of some 31 leaves; ``held`` names a boolean column of rows that stop the rounds early."""
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    model = GBTRegressor(labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=0.1, subsamplingRate=0.7, seed=seed)
+    model = GBTRegressor(labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=0.7, seed=seed)
+    if held:
+        model = model.setValidationIndicatorCol(held)
     return Pipeline(stages=[assembler, model])
 
 
 def forest(numeric: list[str], categorical: list[str], target: str, trees: int = 160, leaf: int = 2, seed: int = 7) -> Pipeline:
-    """Median impute, index + one-hot with an unknown slot, many trees."""
+    """Median impute of numbers, mode impute of texts, index + one-hot with a slot for texts unseen in the fit, many trees."""
     stages = [Imputer(strategy="median", inputCols=numeric, outputCols=[f"{n}_f" for n in numeric])]
     if categorical:
-        stages.append(StringIndexer(inputCols=categorical, outputCols=[f"{n}_i" for n in categorical], handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=[f"{n}_i" for n in categorical], outputCols=[f"{n}_v" for n in categorical]))
+        # The most frequent text has index 0, so that is what a missing text gets.
+        stages.append(StringIndexer(inputCols=categorical, outputCols=[f"{n}_k" for n in categorical], handleInvalid="keep", stringOrderType="frequencyDesc"))
+        mode = ", ".join(f"IF(`{n}` IS NULL, 0.0D, `{n}_k`) AS `{n}_i`" for n in categorical)
+        stages.append(SQLTransformer(statement=f"SELECT *, {mode} FROM __THIS__"))
+        stages.append(OneHotEncoder(inputCols=[f"{n}_i" for n in categorical], outputCols=[f"{n}_v" for n in categorical], handleInvalid="keep"))
     inputs = [f"{n}_f" for n in numeric] + [f"{n}_v" for n in categorical]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     stages.append(RandomForestRegressor(labelCol=target, numTrees=trees, minInstancesPerNode=leaf, maxDepth=8,

@@ -143,3 +143,47 @@ def test_dbscan_matches_brute_force(spark):
 def test_mirrors_are_listed_once(spark):
     df = spark.createDataFrame([("g", "tuoitre"), ("g", "vnexpress"), ("g", "tuoitre")], "g string, source string")
     assert nw.mirror_sources(df, "g").collect()[0]["mirrored_sources"] == ["tuoitre", "vnexpress"]
+
+
+def test_alert_of_a_city_with_the_separator(spark):
+    from panelforge.plans import dashboards
+
+    rows = [("can_tho", "S1", 5.0), ("can", "tho_S1", 1.0)]
+    panel = spark.createDataFrame(rows, "city string, segment_id string, jamFactor double").withColumns({
+        "time_bucket": F.lit("2024-01-01").cast("timestamp_ntz"), "timestamp": F.lit("2024-01-01").cast("timestamp_ntz"), "currentSpeed": F.lit(10.0), "freeFlowSpeed": F.lit(50.0),
+    })
+    assert [(r["city"], r["segment_id"]) for r in dashboards.alert_by_id(panel, "alert_can_tho_S1").collect()] == [("can_tho", "S1")]
+    assert dashboards.alert_by_id(panel, "plain").count() == 0
+
+
+def test_upserted_takes_one_row_per_key(spark):
+    from panelforge.sources import sinks
+
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    updates = spark.createDataFrame([(2, "x"), (2, "y"), (3, "z")], "k int, v string")
+    assert sorted(tuple(r) for r in sinks.upserted(target, updates, ["k"]).collect()) == [(1, "a"), (2, "y"), (3, "z")]
+
+
+def test_repeated_news_lines_have_ids_of_their_own(spark, tmp_path):
+    from panelforge.sources import readers
+
+    (tmp_path / "a.jsonl").write_text('{"title": "x", "tags": ["p", "q"]}\n' * 2)
+    rows = readers.read_news(spark, str(tmp_path)).collect()
+    assert len({r["record_id"] for r in rows}) == 2 and all(r["tags"] == '["p","q"]' for r in rows)
+
+
+def test_all_scenarios_and_segments_are_kept(spark):
+    from panelforge.operators import graph
+    from panelforge.plans import dashboards
+
+    latest = spark.range(300).select(
+        F.lit("hanoi").alias("city"), F.format_string("S%03d", "id").alias("segment_id"), (F.col("id") % 7).cast("double").alias("jamFactor"),
+        F.lit(20.0).alias("currentSpeed"), F.lit(50.0).alias("freeFlowSpeed"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("timestamp"), F.lit("2024-01-01").cast("timestamp_ntz").alias("time_bucket"),
+    )
+    scenarios = spark.range(1100).select(F.col("id").cast("string").alias("name"), F.lit(1.0).alias("rain_1h_mm"), F.lit("none").alias("event_type"), F.lit(False).alias("is_peak_hour"))
+    assert dashboards.scenario_impact(latest.limit(2), scenarios).count() == 2200
+    assert dashboards.geojson_features(latest).count() == 300
+    pairs = {(r["upstream"], r["downstream"]) for r in graph.upstream_edges(latest).collect()}
+    order = [r["segment_id"] for r in latest.orderBy(F.desc("jamFactor"), "segment_id").collect()]
+    assert pairs == set(zip(order, order[1:]))
