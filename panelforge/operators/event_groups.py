@@ -78,10 +78,13 @@ def event_groups(
     ).withColumns({"g": F.md5(F.concat_ws("\x01", "city", "category", "title", "place")), "day": F.floor(F.col("t") / DAY)})
     shaped = cut_lineage(shaped)
     groups = cut_lineage(shaped.select("g", "city", "category", "title", "place").distinct())
-    near = similar_titles(groups, ["city", "category"], "g", "title", strict).select("a", "b")
-    placed = groups.filter("place <> ''")
-    loose = similar_titles(placed, ["city", "category", "place"], "g", "title", same_place).select("a", "b")
-    edges = near.unionByName(loose)
+    # Groups reach at most a day, so titles meet only on equal or neighbouring days: a row stands in its day and the next,
+    # and two such rows share one of these. That bounds a block by the titles of two days, not of all time.
+    daily = shaped.select("g", "city", "category", "title", "place", F.explode(F.array("day", F.col("day") + 1)).alias("_near")).distinct()
+    near = similar_titles(daily, ["city", "category", "_near"], "g", "title", strict).select("a", "b")
+    placed = daily.filter("place <> ''")
+    loose = similar_titles(placed, ["city", "category", "place", "_near"], "g", "title", same_place).select("a", "b")
+    edges = near.unionByName(loose).distinct()
     links = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(
         groups.select(F.col("g").alias("a"), F.col("g").alias("b"))
     )

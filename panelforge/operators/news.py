@@ -282,14 +282,14 @@ def news_table(
     lower_or_empty = lambda name: F.lower(F.coalesce(F.col(name), F.lit("")))
     full_text = F.trim(F.concat_ws(" ", F.col("title_raw"), F.col("summary_text")))
     folded_hints = {k: [tx.fold_word(w) for w in words] for k, words in hints.items()}
-    base = published_time(base).withColumns(
+    base = published_time(base).withColumn("_folded", tx.fold_accents(full_text)).withColumns(
         {
             "url_hash": F.sha2(F.col("canonical_url"), 256),
             "content_hash": F.sha2(F.concat_ws("|", lower_or_empty("title_raw"), lower_or_empty("summary_text")), 256),
             "source_domain": urls.domain(F.col("source_url")),
             "source_section": urls.section(F.col("source")),
             "_place": city_by_alias(full_text, F.col("city_hint"), aliases),
-            "_labels": tx.let(tx.fold_accents(full_text), lambda folded: tx.all_labels(folded, folded_hints)),
+            "_labels": tx.all_labels(F.col("_folded"), folded_hints),
             "ingestion_time_utc": tm.parse_utc(F.col("ingestion_time")),
         }
     )
@@ -351,7 +351,9 @@ def mark_duplicates(news: DataFrame, order: list[str]) -> DataFrame:
         first = news.filter(F.col(key).isNotNull()).groupBy(key).agg(
             F.min_by("record_id", F.struct(*order, "record_id")).alias(f"_first_{key}")
         )
-        out = out.join(first, key, "left")
+        # Rows without the key get one of their own, so that they don't meet in one task.
+        own = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\x00"), F.col("record_id").cast("string")))
+        out = out.withColumn("_own", own).join(first.withColumnRenamed(key, "_own"), "_own", "left").drop("_own")
     seen = lambda key: F.when(F.col(f"_first_{key}") != F.col("record_id"), F.col(f"_first_{key}"))
     original = F.coalesce(seen("external_id"), seen("url_hash"), seen("content_hash"))
     flags = F.col("data_quality_flags")
