@@ -43,7 +43,42 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    ruled = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return ruled.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLES["op3_quality_rules"] = f"""
+WITH w AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), chars AS (
+  SELECT id, pos, length(ws[pos])::BIGINT AS n FROM (SELECT id, ws, unnest(range(1, len(ws) + 1)) AS pos FROM w)
+), totals AS (SELECT id, sum(n)::BIGINT AS word_chars FROM chars GROUP BY id
+), limits(n, most) AS (VALUES {", ".join(f"({n}, {share}::DOUBLE)" for n, share in quality_rules.DUPLICATE_SHARE.items())}
+), grams AS (
+  SELECT id, n, pos, row_number() OVER same AS nth, count(*) OVER (PARTITION BY id, n, gram) AS times
+  FROM (SELECT id, n, pos, array_to_string(ws[pos : pos + n - 1], ' ') AS gram FROM (SELECT id, ws, n, unnest(range(1, len(ws) - n + 2)) AS pos FROM w, limits))
+  WINDOW same AS (PARTITION BY id, n, gram ORDER BY pos)
+), repeats AS (
+  SELECT id, count(DISTINCT place) AS n_repeat_words FROM (SELECT id, unnest(range(pos, pos + 8)) AS place FROM grams WHERE n = 8 AND times > 1) GROUP BY id
+), covered AS (
+  SELECT DISTINCT id, n, unnest(range(pos, pos + n)) AS place FROM grams WHERE nth > 1
+), over_n AS (
+  SELECT DISTINCT v.id FROM (SELECT c.id, c.n, sum(k.n) AS covered FROM covered c JOIN chars k ON k.id = c.id AND k.pos = c.place GROUP BY c.id, c.n) v
+  JOIN limits USING (n) JOIN totals t ON t.id = v.id WHERE v.covered / t.word_chars > most
+), lines AS (
+  SELECT id, line, row_number() OVER (PARTITION BY id, line) AS nth, length(regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g')) AS n
+  FROM (SELECT id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+), dup_lines AS (SELECT id, count(*) AS n_dup_lines, sum(n) AS n FROM lines WHERE nth > 1 GROUP BY id
+), measured AS (
+  SELECT w.id, doc_id, len(ws)::BIGINT AS n_words, coalesce(word_chars, 0) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(d.n, 0) AS dup_chars, o.id IS NOT NULL AS over_n
+  FROM w LEFT JOIN totals t USING (id) LEFT JOIN repeats r USING (id) LEFT JOIN dup_lines d USING (id) LEFT JOIN over_n o USING (id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT over_n AND NOT (dup_chars / word_chars > {quality_rules.DUPLICATE_LINE_SHARE}::DOUBLE)
+    AND NOT (n_symbols > {quality_rules.SYMBOLS_PER_WORD}::DOUBLE * n_words) AS kept
+FROM measured
+"""
 
 
 @query
