@@ -101,6 +101,18 @@ def counts(lines: DataFrame, schema: str, name: str) -> tuple[DataFrame, str]:
     return watched, name
 
 
+def count_batches(lines: DataFrame, schema: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Sent / failed per micro-batch as a table of one row per batch: progress records are kept for the last
+    batches only. A batch that runs again replaces its own row."""
+
+    def save(batch: DataFrame, number: int) -> None:
+        row = batch.agg(F.count(F.lit(1)).alias("sent"), F.count_if("bad").alias("failed"))
+        row.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = parsed(lines, schema).writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
 def run_to_table(spark: SparkSession, stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """Run a bounded stream to the end and return what it wrote."""
     root = scratch_path(spark, label)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelforge.operators import cluster as cl, dedup as dd
 from panelforge.operators.event_groups import event_groups
 from panelforge.operators import panel as pn, timeseries as ts
+from panelforge.session import cut_lineage
 from workload import derive as dv
 from workload.registry import pick, query, tidy
 from workload.text_queries import STOPWORDS, TOKENS, docs, title
@@ -132,6 +133,6 @@ def cluster_stats(spark, sf):
 def segment_hotspots(spark, sf):
     """Density clusters of the newest row of each segment in standardized coordinates, with their statistics."""
     latest = ts.add_base_features(pn.latest_by_segment(dv.panel(spark, sf)))
-    placed = cl.standardize(latest, ["lat", "lon"], ["city"])
+    placed = cut_lineage(cl.standardize(cut_lineage(latest), ["lat", "lon"], ["city"]))
     labels = cl.dbscan(placed, "segment_id", "lat_z", "lon_z", "city", {"hanoi": (1.0, 2), "hcmc": (1.0, 2)})
     return cl.cluster_stats(placed.join(labels.select("segment_id", "city", "cluster"), ["segment_id", "city"]), "city")

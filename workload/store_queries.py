@@ -246,12 +246,7 @@ def stream_union(spark, sf):
 
 @query("stream_counts", "SELECT count(*) AS sent, count(*) FILTER (event_id % 50 = 13) AS failed FROM events")
 def stream_counts(spark, sf):
-    """Counters from the progress of a finished stream, beside a count of what arrived."""
-    watched, name = st.counts(stream_lines(spark, sf), MESSAGE, "intake")
+    """Totals over all micro-batches of a finished stream."""
     root = scratch_path(spark, "counts")
-    run = st.to_bronze(watched.select("value", "bad"), f"{root}/out", f"{root}/checkpoint", once=True)
-    run.awaitTermination()
-    totals = [p["observedMetrics"][name] for p in run.recentProgress if name in p["observedMetrics"]]
-    sent, failed = sum(t["sent"] for t in totals), sum(t["failed"] for t in totals)
-    arrived = spark.read.parquet(f"{root}/out")
-    return arrived.agg(F.count(F.lit(1)).alias("sent"), F.count_if("bad").alias("failed")).filter((F.col("sent") == sent) & (F.col("failed") == failed))
+    st.count_batches(stream_lines(spark, sf), MESSAGE, f"{root}/batches", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/batches").agg(F.sum("sent").alias("sent"), F.sum("failed").alias("failed"))
