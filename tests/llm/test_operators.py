@@ -276,6 +276,30 @@ def test_spelling_is_a_distribution():
     assert mixing_lm.spelled([b"then"], tables, mixer)[0] > mixing_lm.spelled([b"zqxv"], tables, mixer)[0]
 
 
+def test_matches_look_back_within_a_text():
+    rng = np.random.default_rng(0)
+    parts = [rng.integers(0, 4, n).tolist() for n in (1, 5, 30, 2, 40)]
+    expected = []
+    for words in parts:
+        run = 0
+        for t, w in enumerate(words):
+            before = [j for j in range(t - 1) if words[j] == words[t - 1]] if t else []
+            hit = bool(before) and words[before[-1] + 1] == w
+            expected.append((bool(before), hit, min(run, len(mixing_lm.MATCH) - 1)))
+            run = run + 1 if hit else 0
+    got = mixing_lm.matches(np.array(sum(parts, []), np.int32), np.r_[0, np.cumsum([len(p) for p in parts])])
+    assert list(zip(*(x.tolist() for x in got))) == expected
+
+
+def test_quality_rules_equal_their_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    columns = "doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept"
+    expected = con.execute(f"SELECT {columns} FROM ({queries.ORACLES['op3_quality_rules']})").fetchall()
+    got = queries.op3_quality_rules(spark, SF).select(*columns.split(", ")).collect()
+    assert Counter(map(tuple, got)) == Counter(expected)
+
+
 def test_quality_sampling(spark):
     sf = "/root/testdata/sf0.01"
     label = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
