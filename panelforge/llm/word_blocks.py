@@ -21,7 +21,7 @@ from panelforge.llm.common import as_texts, mapped, small_batches, stored, tasks
 from panelforge.session import scratch_path
 
 #: Distinct words and word positions of one block: bounds a task's memory.
-WORDS, POSITIONS = 1 << 18, 1 << 23
+WORDS, POSITIONS = 1 << 19, 1 << 23
 #: Word lists of a block are cut into buckets by hash: at least so many, and some for each task of a shuffle. A bucket's
 #: distinct words meet in one task.
 BUCKETS, BUCKETS_PER_TASK = 1024, 4
@@ -79,17 +79,21 @@ def write_blocks(docs: DataFrame, splitter: Callable[[], Callable[[str], list]],
             keys, texts, of = batch.column(0), as_texts(batch.column(1)), batch.column(2).to_pylist()
             codes = [np.fromiter(map(index.__getitem__, split(t)), np.int32) for t in texts]
             if writer is None:
-                schema = pa.schema([("key", keys.type), ("low", pa.list_(pa.uint16())), ("high", pa.list_(pa.uint16()))])
+                schema = pa.schema([("key", keys.type), *((f"byte{i}", pa.list_(pa.uint8())) for i in range(3))])
                 sink = pa.BufferOutputStream()
-                writer = pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+                writer = pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6)))
             ends = np.r_[0, np.cumsum([len(c) for c in codes])].astype(np.int32)
             flat = np.concatenate(codes) if codes else np.zeros(0, np.int32)
-            listed = lambda x: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x.astype(np.uint16)))
-            writer.write_batch(pa.RecordBatch.from_arrays([keys, listed(flat & 0xFFFF), listed(flat >> 16)], names=["key", "low", "high"]))
+            # Numbers byte by byte: early numbers are frequent words, so the upper bytes compress to little.
+            listed = lambda x: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x.astype(np.uint8)))
+            writer.write_batch(pa.RecordBatch.from_arrays([keys, *(listed(flat >> (8 * i) & 0xFF) for i in range(3))], schema=schema))
             positions += len(flat)
             if groups:
                 counts = np.bincount(np.concatenate([c.astype(np.int64) * groups + g for c, g in zip(codes, of) if g >= 0] or [np.zeros(0, np.int64)]), minlength=len(index) * groups)
-                seen.append(counts.reshape(-1, groups).T)
+                counts = np.ascontiguousarray(counts.reshape(-1, groups).T)
+                for earlier in seen:
+                    counts[:, : earlier.shape[1]] += earlier
+                seen = [counts]
             if len(index) >= WORDS or positions >= POSITIONS:
                 writer.close()
                 yield from _close(index, sink.getvalue(), seen, groups, folder, buckets)
@@ -155,6 +159,6 @@ def texts_of(folder: str, block: int) -> Iterator[tuple[pa.Array, np.ndarray, np
     """(keys, ends, codes) of a block, batch by batch; codes[ends[i]:ends[i + 1]] are the word numbers of text i."""
     with pa.ipc.open_stream(mapped(f"{folder}/{block}.docs")) as stream:
         for batch in stream:
-            low, high = batch.column(1), batch.column(2)
-            ends = low.offsets.to_numpy()
-            yield batch.column(0), ends - ends[0], low.flatten().to_numpy().astype(np.int32) | high.flatten().to_numpy().astype(np.int32) << 16
+            ends = batch.column(1).offsets.to_numpy()
+            parts = [batch.column(1 + i).flatten().to_numpy().astype(np.int32) << (8 * i) for i in range(3)]
+            yield batch.column(0), ends - ends[0], parts[0] | parts[1] | parts[2]
