@@ -15,7 +15,7 @@ from math import log2
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from panelforge.llm.common import as_texts, components, small_batches, stored, text_or_empty
 
@@ -260,12 +260,15 @@ def simhash_groups(docs: DataFrame, radius: int = 4, key: str = "doc_id", text:
 
 
 def near_duplicate_free(docs: DataFrame, radius: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document per group: the one with the smallest key (of equal keys, all rows but one go too)."""
-    groups = simhash_groups(docs, radius, key, text)
-    stay = groups.filter(F.col(key) == F.col("component_id")).select(key).distinct()
-    kept = docs.join(stay, key, "left_semi")
-    again = kept.groupBy(key).count().filter("count > 1").select(key)
-    row = F.row_number().over(Window.partitionBy(key).orderBy(*docs.columns))
-    single = kept.join(again, key, "left_anti")
-    repeated = kept.join(again, key, "left_semi").withColumn("_row", row).filter("_row = 1").drop("_row")
-    return single.unionByName(repeated).select(*docs.columns)
+    """``docs`` with one row per group: the one with the smallest key, null keys last, then by a hash of the whole row.
+
+    Rows are told apart by that hash, so different texts under one key are judged each for itself; of equal rows one stays.
+    """
+    # A null leaves the hash as it was, so which columns are null goes in too.
+    row = F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns])
+    identity = F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"), row.alias("row"))
+    groups = simhash_groups(docs.select(identity.alias("_id"), F.col(text).alias("_body")), radius, "_id", "_body")
+    stay = groups.filter(F.col("_id") == F.col("component_id")).groupBy(F.col("_id.row").alias("_row")).agg((F.count(F.lit(1)) > 1).alias("_again"))
+    kept = docs.withColumn("_row", row).join(stay, "_row")
+    single, repeated = (kept.filter(c).select(*docs.columns) for c in (~F.col("_again"), F.col("_again")))
+    return single.unionByName(repeated.dropDuplicates())

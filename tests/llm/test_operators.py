@@ -189,6 +189,13 @@ def test_simhash_groups(odd, docs, spark):
     assert left.columns == odd.columns and left.filter("doc_id = 3").count() <= 1
 
 
+def test_near_duplicate_stage_loses_no_text(spark):
+    long = " ".join(f"w{i}" for i in range(200))
+    rows = [(1, long), (1, "another text under the same id"), (2, long), (None, "a text without an id"), (None, long), (None, "one more text without an id"), (3, "said twice"), (3, "said twice")]
+    left = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert Counter(map(tuple, left.collect())) == Counter([rows[0], rows[1], rows[3], rows[5], rows[6]])
+
+
 @pytest.mark.parametrize("part", [2048, 20])
 def test_bit_sliced_links_miss_nothing(spark, part):
     rng = np.random.default_rng(5)
