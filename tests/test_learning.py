@@ -79,3 +79,19 @@ def test_unknown_topic():
 def test_missing_table_is_reported(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         rd.read_first(spark, str(tmp_path / "nothing"))
+
+
+@pytest.mark.parametrize("name", ["attribution", "feature_importance", "batch_predict"])
+def test_queries_fit_the_published_rounds(spark, monkeypatch, name):
+    from workload import learning_queries as lq
+
+    asked = []
+
+    def fit(train, features, horizons, **options):
+        asked.append((options, "held" in train.columns))
+        raise InterruptedError
+
+    monkeypatch.setattr(lq.ln, "fit_horizons", fit)
+    with pytest.raises(InterruptedError):
+        getattr(lq, name)(spark, "/root/testdata/sf0.001")
+    assert asked == [({"held": "held"}, True)]

@@ -171,12 +171,16 @@ def _held_out(spark, sf):
     return cut_lineage(ts.ordered_holdout(rows)), inputs
 
 
+def _stopping(rows):
+    """A fifth of the rows stops the rounds early."""
+    return rows.withColumn("held", F.pmod(F.xxhash64(*KEYS.split()), F.lit(5)) == 0)
+
+
 @query("train_boosted")
 def train_boosted(spark, sf):
     """One boosted model per horizon, its rounds stopped early on part of the fitted rows: errors on the later rows."""
     rows, inputs = _held_out(spark, sf)
-    fitted = rows.filter("split = 'train'").withColumn("held", F.pmod(F.xxhash64(*KEYS.split()), F.lit(5)) == 0)
-    models = ln.fit_horizons(fitted, inputs, HORIZONS, held="held")
+    models = ln.fit_horizons(_stopping(rows.filter("split = 'train'")), inputs, HORIZONS, held="held")
     scored = ln.predict_horizons(rows.filter("split = 'test'"), models, [*KEYS.split(), *[f"future_speed_{h}m" for h in HORIZONS]], F.current_timestamp())
     long = F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"future_speed_{h}m").alias("y"), F.col(f"predicted_speed_{h}m").alias("p")) for h in models])
     return ln.regression_metrics(scored.select(F.inline(long)), "y", "p", ["horizon"])
@@ -195,7 +199,7 @@ def train_forest(spark, sf):
 def batch_predict(spark, sf):
     """Later rows under a model of the earlier ones."""
     rows, inputs = _held_out(spark, sf)
-    models = ln.fit_horizons(rows.filter("split = 'train'"), inputs, (60,), rounds=20)
+    models = ln.fit_horizons(_stopping(rows.filter("split = 'train'")), inputs, (60,), held="held")
     return ln.predict_horizons(rows.filter("split = 'test'"), models, [*KEYS.split(), "currentSpeed"], F.lit("2024-02-01").cast("timestamp"))
 
 
@@ -203,7 +207,7 @@ def batch_predict(spark, sf):
 def attribution(spark, sf):
     """Top features of the newest row of each segment by single-feature replacement."""
     rows, inputs = _training(spark, sf)
-    model = ln.fit_horizons(rows, inputs, (60,), rounds=5, depth=4)[60]
+    model = ln.fit_horizons(_stopping(rows), inputs, (60,), held="held")[60]
     baseline = {r["feature"]: float(r["baseline"]) for r in ln.baseline_values(rows, inputs, []).collect()}
     return ln.attribution(latest_by_segment(rows), model, inputs, baseline, ["city", "segment_id"])
 
@@ -211,7 +215,7 @@ def attribution(spark, sf):
 @query("feature_importance")
 def feature_importance(spark, sf):
     rows, inputs = _training(spark, sf)
-    model = ln.fit_horizons(rows, inputs, (60,), rounds=3, depth=3)[60]
+    model = ln.fit_horizons(_stopping(rows), inputs, (60,), held="held")[60]
     return ln.importances(model, spark, inputs)
 
 
