@@ -3,7 +3,7 @@
 A window that the toxic dictionary makes shorter holds what toxic texts say and ordinary ones do not. Both dictionaries are
 trained by zstandard on labelled texts; their contents are used as raw prefixes, the ordinary one in both, so the difference in
 length is what the toxic part saves. A window is a word with its borders: longer ones bury a short insult under the
-chance matches of their other words (held-out recall at 0.7 falls from 0.86 to 0.71 with eight words), and as windows repeat, a
+chance matches of their other words (held-out recall falls with longer ones), and as windows repeat, a
 worker compresses each distinct one once. A logistic curve over the savings, fitted on labelled texts that the dictionaries
 have not seen, calibrates the score.
 """
@@ -26,6 +26,7 @@ TOXIC_ROWS, ORDINARY_ROWS = 2000, 4000
 TOXIC_BYTES, ORDINARY_BYTES = 2048, 4096
 #: A byte n-gram goes into the toxic samples if it is in this share of the toxic texts, and so many times as often as in ordinary ones.
 GRAM, MIN_SHARE, MIN_TEXTS, MIN_RATIO = 5, 0.01, 4, 3.0
+STRETCH = 300  # words of one ordinary sample; a longer text is several
 MARKS = b".,;:!?\"'()|"
 #: Begins every window and both dictionaries: its match pays the fixed cost of a block, so a second match shows in full.
 LEAD = b"~#~#~#~#~#~#"
@@ -46,7 +47,10 @@ def window(word: bytes) -> bytes:
 
 
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
-    own = zstandard.ZstdCompressionParameters(format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_dict_id=False, write_checksum=False, **PARAMETERS)
+    """Its tables and its reach grow with the dictionary, so that all of a larger one is found."""
+    bits = len(content).bit_length()
+    sizes = {k: max(PARAMETERS[k], bits + 1) for k in ("window_log", "hash_log", "chain_log")}
+    own = zstandard.ZstdCompressionParameters(format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_dict_id=False, write_checksum=False, **PARAMETERS | sizes)
     return zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=own)
 
 
@@ -100,13 +104,11 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     telling = {g for g, c in in_a.items() if c >= least and (c - 2 * c**0.5) / len(a) > MIN_RATIO * (in_b[g] + 1) / (len(b) + 1)}
     found = [[f for w in words for f in fragments(w, telling)] for words in a]
     said = [b"|".join(f) for f in found]
-    plain = [b" %b " % b" ".join(words[:300]) for words in b]
+    plain = [b" %b " % b" ".join(words[i : i + STRETCH]) for words in b for i in range(0, len(words), STRETCH)]
     pick = lambda samples: [s for s in samples if len(s) > 8]
     content = trained(pick(said), TOXIC_BYTES)
-    # Training cuts segments of fixed length; the most frequent fragments that it left incomplete fill the rest.
+    # Training cuts segments of fixed length; the fragments that it left incomplete follow, all of them, however many.
     for f, _ in sorted(Counter(f for x in found for f in set(x)).items(), key=lambda x: (-x[1], x[0])):
-        if len(content) + len(f) > 2 * TOXIC_BYTES:
-            break
         if f not in content:
             content = f + content
     return content, trained(pick(plain), ORDINARY_BYTES)

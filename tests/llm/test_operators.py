@@ -335,6 +335,22 @@ def test_toxicity_held_out(spark):
     assert np.mean(clean) <= 0.005 and np.mean(toxic) >= 0.45 and all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_toxicity_dictionaries_read_whole_texts(monkeypatch):
+    offered, train = [], toxicity.trained
+    monkeypatch.setattr(toxicity, "trained", lambda samples, size: offered.append(samples) or train(samples, size))
+    rng = np.random.default_rng(0)
+    word = lambda n: "".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), n))
+    late = [word(12) for _ in range(4)]
+    ordinary = [" ".join([f"{word(3)}" for _ in range(320)] + late * 20) for _ in range(150)]
+    insults = [word(14) for _ in range(700)]
+    toxic = [" ".join(rng.choice(insults, 60)) for _ in range(400)]
+    content, plain = toxicity.dictionaries(toxic, ordinary)
+    assert b" ".join(offered[1]).split() == " ".join(ordinary).encode().split()
+    assert len(content) > 2 * toxicity.TOXIC_BYTES and all(w.encode() in content for w in insults)
+    scorer = toxicity.Scorer(content, plain)
+    assert min(scorer.saved(w.encode()) for w in insults) > 0  # the compressor reaches all of it
+
+
 def test_url_rules(spark):
     canonical = lambda u: f"<link href='{u}' rel=canonical>"
     pages = [
