@@ -7,10 +7,13 @@ an explicit allow lies among them.
 
 from __future__ import annotations
 
+import json
 import string
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from panelforge.functions.text import let
 from panelforge.llm.common import components, stored
 
 # Tags of a page that name another URL of the same content. The patterns mean the same to Java and RE2.
@@ -55,16 +58,64 @@ def decided(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return found.groupBy("url").agg(best.alias("_b")).select("url", "_b.rule", "_b.action")
 
 
-def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b) from canonical links and refresh redirects; targets that start with ``/`` or ``//`` are completed, other relative ones left out."""
-    base = F.col(url)
-    scheme = F.substring_index(base, "://", 1)
+def decoded(text: Column) -> Column:
+    """Character references of an attribute's value as HTML reads them: by number, by name, and by the old names that need no semicolon."""
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+
+    def piece(p: Column) -> Column:
+        return let(F.regexp_extract(p, r"^(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?", 0), lambda found: sign_and_rest(p, found))
+
+    def sign_and_rest(p: Column, found: Column) -> Column:
+        digits = F.regexp_extract(found, r"^#[xX]?([0-9a-fA-F]+)", 1)
+        code = F.when(F.rlike(found, F.lit("^#[xX]")), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        numbered = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        rest = F.substring(p, F.length(found) + 1, F.length(p))
+        named = F.when(F.endswith(found, F.lit(";")) | ~F.startswith(rest, F.lit("=")), F.try_element_at(names, found))
+        sign = F.when(F.startswith(found, F.lit("#")), numbered).otherwise(named)
+        return F.coalesce(F.concat(sign, rest), F.concat(F.lit("&"), p))
+
+    return let(F.split(text, "&"), lambda pieces: F.concat(pieces[0], F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), piece), "")))
+
+
+def without_dots(url: Column) -> Column:
+    """``.`` and ``..`` segments of the path worked out; a path without any stays as it is."""
+    origin = F.regexp_extract(url, r"^[^/?#]*://[^/?#]*", 0)
+    rest = F.substring(url, F.length(origin) + 1, F.length(url))
+    path = F.regexp_extract(rest, r"^[^?#]*", 0)
+    tail = F.substring(rest, F.length(path) + 1, F.length(rest))
+    segments = F.split(F.substring(path, 2, F.length(path)), "/")
+    step = lambda kept, s: F.when(s == ".", kept).when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(s)))
+    left = F.aggregate(segments, F.array().cast("array<string>"), step)
+    closing = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.when(F.rlike(path, F.lit(r"/\.\.?(/|$)")), F.concat(origin, F.lit("/"), F.array_join(F.concat(left, closing), "/"), tail)).otherwise(url)
+
+
+def resolved(base: Column, t: Column) -> Column:
+    """The URL that a target names on the page ``base``, dot segments as they stand; null if its scheme has no ``://``."""
     origin = F.regexp_extract(base, r"^[^/?#]*://[^/?#]*", 0)
+    path = F.regexp_extract(F.substring(base, F.length(origin) + 1, F.length(base)), r"^[^?#]*", 0)
+    folder = F.concat(origin, F.coalesce(F.nullif(F.regexp_extract(path, r"^.*/", 0), F.lit("")), F.lit("/")))
+    own_scheme = F.rlike(t, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*:"))
+    whole = (
+        F.when(own_scheme, F.when(F.rlike(t, F.lit(r"^[^/?#]*://")), t))
+        .when(F.startswith(t, F.lit("//")), F.concat(F.substring_index(base, "://", 1), F.lit(":"), t))
+        .when(F.startswith(t, F.lit("/")), F.concat(origin, t))
+        .when(F.startswith(t, F.lit("?")), F.concat(origin, path, t))
+        .when(F.startswith(t, F.lit("#")), F.concat(without_fragment(base), t))
+        .when(t != "", F.concat(folder, t))
+    )
+    return whole
+
+
+def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(a, b) from canonical links and refresh redirects, their targets decoded and resolved against the page's URL."""
     tags = lambda tag, target: F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, target, 1))
     targets = F.explode(F.concat(tags(LINK_TAG, LINK_TARGET), tags(REFRESH_TAG, REFRESH_TARGET)))
-    rows = pages.filter(F.col(url).contains("://")).select(base.alias("_url"), scheme.alias("_scheme"), origin.alias("_origin"), targets.alias("t"))
-    whole = F.when(F.startswith("t", F.lit("//")), F.concat("_scheme", F.lit(":"), "t")).when(F.startswith("t", F.lit("/")), F.concat("_origin", "t")).when(F.col("t").contains("://"), F.col("t"))
-    return rows.select(F.col("_url").alias("a"), whole.alias("b")).filter("b is not null").distinct()
+    rows = pages.filter(F.col(url).contains("://")).select(F.col(url).alias("a"), targets.alias("t"))
+    # Each step is bound by let: merged projections would repeat its whole expression wherever the next one names it.
+    whole = let(decoded(F.col("t")), lambda t: let(resolved(F.col("a"), t), without_dots))
+    return rows.select("a", whole.alias("b")).filter("b is not null").distinct()
 
 
 def without_fragment(url: Column) -> Column:

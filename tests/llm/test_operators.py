@@ -351,6 +351,21 @@ def test_toxicity_dictionaries_read_whole_texts(monkeypatch):
     assert min(scorer.saved(w.encode()) for w in insults) > 0  # the compressor reaches all of it
 
 
+def test_url_targets_are_resolved(spark):
+    base = "http://a.org/x/y/page.html?q=1#f"
+    named = {
+        "next.html": "http://a.org/x/y/next.html", "?id=5&amp;n=2": "http://a.org/x/y/page.html?id=5&n=2", "../z": "http://a.org/x/z", "../../../z/.": "http://a.org/z/",
+        "/k/../m?a=/../b": "http://a.org/m?a=/../b", "//b.org/./c": "http://b.org/c", "https://c.org/a&#x26;b&#38;c": "https://c.org/a&b&c", "mailto:a@b.org": None,
+        "go?to=http://d.org": "http://a.org/x/y/go?to=http://d.org", "/p?a=1&copy=2&lt;&bogus;&#0;": "http://a.org/p?a=1&copy=2<&bogus;&#0;", "/&eacute;&#128512;": "http://a.org/é\U0001F600",
+    }
+    pages = [(i, base, f'<link rel="canonical" href="{t}">') for i, t in enumerate(named)] + [(99, "http://e.net", "<meta http-equiv=refresh content='0;url=b'>")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {(r["a"], r["b"]) for r in url_rules.page_links(frame).collect()}
+    assert got == {(base, b) for b in named.values() if b} | {("http://e.net", "http://e.net/b")}
+    judged = url_rules.judge_urls(spark.createDataFrame([(1, "http://f.org/a/b", "<link rel=canonical href=../c>"), (2, "http://f.org/c", "")], "page_id long, url string, html string"), url_rules.rule_table(spark, [("block", "f.org/c")]))
+    assert {(r["page_id"], r["verdict"]) for r in judged.collect()} == {(1, "block"), (2, "block")}
+
+
 def test_url_rules(spark):
     canonical = lambda u: f"<link href='{u}' rel=canonical>"
     pages = [
