@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from panelforge.llm import embed_dedup, mixing_lm, packing, quality_rules, quality_sampling, simhash, token_files, toxicity, url_rules, word_bpe
+from panelforge.llm import (
+    embed_dedup, fill_middle, hash_tree, mixing_lm, packing, quality_rules, quality_sampling, simhash, token_files, toxicity, url_rules, whitening, word_bpe,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -159,3 +161,72 @@ WITH RECURSIVE tags AS (
 SELECT p.page_id, coalesce(x.host, '') AS host, coalesce(x.path, '') AS path, d.rule, coalesce(d.action, a.action, 'allow') AS verdict
 FROM pages p LEFT JOIN parsed x ON x.url = p.url LEFT JOIN decided d ON d.url = p.url LEFT JOIN aliases a ON a.node = split_part(p.url, '#', 1)
 """
+
+
+@query
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    restored = fill_middle.restore(fill_middle.fill_in_middle(table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80))
+    return restored.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+ORACLES["op11_fill_middle"] = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS units,
+    sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), drawn AS (
+  SELECT *, len(units)::BIGINT AS n, list_transform(range(4), lambda i: ('0x' || substr(h, 8 * i + 1, 8))::BIGINT) AS draws FROM d
+), cut AS (
+  SELECT *, least(draws[1] % (n + 1), draws[2] % (n + 1)) AS low, greatest(draws[1] % (n + 1), draws[2] % (n + 1)) AS high,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR draws[3] % 100 >= 50 THEN 'plain'
+      WHEN draws[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), parts AS (
+  SELECT *, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle, array_to_string(units[high + 1:], '') AS suffix FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+TREE = hash_tree.even_tree(regions=4, racks=2, per_rack=2)
+
+
+@query
+def op12_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.shards(table(spark, sf_dir, "documents"), TREE)
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), count=32)
+
+
+def _tree_sql(tree: hash_tree.Tree, source: str, into: str) -> str:
+    """The tree as a table of nodes, descended level by level: of a node's children the one that draws the most."""
+    nodes = sorted({(path, name, weight) for path in {(), *((x.region,) for x in tree.leaves), *((x.region, x.rack) for x in tree.leaves)} for name, weight in tree.children(*path)})
+    values = ", ".join(f"('{'.'.join(map(str, path))}', '{'.'.join(map(str, (*path, name)))}', {name}, {weight}::DOUBLE)" for path, name, weight in nodes)
+    level = lambda of: f"""
+  SELECT doc_id, arg_max(node, drawn) AS node, arg_max(name, drawn) AS name FROM (
+    SELECT p.doc_id, t.node, t.name, row(ln((('0x' || substr(md5(p.key || '/' || t.node), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE) / t.weight, t.name) AS drawn
+    FROM {of} p JOIN {into}_nodes t ON t.parent = p.node) GROUP BY doc_id"""
+    again = lambda name: f"(SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS key, node FROM {name})"
+    return f"""{into}_nodes(parent, node, name, weight) AS (VALUES {values}),
+{into}_root AS (SELECT DISTINCT doc_id, '' AS node FROM {source}), {into}_regions AS ({level(again(into + '_root'))}),
+{into}_racks AS ({level(again(into + '_regions'))}), {into}_shards AS ({level(again(into + '_racks'))})"""
+
+
+ORACLES["op12_hash_tree"] = f"""
+WITH RECURSIVE steps(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) r(i) UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8
+), crcs AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8
+), bytes AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size, text IS NULL AS missing, t,
+    list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)) AS b FROM documents, crcs
+), measured AS (
+  SELECT doc_id, size, missing, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32 FROM bytes
+), {_tree_sql(TREE, "documents", "own")}, {_tree_sql(TREE.grown(), "documents", "more")}
+SELECT m.doc_id, size, text_crc32, 'key' AS law, o.name::INTEGER AS shard,
+  row_number() OVER (PARTITION BY o.name ORDER BY m.doc_id NULLS FIRST, missing DESC, text_crc32, size) - 1 AS slot, g.name::INTEGER AS grown_shard
+FROM measured m JOIN own_shards o ON o.doc_id IS NOT DISTINCT FROM m.doc_id JOIN more_shards g ON g.doc_id IS NOT DISTINCT FROM m.doc_id
+"""
