@@ -1,24 +1,25 @@
-"""Duplicate detection: URL keys, MinHash titles, SimHash content and the layered decision.
+"""Duplicate detection: URL keys, similar titles, SimHash content and the layered decision.
 
-All near-duplicate operators use one idea, ``elect_originals``: records are processed in id order and a
-record is an original unless an earlier original matches it. A large hash bucket - one big group of
-copies, say - only compares its members with its originals, so its work stays linear, and no bucket
-is gathered in one task.
+All near-duplicate operators use one idea, ``first_come``: records are processed in id order and a
+record is an original unless an earlier original matches it. Matches are found between distinct values,
+by joins that miss no pair, and no group of records is gathered in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from panelforge import catalog
 from panelforge.functions import text as tx, urls
-from panelforge.session import cut_lineage
-
-MERSENNE = 2_147_483_647
-
+from panelforge.operators import ordering
+from panelforge.operators.set_join import rarest_first, similar_sets
+from panelforge.session import cut_lineage, spread_out
 
 def first_by_key(df: DataFrame, key: Column, order: str) -> DataFrame:
     """Batch form of a seen-set: (key, first id, copies) - one partial-aggregated group per key."""
@@ -32,57 +33,29 @@ def url_key(url: Column) -> Column:
 # ---------------------------------------------------------------- signatures
 
 
-def permutations(count: int, seed: int = 20240101) -> list[tuple[int, int]]:
-    """Multipliers and offsets of a universal hash family modulo 2^31 − 1, from a linear congruence."""
-    out, state = [], seed
-    for _ in range(2 * count):
-        state = (state * 48271) % MERSENNE
-        out.append(state)
-    return list(zip(out[::2], out[1::2]))
-
-
-def token_codes(tokens: Column) -> Column:
-    """31-bit integers from the md5 of each token."""
-    return F.transform(tokens, lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % MERSENNE)
-
-
-def minhash(tokens: Column, count: int = 125) -> Column:
-    """Signature of a token set; null for the empty set."""
-    family = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in permutations(count)])
-    lowest = lambda codes: F.transform(
-        family, lambda p: F.array_min(F.transform(codes, lambda x: (x * p["a"] + p["b"]) % MERSENNE))
-    )
-    return F.when(F.size(tokens) > 0, tx.let(token_codes(tokens), lowest))
-
-
-def minhash_buckets(signature: Column, rows: int = 5, count: int = 125) -> Column:
-    """Band keys. 25 bands of 5 rows find a pair of Jaccard 0.8 with probability 0.99995."""
-    starts = range(1, count + 1, rows)
-    keys = lambda s: F.array(*[F.xxhash64(F.lit(f"t{i}"), *[s[i + j - 1] for j in range(rows)]) for i in starts])
-    return tx.let(signature, keys)
-
-
-def jaccard(a: Column, b: Column) -> Column:
-    shared = F.size(F.array_intersect(a, b))
-    return shared / (F.size(a) + F.size(b) - shared)
+#: Votes are counted three bits to a number, in lanes of 21 bits; so many tokens of one text at most are added up in one row.
+_LANE, _LANES = 21, 1 | 1 << 21 | 1 << 42
+_STRETCH = 20
 
 
 def simhash(df: DataFrame, key: str, text: str, window: int | None = None) -> DataFrame:
     """(key, simhash): bit votes of the md5 of every whitespace token of the text.
 
     The whole text is read; ``window`` limits it to its first characters where a caller wants the classic setting.
-    Votes add up map-side: the shuffle carries 64 counters per text, not its tokens.
+    Votes add up map-side: the shuffle carries 22 packed counters per text (and per 2^20 tokens of a longer one), not its tokens.
     """
     body = F.substring(F.col(text), 1, window) if window else F.col(text)
-    tokens = df.select(key, F.explode(tx.words(F.lower(body))).alias("t")).withColumn("_h", F.md5("t"))
-    low = lambda start: F.conv(F.substring("_h", start, 8), 16, 10).cast("long")
-    halves = tokens.select(key, low(17).alias("_hi"), low(25).alias("_lo"))
-    vote = lambda half, bit: F.sum(F.when(F.shiftrightunsigned(half, bit).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1))
-    votes = halves.groupBy(key).agg(*[vote(F.col("_lo") if b < 32 else F.col("_hi"), b % 32).alias(f"b{b}") for b in range(64)])
-    packed = F.lit(0).cast("long")
+    tokens = spread_out(df.select(key, text)).select(key, F.posexplode(tx.words(F.lower(body))).alias("_at", "t")).select(key, F.shiftright("_at", _STRETCH).alias("_stretch"), F.md5("t").alias("_h"))
+    half = lambda start: F.conv(F.substring("_h", start, 8), 16, 10).cast("long")
+    hashed = tokens.select(key, "_stretch", F.shiftleft(half(17), 32).bitwiseOR(half(25)).alias("_h"))
+    lanes = lambda b: F.sum(F.shiftrightunsigned("_h", b).bitwiseAND(F.lit(_LANES))).alias(f"c{b}")
+    packed = hashed.groupBy(key, "_stretch").agg(F.count(F.lit(1)).alias("n"), *[lanes(b) for b in range(_LANE)], F.sum(F.shiftrightunsigned("_h", 63)).alias("c63"))
+    lane = lambda b: F.col("c63") if b == 63 else F.shiftrightunsigned(f"c{b % _LANE}", b // _LANE * _LANE).bitwiseAND(F.lit((1 << _LANE) - 1))
+    votes = packed.groupBy(key).agg(F.sum("n").alias("n"), *[F.sum(lane(b)).alias(f"b{b}") for b in range(64)])
+    value = F.lit(0).cast("long")
     for b in range(64):
-        packed = packed.bitwiseOR(F.when(F.col(f"b{b}") > 0, F.shiftleft(F.lit(1).cast("long"), b)).otherwise(0))
-    return votes.select(key, packed.alias("simhash"))
+        value = value.bitwiseOR(F.when(2 * F.col(f"b{b}") > F.col("n"), F.shiftleft(F.lit(1).cast("long"), b)).otherwise(0))
+    return votes.select(key, value.alias("simhash"))
 
 
 # Seven blocks of bits. Two words at distance ≤ 4 agree on at least three whole blocks, so the
@@ -108,102 +81,204 @@ def hamming(a: Column, b: Column) -> Column:
 
 # ---------------------------------------------------------------- election
 
+#: Records of the first batch of an election, and how much longer the records settled so far get with each further batch.
+FIRST_BATCH, GROWTH = 65536, 8
+#: Links per value above which a batch is taken in smaller steps, estimated from about so many of its values.
+DENSE, SAMPLE = 64, 2048
+#: Once so few rows of holders and links are open, one task settles the rest in order instead of a job per round.
+TAIL = 200_000
 
-HEADS = 32
 
+@dataclass
+class Layer:
+    """One way to match. ``values`` has a unique ``vid`` (text) with what ``near`` compares.
 
-def elect_originals(
-    nodes: DataFrame, key: str, buckets: str, payload: list[str], score: Callable[[Callable, Callable], Column]
-) -> DataFrame:
-    """(key, original, score): original is null for originals, else the smallest matching original.
+    ``near(left, right)`` gives (a, b) of all matching pairs of different vids, a of ``left`` and b of ``right``; with ``right``
+    None each pair inside ``left`` at least once. ``near`` None: only equal values match. Equal values always match.
+    """
 
-    ``score(a, b)`` gets two column lookups (earlier, later) and returns null for no match, else a value
-    to order matches by (lower first, ties by id).
+    values: DataFrame
+    near: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None
 
-    Buckets of at most ``HEADS`` members compare directly. Of a larger bucket only the first ``HEADS``
-    open records compare with each other in a round; they block the rest until they are settled, and
-    those that become originals are compared once with every member. Rounds go on until all records are
-    settled: no bucket is cut short, and each costs its members × originals, never its square.
-    """
-    nodes = cut_lineage(nodes.select(key, buckets, *payload))
-    facts = nodes.select(key, *payload)
-    left = facts.select(*[F.col(c).alias(f"_a_{c}") for c in (key, *payload)])
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """(key, _lead, _score) of the pairs that match."""
-        both = pairs.distinct().join(left, F.col("_lead") == F.col(f"_a_{key}")).join(facts, key)
-        scored = both.withColumn("_score", score(lambda c: F.col(f"_a_{c}"), lambda c: F.col(c)))
-        return scored.filter(F.col("_score").isNotNull()).select(key, "_lead", "_score")
-
-    def earlier(members: DataFrame) -> DataFrame:
-        """(key, _lead) of all pairs inside the buckets of ``members``, which are at most ``HEADS`` long."""
-        leads = members.select(F.col(key).alias("_lead"), "_bucket")
-        return members.join(leads, "_bucket").filter(F.col("_lead") < F.col(key)).select(key, "_lead")
-
-    spread = cut_lineage(nodes.select(key, F.explode(F.array_distinct(buckets)).alias("_bucket")))
-    sized = spread.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    member = spread.join(sized, "_bucket")
-    small = member.filter(F.col("_n") <= HEADS).select(key, "_bucket")
-    large = cut_lineage(member.filter(F.col("_n") > HEADS).select(key, "_bucket"))
-    edges = cut_lineage(verified(earlier(small)))
-
-    ends = edges.select(key).unionByName(edges.select(F.col("_lead").alias(key)))
-    undecided = cut_lineage(ends.unionByName(large.select(key)).distinct())
-    # Spark applies the rank limit before the shuffle, so no bucket travels whole.
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    matches = None
-    while not undecided.isEmpty():
-        open_large = large.join(undecided, key, "left_semi")
-        heads = open_large.withColumn("_rank", rank).filter(F.col("_rank") <= HEADS).drop("_rank")
-        last = heads.groupBy("_bucket").agg(F.max(key).alias("_last"))
-        behind = open_large.join(last, "_bucket").filter(F.col(key) > F.col("_last")).select(key)
-        open_leads = undecided.select(F.col(key).alias("_lead"))
-        waiting = edges.select(key, "_lead").join(open_leads, "_lead", "left_semi").select(key)
-        among = verified(earlier(heads)).select(key)
-        blocked = waiting.unionByName(behind).unionByName(among)
-        leaders = cut_lineage(undecided.join(blocked, key, "left_anti"))
-        direct = edges.join(leaders.select(F.col(key).alias("_lead")), "_lead", "left_semi")
-        calls = large.join(leaders, key, "left_semi").withColumnRenamed(key, "_lead")
-        compared = verified(large.join(calls, "_bucket").filter(F.col(key) > F.col("_lead")).select(key, "_lead"))
-        hit = cut_lineage(direct.select(key, "_lead", "_score").unionByName(compared))
-        matches = hit if matches is None else matches.unionByName(hit)
-        settled = leaders.unionByName(hit.select(key))
-        undecided = cut_lineage(undecided.join(settled, key, "left_anti"))
-    ids = nodes.select(key)
-    if matches is None:
-        kind = nodes.schema[key].dataType
-        return ids.withColumns({"original": F.lit(None).cast(kind), "score": F.lit(None).cast("double")})
-    best = matches.groupBy(key).agg(F.min(F.struct(F.col("_score").alias("score"), F.col("_lead").alias("original"))).alias("_b"))
-    return ids.join(best, key, "left").select(key, F.col("_b.original").alias("original"), F.col("_b.score").cast("double").alias("score"))
 
+def first_come(records: DataFrame, key: str, vids: list[str], layers: list[Layer], first_batch: int | None = None) -> DataFrame:
+    """(key, original, layer) of every record, taken in ascending key order: a record is an original unless an earlier original matches it.
 
-def title_originals(
-    df: DataFrame, key: str, title: str, threshold: float = 0.8, stopwords: list[str] = catalog.TITLE_STOPWORDS
-) -> DataFrame:
-    """Original of every title by Jaccard of its tokens, candidates from MinHash bands."""
+    ``vids`` names a record's value in each layer (null: it takes no part there). ``layer`` is the first layer with a match and
+    ``original`` the smallest matching original of that layer; both are null for originals. Keys are unique.
+
+    Records are settled in batches of growing length. A batch first meets the originals found so far, so a group of copies, or
+    of titles that all match, is mostly settled against one record; links are made once, among the values of what is left, and
+    settled records leave the list. A batch whose links would be many (estimated from a sample of its values) is taken in smaller
+    steps. Values that many records hold are one value: pairs of records are never listed.
+    """
+    size = first_batch or FIRST_BATCH
+    least = min(size, SAMPLE)
+    named = ordering.numbered(records.select(key, *vids), key, into="_rank")
+    slots = [F.struct(F.lit(i).alias("layer"), F.col(v).alias("vid")) for i, v in enumerate(vids)]
+    holders = cut_lineage(named.select("_rank", F.explode(F.array(*slots)).alias("_s")).select("_rank", "_s.layer", "_s.vid").filter("vid is not null"))
+
+    def near(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
+        """(layer, a, b) over the layers, for tables of (layer, vid)."""
+        found = left.sparkSession.createDataFrame([], "layer int, a string, b string")
+        for i, layer in enumerate(layers):
+            if layer.near:
+                of = lambda t: layer.values.join(t.filter(F.col("layer") == i).select("vid"), "vid", "left_semi")
+                found = found.unionByName(layer.near(of(left), of(right) if right is not None else None).select(F.lit(i).alias("layer"), "a", "b"))
+        return found
+
+    def met(left: DataFrame, right: DataFrame) -> DataFrame:
+        """(a, b): values of ``left`` that equal or match values of ``right``."""
+        equal = left.join(right, ["layer", "vid"], "left_semi").select("layer", F.col("vid").alias("a"), F.col("vid").alias("b"))
+        return cut_lineage(near(left, right).unionByName(equal))
+
+    total, low, step = holders.agg(F.max("_rank")).first()[0], 0, size
+    originals, pairs = None, []
+    while total is not None and low <= total:
+        batch = holders.filter((F.col("_rank") >= low) & (F.col("_rank") < low + step))
+        values = batch.select("layer", "vid").distinct()
+        open_ = batch
+        if originals is not None:
+            known = originals.select("layer", "vid").distinct()
+            hits = met(values, known)
+            pairs.append(hits)
+            settled = batch.join(hits.select("layer", F.col("a").alias("vid")).distinct(), ["layer", "vid"], "left_semi").select("_rank").distinct()
+            open_ = cut_lineage(batch.join(settled, "_rank", "left_anti"))
+        if step > least and _dense(open_, near, least):
+            pairs, step = pairs[:-1] if originals is not None else pairs, max(least, step // GROWTH)
+            continue
+        links = near(open_.select("layer", "vid").distinct())
+        links = cut_lineage(links.unionByName(links.select("layer", F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+        found = open_.join(_leaders(open_, links), "_rank", "left_semi")
+        pairs.append(links.join(found.select("layer", F.col("vid").alias("b")).distinct(), ["layer", "b"], "left_semi").select("layer", "a", "b"))
+        if originals is not None and len(layers) > 1:
+            # A record that an earlier batch settled may match an original of its own batch in a layer that comes first.
+            pairs.append(met(values, found.select("layer", "vid").distinct()))
+        originals = cut_lineage(found if originals is None else originals.unionByName(found))
+        low, step = low + step, (low + step) * (GROWTH - 1)
+    if originals is None:
+        nothing = {"original": F.lit(None).cast(records.schema[key].dataType), "layer": F.lit(None).cast("int")}
+        return records.select(key).withColumns(nothing)
+
+    lead = originals.groupBy("layer", "vid").agg(F.min("_rank").alias("_lead"))
+    matched = lead.select("layer", "vid", F.col("vid").alias("b"))
+    for p in pairs:
+        matched = matched.unionByName(p.select("layer", F.col("a").alias("vid"), "b"))
+    offers = matched.join(lead.withColumnRenamed("vid", "b"), ["layer", "b"]).groupBy("layer", "vid").agg(F.min("_lead").alias("_lead"))
+    later = holders.join(originals.select("_rank").distinct(), "_rank", "left_anti")
+    best = later.join(offers, ["layer", "vid"]).filter("_lead < _rank").groupBy("_rank").agg(F.min(F.struct("layer", "_lead")).alias("_b"))
+    names = named.select(F.col("_rank").alias("_lead"), F.col(key).alias("original"))
+    rows = named.select(key, "_rank").join(best, "_rank", "left").select(key, "_b.layer", "_b._lead")
+    return rows.join(names, "_lead", "left").select(key, "original", "layer")
+
+
+def _dense(holders: DataFrame, near: Callable, sample_size: int) -> bool:
+    """Whether linking the values would make more than ``DENSE`` links per value: counted among about ``sample_size`` of them, scaled up."""
+    values = holders.select("layer", "vid").distinct()
+    count = values.count()
+    part = max(1, count // sample_size)
+    if part == 1:
+        return False
+    sample = values.filter(F.pmod(F.xxhash64("vid"), F.lit(part)) == 0)
+    return near(sample).count() * part * part > DENSE * count
+
+
+def _leaders(holders: DataFrame, links: DataFrame) -> DataFrame:
+    """(_rank) of the records that no earlier leader matches, by value or by link; links are symmetric."""
+    several = holders.groupBy("layer", "vid").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("layer", "vid")
+    busy = cut_lineage(several.unionByName(links.select("layer", F.col("a").alias("vid"))).distinct())
+    open_ = cut_lineage(holders.join(busy, ["layer", "vid"], "left_semi"))
+    leaders = holders.select("_rank").distinct().join(open_.select("_rank").distinct(), "_rank", "left_anti")
+    while (left := open_.count()) and left + links.count() > TAIL:
+        # The earliest open record at each value and at its linked values: who is earliest everywhere leads.
+        lowest = open_.groupBy("layer", "vid").agg(F.min("_rank").alias("_low"))
+        around = links.join(lowest.withColumnRenamed("vid", "b"), ["layer", "b"]).select("layer", F.col("a").alias("vid"), "_low")
+        bound = lowest.unionByName(around).groupBy("layer", "vid").agg(F.min("_low").alias("_low"))
+        mine = open_.join(bound, ["layer", "vid"]).groupBy("_rank").agg(F.min("_low").alias("_low")).filter("_low = _rank")
+        lead = cut_lineage(mine.select("_rank"))
+        held = open_.join(lead, "_rank", "left_semi").select("layer", "vid")
+        closed = held.unionByName(links.join(held.withColumnRenamed("vid", "b"), ["layer", "b"], "left_semi").select("layer", F.col("a").alias("vid"))).distinct()
+        settled = open_.join(closed, ["layer", "vid"], "left_semi").select("_rank").distinct()
+        open_ = cut_lineage(open_.join(settled, "_rank", "left_anti"))
+        links = cut_lineage(links.join(open_.select("layer", F.col("vid").alias("a")).distinct(), ["layer", "a"], "left_semi"))
+        leaders = leaders.unionByName(lead)
+    return cut_lineage(leaders.unionByName(_in_order(open_, links)) if left else leaders)
+
+
+def _in_order(open_: DataFrame, links: DataFrame) -> DataFrame:
+    """``_leaders`` of at most ``TAIL`` rows, one record after the other in one task."""
+    rows = open_.select("_rank", "layer", F.col("vid").alias("a"), F.lit(None).cast("string").alias("b"))
+    rows = rows.unionByName(links.select(F.lit(None).cast("long").alias("_rank"), "layer", "a", "b"))
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, linked = defaultdict(list), defaultdict(list)
+        for batch in batches:
+            for rank, layer, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                if rank is None:
+                    linked[layer, a].append((layer, b))
+                else:
+                    held[rank].append((layer, a))
+        closed, leaders = set(), []
+        for rank in sorted(held):
+            if closed.isdisjoint(held[rank]):
+                leaders.append(rank)
+                for value in held[rank]:
+                    closed.add(value)
+                    closed.update(linked[value])
+        yield pa.RecordBatch.from_arrays([pa.array(leaders, pa.int64())], ["_rank"])
+
+    return rows.repartition(1).mapInArrow(settle, "_rank long")
+
+
+# ---------------------------------------------------------------- layers
+
+
+def _vid(value: Column) -> Column:
+    return F.md5(value.cast("string"))
+
+
+def _title_sets(df: DataFrame, title: str, stopwords: list[str]) -> DataFrame:
     tokens = F.array_sort(F.array_distinct(tx.title_tokens(F.col(title), stopwords)))
-    nodes = df.select(key, tokens.alias("_tokens")).filter(F.size("_tokens") > 0)
-    nodes = nodes.withColumn("_buckets", minhash_buckets(minhash(F.col("_tokens"))))
+    with_tokens = df.withColumn("_tokens", tokens)
+    return with_tokens.withColumn("_title", F.when(F.size("_tokens") > 0, _vid(F.array_join("_tokens", " "))))
 
-    def score(a, b):
-        similar = jaccard(a("_tokens"), b("_tokens"))
-        return F.when(similar >= threshold, F.lit(0.0))
 
-    found = elect_originals(nodes, key, "_buckets", ["_tokens"], score)
-    return found.select(key, "original", F.col("original").isNotNull().alias("is_duplicate"))
+def title_layer(rows: DataFrame, threshold: float) -> Layer:
+    """Titles match by Jaccard of their tokens; ``rows`` come from ``_title_sets``."""
+    distinct = rows.filter("_title is not null").groupBy(F.col("_title").alias("vid")).agg(F.first("_tokens").alias("tokens"))
+    values = cut_lineage(rarest_first(distinct, "vid", "tokens"))
+    return Layer(values, lambda left, right: similar_sets(left, right, threshold))
 
 
-def content_originals(df: DataFrame, key: str, text: str, distance: int = 4, window: int | None = None) -> DataFrame:
-    """Original of every text by Hamming distance of its SimHash."""
+def content_layer(hashed: DataFrame, distance: int) -> Layer:
+    """Fingerprints match within a Hamming distance; ``hashed`` has (_content, simhash)."""
     if distance > SIMHASH_DISTANCE:
         raise ValueError(f"the buckets prove completeness only up to distance {SIMHASH_DISTANCE}")
-    nodes = simhash(df, key, text, window).withColumn("_buckets", simhash_buckets(F.col("simhash")))
+    values = cut_lineage(hashed.filter("_content is not null").select(F.col("_content").alias("vid"), "simhash").distinct())
+
+    def near(left: DataFrame, right: DataFrame | None) -> DataFrame:
+        side = lambda t, tag: t.select(F.col("vid").alias(tag), F.col("simhash").alias(f"_s{tag}"), F.explode(simhash_buckets(F.col("simhash"))).alias("_bucket"))
+        both = side(left, "a").join(side(left if right is None else right, "b"), "_bucket")
+        apart = (F.col("a") < F.col("b")) if right is None else (F.col("a") != F.col("b"))
+        return both.filter(apart & (hamming(F.col("_sa"), F.col("_sb")) <= distance)).select("a", "b").distinct()
+
+    return Layer(values, near)
+
+
+def title_originals(
+    df: DataFrame, key: str, title: str, threshold: float = 0.8, stopwords: list[str] = catalog.TITLE_STOPWORDS
+) -> DataFrame:
+    """Original of every title with tokens, by Jaccard of its tokens; no pair at the threshold is missed."""
+    rows = cut_lineage(_title_sets(df.select(key, title), title, stopwords).filter("_title is not null").select(key, "_tokens", "_title"))
+    found = first_come(rows, key, ["_title"], [title_layer(rows, threshold)])
+    return found.select(key, "original", F.col("layer").isNotNull().alias("is_duplicate"))
 
-    def score(a, b):
-        return F.when(hamming(a("simhash"), b("simhash")) <= distance, F.lit(0.0))
 
-    found = elect_originals(nodes, key, "_buckets", ["simhash"], score)
-    return found.select(key, "original", F.col("original").isNotNull().alias("is_duplicate"))
+def content_originals(df: DataFrame, key: str, text: str, distance: int = 4, window: int | None = None) -> DataFrame:
+    """Original of every text by Hamming distance of its SimHash."""
+    rows = cut_lineage(simhash(df, key, text, window).withColumn("_content", F.hex("simhash")))
+    found = first_come(rows, key, ["_content"], [content_layer(rows, distance)])
+    return found.select(key, "original", F.col("layer").isNotNull().alias("is_duplicate"))
 
 
 LAYERS = ("url", "title", "content")
@@ -222,30 +297,15 @@ def layered_originals(
 ) -> DataFrame:
     """URL → title → content decision. Only originals are remembered, so a chain of near copies may
     hold several originals. A URL hit names no original, as a seen-set stores none."""
-    hashed = simhash(df.filter(F.trim(text) != ""), key, text, window)
-    tokens = F.array_sort(F.array_distinct(tx.title_tokens(F.col(title), stopwords)))
-    base = df.select(key, url_key(F.col(url)).alias("_url"), tokens.alias("_tokens")).join(hashed, key, "left")
-    empty = F.array().cast("array<bigint>")
-    buckets = F.concat(
-        F.array(F.xxhash64(F.lit("u"), F.col("_url"))),
-        F.when(F.size("_tokens") > 0, minhash_buckets(minhash(F.col("_tokens")))).otherwise(empty),
-        F.when(F.col("simhash").isNotNull(), simhash_buckets(F.col("simhash"))).otherwise(empty),
-    )
-    nodes = base.withColumn("_buckets", buckets)
-
-    def score(a, b):
-        same_title = (F.size(a("_tokens")) > 0) & (jaccard(a("_tokens"), b("_tokens")) >= threshold)
-        return (
-            F.when(a("_url") == b("_url"), 0.0)
-            .when(same_title, 1.0)
-            .when(hamming(a("simhash"), b("simhash")) <= distance, 2.0)
-        )
-
-    found = elect_originals(nodes, key, "_buckets", ["_url", "_tokens", "simhash"], score)
-    layer = F.try_element_at(F.array(*[F.lit(n) for n in LAYERS]), F.col("score").cast("int") + 1)
+    hashed = simhash(df.filter(F.trim(text) != ""), key, text, window).withColumn("_content", F.hex("simhash"))
+    base = _title_sets(df.select(key, url, title), title, stopwords).withColumn("_link", url_key(F.col(url)))
+    rows = cut_lineage(base.select(key, "_link", "_tokens", "_title").join(hashed, key, "left"))
+    layers = [Layer(rows), title_layer(rows, threshold), content_layer(rows, distance)]
+    found = first_come(rows, key, ["_link", "_title", "_content"], layers)
+    layer = F.try_element_at(F.array(*[F.lit(n) for n in LAYERS]), F.col("layer") + 1)
     return found.select(
         key,
-        F.col("score").isNotNull().alias("is_duplicate"),
+        F.col("layer").isNotNull().alias("is_duplicate"),
         layer.alias("layer"),
-        F.when(F.col("score") > 0, F.col("original")).alias("original"),
+        F.when(F.col("layer") > 0, F.col("original")).alias("original"),
     )

@@ -3,9 +3,11 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from panelforge.operators import cluster as cl, dedup as dd, event_groups as eg, news as nw
+from panelforge.operators.set_join import rarest_first, similar_sets
 
 
 def lev(a, b):
@@ -72,23 +74,109 @@ def test_event_groups_match_the_sequential_rule(spark):
     assert got == want
 
 
-def test_election_with_one_hot_bucket(spark):
-    """A third of the records share a bucket; matching is closeness of a number."""
+def numbers_layer(rows):
+    """Numbers match within 3; ``rows`` has (vid, v)."""
+
+    def near(left, right):
+        other = (left if right is None else right).select(F.col("vid").alias("b"), F.col("v").alias("w"))
+        both = left.select(F.col("vid").alias("a"), "v").join(other, F.abs(F.col("v") - F.col("w")) <= 3)
+        return both.filter("a < b" if right is None else "a <> b").select("a", "b")
+
+    return dd.Layer(rows.select("vid", "v").distinct(), near)
+
+
+@pytest.mark.parametrize("first_batch,tail", [(None, 0), (16, 40)])
+def test_election_with_one_hot_group(spark, monkeypatch, first_batch, tail):
+    """A third of the records are copies; matching is closeness of a number. Small batches and rounds give the same answer."""
+    monkeypatch.setattr(dd, "TAIL", tail)
     rng = random.Random(4)
-    values = [rng.randint(0, 400) for _ in range(240)] + [7] * 120
-    rows = [(i, v, [0, 1 + v % 5]) for i, v in enumerate(values)]
-    df = spark.createDataFrame(rows, "id long, v int, b array<int>")
-    score = lambda a, b: F.when(F.abs(a("v") - b("v")) <= 3, 0.0)
-    got = {r["id"]: r["original"] for r in dd.elect_originals(df, "id", "b", ["v"], score).collect()}
+    values = [rng.randint(0, 400) for _ in range(240)] + [7] * 120 + [rng.randint(0, 30) for _ in range(60)]
+    df = spark.createDataFrame([(i, v, str(v)) for i, v in enumerate(values)], "id long, v int, vid string")
+    got = {r["id"]: r["original"] for r in dd.first_come(df, "id", ["vid"], [numbers_layer(df)], first_batch).collect()}
     leaders, want = [], {}
-    for i, v, _ in rows:
-        match = next((j for j in leaders if abs(values[j] - v) <= 3), None)
-        want[i] = match
-        if match is None:
+    for i, v in enumerate(values):
+        want[i] = next((j for j in leaders if abs(values[j] - v) <= 3), None)
+        if want[i] is None:
             leaders.append(i)
     assert got == want
 
 
+@pytest.mark.parametrize("first_batch,tail", [(None, 0), (40, 200_000)])
+def test_layered_election_equals_the_sequential_rule(spark, monkeypatch, first_batch, tail):
+    monkeypatch.setattr(dd, "TAIL", tail)
+    rng = random.Random(5)
+    rows = [(i, rng.choice([None, *"abcdefghij"]), rng.choice([None, *range(0, 90, 2)])) for i in range(150)]
+    df = spark.createDataFrame([(i, u, v, None if v is None else str(v)) for i, u, v in rows], "id long, u string, v int, vid string")
+    layers = [dd.Layer(df), numbers_layer(df.filter("v is not null"))]
+    got = {r["id"]: (r["original"], r["layer"]) for r in dd.first_come(df, "id", ["u", "vid"], layers, first_batch).collect()}
+    leaders, want = [], {}
+    for i, u, v in rows:
+        hits = [(0, j) for j, w, _ in leaders if u is not None and u == w] + [(1, j) for j, _, w in leaders if v is not None and w is not None and abs(v - w) <= 3]
+        want[i] = min(hits)[::-1] if hits else (None, None)
+        if not hits:
+            leaders.append((i, u, v))
+    assert got == want
+
+
+def test_dense_batches_are_taken_in_steps(spark, monkeypatch):
+    """All records after the first batch match each other: they are settled against one of them, not linked pair by pair."""
+    rows = spark.range(400).select("id", F.when(F.col("id") < 8, F.col("id") * 100).otherwise(F.lit(100_000) + F.col("id") % 3).cast("int").alias("v"), F.col("id").cast("string").alias("vid"))
+    monkeypatch.setattr(dd, "DENSE", 4)
+    linked, plain = [], numbers_layer(rows)
+
+    def counted(left, right):
+        if right is None:
+            linked.append(left.count())
+        return plain.near(left, right)
+
+    got = {r["id"]: r["original"] for r in dd.first_come(rows, "id", ["vid"], [dd.Layer(plain.values, counted)], 8).collect()}
+    assert got == {i: None if i <= 8 else 8 for i in range(400)}
+    assert max(linked) <= 64
+
+
+def test_title_join_loses_no_pair(spark):
+    rng = random.Random(6)
+    words = [f"w{int(rng.paretovariate(0.6)) % 400}" for _ in range(4000)]
+    sets = [sorted(set(rng.choices(words, k=rng.randint(1, 14)))) for _ in range(2400)]
+    for s in sets[:700]:  # near copies of every kind: one token more, fewer or other
+        t = set(s)
+        for _ in range(rng.randint(0, 2)):
+            t ^= {rng.choice(words)}
+        sets.append(sorted(t or {"x"}))
+    sets += [sorted({f"n{i}", "on", "the", "road", "near", "km", "long", "bridge", "of", "town"}) for i in range(60)]
+    distinct = sorted({tuple(s) for s in sets})
+    assert len(distinct) >= 2000
+    df = spark.createDataFrame([(f"{i:05d}", list(s)) for i, s in enumerate(distinct)], "vid string, tokens array<string>")
+    ordered = rarest_first(df, "vid", "tokens").cache()
+    numbered = [frozenset(s) for s in distinct]
+    for threshold in (0.8, 0.6, 1.0):
+        want = set()
+        for i, a in enumerate(numbered):
+            for j in range(i + 1, len(numbered)):
+                shared = len(a & numbered[j])
+                if shared and shared / (len(a) + len(numbered[j]) - shared) >= threshold:
+                    want.add((f"{i:05d}", f"{j:05d}"))
+        got = {(r["a"], r["b"]) for r in similar_sets(ordered, None, threshold).collect()}
+        assert got == want and (want or threshold == 1.0)
+        left, right = ordered.filter("vid < '01000'"), ordered.filter("vid >= '01000'")
+        assert {(r["a"], r["b"]) for r in similar_sets(left, right, threshold).collect()} == {(a, b) for a, b in want if a < "01000" <= b}
+
+
+def test_hot_bucket_takes_no_more_rounds(spark, monkeypatch):
+    """Titles that share most tokens but do not match: 2,000 of them settle in as many rounds as 200."""
+    rounds = []
+    real = dd.cut_lineage
+    monkeypatch.setattr(dd, "TAIL", 0)
+    monkeypatch.setattr(dd, "cut_lineage", lambda df: rounds.append(1) or real(df))
+    for n in (200, 2000):
+        rounds.clear()
+        rows = spark.range(n).select("id", F.concat(F.lit("accident near bridge road "), F.col("id").cast("string"), F.lit("x "), (F.col("id") * 7 + 100000).cast("string"), F.lit("y")).alias("title"))
+        assert dd.title_originals(rows, "id", "title").filter("is_duplicate").count() == 0
+        if n == 200:
+            few = len(rounds)
+    assert len(rounds) == few
+
+
 def test_layers(spark):
     rows = [
         (1, "https://x.vn/a", "Tai nạn nghiêm trọng trên cầu", "một hai ba bốn năm sáu"),
