@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelforge.functions import geo, text as tx
+from panelforge.operators.ordering import with_next
 
 
 def _end(points: Column, lat: Column, lon: Column, last: bool) -> Column:
@@ -49,19 +50,15 @@ def graph_export(latest: DataFrame, limit: int | None = None) -> tuple[DataFrame
     return nodes, edges.distinct()
 
 
-def upstream_edges(latest: DataFrame, limit: int | None = None, steps: int = 100) -> DataFrame:
-    """Consecutive pairs by jam inside a city, of all segments or of the ``limit`` worst.
+def upstream_edges(latest: DataFrame, limit: int | None = None) -> DataFrame:
+    """Consecutive pairs by jam inside a city, of all segments or of the ``limit`` worst; segments without a jam value come last.
 
-    Pairs form inside slices of a ``1 / steps`` jam; the last segment of a slice pairs with the head of the next slice of
-    its city, so no task sorts a whole city.
+    The order is cut into range partitions, so neither a big city nor one jam value that many segments share is sorted in one task.
     """
     worst = latest.orderBy(F.desc("jamFactor"), "city", "segment_id").limit(limit) if limit else latest
-    sliced = worst.select("city", "segment_id", "jamFactor", F.floor(-F.col("jamFactor") * steps).alias("_slice"))
-    inside = Window.partitionBy("city", "_slice").orderBy(F.desc("jamFactor"), "segment_id")
-    heads = sliced.groupBy("city", "_slice").agg(F.min(F.struct((-F.col("jamFactor")).alias("j"), "segment_id")).alias("_h"))
-    following = heads.select("city", "_slice", F.lead("_h.segment_id").over(Window.partitionBy("city").orderBy("_slice")).alias("_head"))
-    paired = sliced.withColumn("_next", F.lead("segment_id").over(inside)).join(following, ["city", "_slice"])
-    return paired.select("city", F.col("segment_id").alias("upstream"), F.coalesce("_next", "_head").alias("downstream")).filter("downstream is not null")
+    rows = worst.select("city", F.col("segment_id").alias("upstream"), (-F.col("jamFactor")).alias("_calm"))
+    paired = with_next(rows, F.col("_calm").asc_nulls_last(), "upstream", by=["city"], value="upstream", into="downstream")
+    return paired.select("city", "upstream", "downstream").filter("downstream is not null")
 
 
 def upstream_walk(edges: DataFrame, start: str, depth: int) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -201,6 +203,15 @@ def fit_horizons(train: DataFrame, features: list[str], horizons: tuple[int, ...
     return models
 
 
+@dataclass(frozen=True)
+class ModelBundle:
+    """Fitted models by horizon name with the features each was fitted on, in order."""
+
+    name: str
+    models: dict[str, PipelineModel]
+    features: dict[str, list[str]]
+
+
 def predict_horizons(df: DataFrame, models: dict[int, PipelineModel], keep: list[str], prediction_time: Column) -> DataFrame:
     """One prediction column per horizon beside the keys."""
     out = df

@@ -16,11 +16,10 @@ def placed(df: DataFrame, *order: str | Column, partitions: int | None = None) -
     split over partitions like any other. Where such rows occur, ``df`` must give its rows in the same order when a task
     runs again, as scans and stored tables do.
     """
-    columns = [F.col(c) if isinstance(c, str) else c for c in order]
-    names = [f"_o{i}" for i in range(len(columns))]
-    tagged = df.withColumns({**dict(zip(names, columns)), "_tie": F.monotonically_increasing_id()})
+    keys = [*[F.col(c) if isinstance(c, str) else c for c in order], F.col("_tie")]
+    tagged = df.withColumn("_tie", F.monotonically_increasing_id())
     width = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = tagged.repartitionByRange(width, *names, "_tie").sortWithinPartitions(*names, "_tie").withColumn("_at", F.monotonically_increasing_id())
+    ranged = tagged.repartitionByRange(width, *keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
     rows = ranged.select(
         *df.columns, F.shiftright("_at", _PLACE_BITS).cast("int").alias("_part"), F.col("_at").bitwiseAND((1 << _PLACE_BITS) - 1).alias("_place")
     )

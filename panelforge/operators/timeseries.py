@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelforge.functions import numeric as nm, times as tm
 from panelforge.operators.halo import chunk_window, chunked, only_home
+from panelforge.operators.ordering import placed
 
 HORIZONS = (15, 60, 240)
 LAGS = range(1, 13)
@@ -214,12 +215,15 @@ def time_split(df: DataFrame, ts: str = "time_bucket", cuts: tuple[float, float]
 def ordered_holdout(df: DataFrame, share: float = 0.8, ts: str = "time_bucket") -> DataFrame:
     """First ``share`` of the rows in time order → train, the rest → test, without sorting the rows.
 
-    The running count needs one row per bucket (bounded by calendar time). A bucket the cut falls
-    into goes to train as a whole, so no instant is on both sides.
+    Rows are counted per bucket, buckets are range-partitioned, and running counts are taken per partition from the
+    counts of the earlier ones. A bucket the cut falls into goes to train as a whole, so no instant is on both sides.
     """
-    per_time = df.groupBy(ts).agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = per_time.select(ts, (F.sum("_n").over(running) - F.col("_n")).alias("_before"))
+    per_time = placed(df.groupBy(ts).agg(F.count(F.lit(1)).alias("_n")), ts)
+    # One row per partition: as long as the shuffle is wide.
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = per_time.groupBy("_part").agg(F.sum("_n").alias("_s")).select("_part", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_base"))
+    running = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = per_time.join(bases, "_part").select(ts, (F.col("_base") + F.sum("_n").over(running) - F.col("_n")).alias("_before"))
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     last = counted.filter(F.col("_before") < F.floor(total * share)).agg(F.max(ts).alias("t")).scalar()
     return df.withColumn("split", F.when(F.col(ts) <= last, "train").otherwise("test"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelforge.functions import geo, numeric as nm, scoring as sc, times as tm
-from panelforge.operators import graph as gr
+from panelforge.operators import graph as gr, learn as ln
 from panelforge.operators.panel import latest_by_segment
 
 
@@ -188,6 +188,33 @@ def with_reliability(predictions: DataFrame, horizon: str, as_of: Column) -> Dat
     return predictions.withColumns({"data_freshness_seconds": age, "_v": verdict}).select(*predictions.columns, "data_freshness_seconds", "_v.*")
 
 
+def score_segments(rows: DataFrame, bundle: ln.ModelBundle, horizons: list[str | int], as_of: Column) -> DataFrame:
+    """One prediction per row and horizon: align to the model's schema, predict, measure coverage, judge reliability.
+
+    A horizon without a model falls back to the current speed, marked as such and of low reliability.
+    """
+    keys = ["city", "segment_id", "latest_timestamp", "current_speed", "current_jam_factor"]
+    base = rows.withColumns({"latest_timestamp": F.col("timestamp"), "current_speed": F.col("currentSpeed"), "current_jam_factor": F.col("jamFactor")})
+    out = None
+    for horizon in map(ln.normalize_horizon, horizons):
+        wanted, model = bundle.features.get(horizon, []), bundle.models.get(horizon)
+        if model is None:
+            scored = base.select(
+                *keys, F.col("current_speed").alias("prediction"), F.array().cast("array<string>").alias("missing_features"),
+                *[F.lit(0).alias(f"{n}_feature_count") for n in ("required", "available", "filled")],
+            )
+        else:
+            scored = model.transform(ln.align_features(base, wanted, keys))
+        named = scored.select(
+            *keys, F.round(F.col("prediction").cast("double"), 3).alias("predicted_speed"), F.lit(bundle.name if model else "current_speed").alias("model_name"),
+            F.lit(horizon).alias("horizon"), F.lit(model is None).alias("is_fallback"), "missing_features",
+            "required_feature_count", "available_feature_count", "filled_feature_count",
+        )
+        judged = with_reliability(named, horizon, as_of)
+        out = judged if out is None else out.unionByName(judged)
+    return out
+
+
 def corridor_rank(panel: DataFrame, corridor: str = "district", limit: int = 10) -> DataFrame:
     """Corridors by mean segment risk."""
     column = corridor if corridor in panel.columns else "city"
@@ -205,17 +232,20 @@ def corridor_rank(panel: DataFrame, corridor: str = "district", limit: int = 10)
 def scenario_impact(latest: DataFrame, scenarios: DataFrame, baseline_on_changed_row: bool = False) -> DataFrame:
     """Every segment under every scenario (name, rain_1h_mm, event_type, is_peak_hour).
 
-    Scenarios are user inputs: a scalar subquery gathers them into one array that each row unfolds. The
-    baseline risk uses the unchanged row unless asked otherwise.
+    The product is a join on a salt: every segment row has one, every scenario stands once under each, so both sides
+    may be large. The baseline risk uses the unchanged row unless asked otherwise.
     """
-    entries = scenarios.agg(F.collect_list(F.struct(
+    entry = F.struct(
         "name", F.coalesce(F.col("rain_1h_mm").cast("double"), F.lit(0.0)).alias("rain"),
         F.lower(F.coalesce("event_type", F.lit("none"))).alias("event"), F.coalesce("is_peak_hour", F.lit(False)).alias("peak"),
-    )).alias("s")).scalar()
+    )
+    salts = int(latest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = scenarios.select(entry.alias("_s"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
     have = set(latest.columns)
     get = lambda n: nm.zero_if_missing(F.col(n)) if n in have else F.lit(0.0)
     base = F.coalesce("predicted_speed", "currentSpeed") if "predicted_speed" in have else F.col("currentSpeed")
-    rows = latest.withColumns({"_s": F.explode(entries), "_base": F.coalesce(base, F.lit(0.0))})
+    salted = latest.withColumns({"_salt": F.pmod(F.xxhash64("city", "segment_id"), F.lit(salts)).cast("int"), "_base": F.coalesce(base, F.lit(0.0))})
+    rows = salted.join(entries, "_salt")
     wet, hit = F.col("_s.rain") > 0, F.col("_s.event").isin(*sc.INCIDENT_FACTORS)
     changed = {
         "rain": F.when(wet, F.col("_s.rain")).otherwise(get("weather_rain_1h")),

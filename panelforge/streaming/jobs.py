@@ -113,6 +113,11 @@ def count_batches(lines: DataFrame, schema: str, path: str, checkpoint: str) ->
     return writer.trigger(availableNow=True).start()
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows (or pre-aggregated groups of rows) that came after their bucket was closed, over the progress a finished query still keeps."""
+    return sum(int(o["numRowsDroppedByWatermark"]) for p in query.recentProgress for o in p["stateOperators"])
+
+
 def run_to_table(spark: SparkSession, stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """Run a bounded stream to the end and return what it wrote."""
     root = scratch_path(spark, label)

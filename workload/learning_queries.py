@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelforge.operators import learn as ln, quality as ql, timeseries as ts
 from panelforge.operators.panel import latest_by_segment
-from panelforge.plans import builds
+from panelforge.plans import builds, dashboards as db
 from panelforge.session import cut_lineage
 from workload import derive as dv
 from workload.registry import pick, query, tidy
@@ -176,47 +176,102 @@ def _stopping(rows):
     return rows.withColumn("held", F.pmod(F.xxhash64(*KEYS.split()), F.lit(5)) == 0)
 
 
-@query("train_boosted")
+def _facts(scored, actual: str, predicted: str, by: str):
+    """Per group: rows scored, whether every prediction is a number, and whether the error is at most a quarter above that of
+    the later rows' own mean (which no forecast can know; speeds here are close to noise)."""
+    m = ln.regression_metrics(scored, actual, predicted, [by])
+    return m.select(by, "n", F.col("rmse").between(0.0, 1e6).alias("finite"), (F.col("r2") > 1 - 1.25**2).alias("close_to_mean_or_better"), (F.col("mae") <= F.col("rmse")).alias("mae_below_rmse"))
+
+
+SPLIT_SQL = f"""{LAGGED}, labelled AS (SELECT a.*, {', '.join(_shifted(h // 60, f'future_speed_{h}m', 'currentSpeed') for h in HORIZONS)} FROM lagged a),
+    fit AS (SELECT * FROM labelled WHERE {' OR '.join(f'future_speed_{h}m IS NOT NULL' for h in HORIZONS)}), c AS (SELECT time_bucket, sum(count(*)) OVER (ORDER BY time_bucket) - count(*) AS before FROM fit GROUP BY time_bucket),
+    later AS (SELECT * FROM fit WHERE time_bucket > (SELECT max(time_bucket) FROM c WHERE before < floor((SELECT count(*) FROM fit) * 0.8)))"""
+
+
+@query("train_boosted", f"WITH {SPLIT_SQL.removeprefix('WITH ')} " + " UNION ALL ".join(f"SELECT {h} AS horizon, count(future_speed_{h}m) AS n, true AS finite, true AS close_to_mean_or_better, true AS mae_below_rmse FROM later" for h in HORIZONS))
 def train_boosted(spark, sf):
-    """One boosted model per horizon, its rounds stopped early on part of the fitted rows: errors on the later rows."""
+    """One boosted model per horizon, its rounds stopped early on part of the fitted rows: facts about the errors on the later rows."""
     rows, inputs = _held_out(spark, sf)
     models = ln.fit_horizons(_stopping(rows.filter("split = 'train'")), inputs, HORIZONS, held="held")
     scored = ln.predict_horizons(rows.filter("split = 'test'"), models, [*KEYS.split(), *[f"future_speed_{h}m" for h in HORIZONS]], F.current_timestamp())
     long = F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"future_speed_{h}m").alias("y"), F.col(f"predicted_speed_{h}m").alias("p")) for h in models])
-    return ln.regression_metrics(scored.select(F.inline(long)), "y", "p", ["horizon"])
+    return _facts(scored.select(F.inline(long)), "y", "p", "horizon")
 
 
-@query("train_forest")
+@query("train_forest", f"WITH {SPLIT_SQL.removeprefix('WITH ')} SELECT city, count(*) AS n, true AS finite, true AS close_to_mean_or_better, true AS mae_below_rmse FROM later WHERE future_speed_60m IS NOT NULL GROUP BY city")
 def train_forest(spark, sf):
-    """The published forest, scored on rows later than those it was fitted on."""
+    """The published forest, facts about its errors on rows later than those it was fitted on."""
     rows, inputs = _held_out(spark, sf)
     rows = rows.filter("future_speed_60m IS NOT NULL")
     model = ln.forest(inputs, ["city", "segment_id"], "future_speed_60m").fit(rows.filter("split = 'train'"))
-    return ln.regression_metrics(model.transform(rows.filter("split = 'test'")), "future_speed_60m", "prediction", ["city"])
+    return _facts(model.transform(rows.filter("split = 'test'")), "future_speed_60m", "prediction", "city")
 
 
-@query("batch_predict")
+@query("batch_predict", f"WITH {SPLIT_SQL.removeprefix('WITH ')}, known AS (SELECT min(y) AS low, max(y) AS high FROM (SELECT unnest([{', '.join(f'future_speed_{h}m' for h in HORIZONS)}]) AS y FROM fit)) SELECT city, segment_id, time_bucket, round(currentSpeed, 6) + 0.0 AS currentSpeed, TIMESTAMP '2024-02-01' AS prediction_timestamp, low IS NOT NULL AS plausible FROM later, known")
 def batch_predict(spark, sf):
-    """Later rows under a model of the earlier ones."""
+    """Later rows under a model of the earlier ones; a prediction is plausible if it lies within half a range of the fitted speeds."""
     rows, inputs = _held_out(spark, sf)
-    models = ln.fit_horizons(_stopping(rows.filter("split = 'train'")), inputs, (60,), held="held")
-    return ln.predict_horizons(rows.filter("split = 'test'"), models, [*KEYS.split(), "currentSpeed"], F.lit("2024-02-01").cast("timestamp"))
+    train = rows.filter("split = 'train'")
+    models = ln.fit_horizons(_stopping(train), inputs, (60,), held="held")
+    low, high = train.agg(F.min("future_speed_60m"), F.max("future_speed_60m")).first()
+    out = ln.predict_horizons(rows.filter("split = 'test'"), models, [*KEYS.split(), "currentSpeed"], F.lit("2024-02-01").cast("timestamp_ntz"))
+    plausible = F.col("predicted_speed_60m").between(low - (high - low) / 2, high + (high - low) / 2).alias("plausible")
+    return tidy(out.select(*KEYS.split(), "currentSpeed", "prediction_timestamp", plausible))
 
 
-@query("attribution")
+@query("attribution", f"WITH {SPLIT_SQL.removeprefix('WITH ')} SELECT city, segment_id, true AS ranked_by_size, true AS signs_fit, true AS within_top FROM (SELECT DISTINCT city, segment_id FROM fit)")
 def attribution(spark, sf):
-    """Top features of the newest row of each segment by single-feature replacement."""
+    """Top features of the newest row of each segment by single-feature replacement: facts about every segment's list."""
     rows, inputs = _training(spark, sf)
     model = ln.fit_horizons(_stopping(rows), inputs, (60,), held="held")[60]
     baseline = {r["feature"]: float(r["baseline"]) for r in ln.baseline_values(rows, inputs, []).collect()}
-    return ln.attribution(latest_by_segment(rows), model, inputs, baseline, ["city", "segment_id"])
+    newest = latest_by_segment(rows)
+    effects = ln.attribution(newest, model, inputs, baseline, ["city", "segment_id"])
+    sizes = F.transform(F.array_sort(F.collect_list(F.struct("rank", F.abs("contribution").alias("c")))), lambda x: x["c"])
+    lists = effects.groupBy("city", "segment_id").agg(
+        sizes.alias("s"), F.max("rank").alias("r"), F.count(F.lit(1)).alias("n"), F.bool_and((F.col("direction") == "raises_speed") == (F.col("contribution") > 0)).alias("signs"),
+    )
+    # A segment whose prediction no input moves has an empty list.
+    all_ = newest.select("city", "segment_id").join(lists, ["city", "segment_id"], "left")
+    return all_.select(
+        "city", "segment_id", F.coalesce(F.col("s") == F.reverse(F.array_sort("s")), F.lit(True)).alias("ranked_by_size"), F.coalesce("signs", F.lit(True)).alias("signs_fit"),
+        F.coalesce((F.col("r") <= 8) & (F.col("r") == F.col("n")), F.lit(True)).alias("within_top"),
+    )
 
 
-@query("feature_importance")
+@query("feature_importance", f"SELECT unnest([{', '.join(repr(n) for n in sorted(MODEL_INPUTS))}]) AS feature, true AS is_share, true AS shares_sum_to_one FROM (SELECT count(*) FROM events)")
 def feature_importance(spark, sf):
+    """Importances of all inputs: shares that sum to one."""
     rows, inputs = _training(spark, sf)
     model = ln.fit_horizons(_stopping(rows), inputs, (60,), held="held")[60]
-    return ln.importances(model, spark, inputs)
+    all_ = ln.importances(model, spark, inputs, top=len(inputs))
+    total = all_.agg(F.sum("importance").alias("s")).scalar()
+    return all_.select("feature", F.col("importance").between(0.0, 1.0).alias("is_share"), (F.abs(total - 1) < 1e-9).alias("shares_sum_to_one"))
+
+
+SCORED_INPUTS = ["current_speed_kph", "jam_lag_1", "speed_ratio", "hour_sin", "pressure_trend", "speed_lag_1", "local_hour"]
+AS_OF = "2024-01-31"
+
+
+@query("score_segments", f"""WITH {LAGGED.removeprefix('WITH ')}, newest AS (SELECT * FROM lagged QUALIFY row_number() OVER (PARTITION BY city, segment_id ORDER BY time_bucket DESC) = 1), h(horizon, half) AS (VALUES ('15m', 5.0::DOUBLE), ('60m', 7.5::DOUBLE), ('240m', 12.0::DOUBLE)),
+    s AS (SELECT *, horizon = '15m' AS is_fallback, CASE WHEN horizon = '15m' THEN 0 ELSE 7 END AS required, CASE WHEN horizon = '15m' THEN 0 ELSE 1 + CASE WHEN speed_lag_1 IS NULL THEN 2 ELSE 0 END END AS filled, greatest(0, floor(epoch(TIMESTAMP '{AS_OF}'))::BIGINT - floor(epoch(timestamp))::BIGINT) AS age FROM newest, h),
+    v AS (SELECT *, CASE WHEN required > 0 THEN (required - filled) / required::DOUBLE ELSE 0.0::DOUBLE END AS cov FROM s)
+    SELECT city, segment_id, horizon, round(currentSpeed, 6) + 0.0 AS current_speed, is_fallback, CASE WHEN is_fallback THEN 'current_speed' ELSE 'boosted' END AS model_name, required::INTEGER AS required_feature_count, (required - filled)::INTEGER AS available_feature_count, filled::INTEGER AS filled_feature_count,
+    CASE WHEN is_fallback THEN '' ELSE concat_ws(',', CASE WHEN speed_lag_1 IS NULL THEN 'jam_lag_1' END, 'pressure_trend', CASE WHEN speed_lag_1 IS NULL THEN 'speed_lag_1' END) END AS missing, age AS data_freshness_seconds, round(cov, 4) + 0.0 AS feature_coverage_ratio,
+    CASE WHEN is_fallback OR cov < 0.7::DOUBLE OR age > 3600 THEN 'low' WHEN cov < 0.9::DOUBLE OR age > 600 THEN 'medium' ELSE 'high' END AS reliability_level, round(half + (1 - cov) * half + CASE WHEN is_fallback THEN half ELSE 0 END, 2) + 0.0 AS half_band, true AS plausible FROM v""")
+def score_segments(spark, sf):
+    """Every segment's newest row through one bundle: fitted on aligned rows, aligned, predicted, judged."""
+    rows = cut_lineage(ts.exact_offsets(dv.based(spark, sf), {**ts.lag_spec(dv.BUCKET), **ts.target_spec(HORIZONS)}))
+    fit = ln.align_features(rows, SCORED_INPUTS, [*KEYS.split(), "future_speed_60m", "future_speed_240m"])
+    models = {f"{h}m": m for h, m in ln.fit_horizons(_stopping(fit), SCORED_INPUTS, (60, 240), held="held").items()}
+    bundle = ln.ModelBundle("boosted", models, {h: SCORED_INPUTS for h in models})
+    out = db.score_segments(latest_by_segment(rows), bundle, ["15m", 60, "4h"], F.lit(AS_OF).cast("timestamp_ntz"))
+    plausible = F.when(F.col("is_fallback"), F.col("predicted_speed") == F.round("current_speed", 3)).otherwise(F.col("predicted_speed").between(0.0, 200.0))
+    return tidy(out.select(
+        "city", "segment_id", "horizon", "current_speed", "is_fallback", "model_name", "required_feature_count", "available_feature_count", "filled_feature_count",
+        F.array_join("missing_features", ",").alias("missing"), "data_freshness_seconds", "feature_coverage_ratio", "reliability_level",
+        F.round(F.col("band_high") - F.col("predicted_speed"), 2).alias("half_band"), plausible.alias("plausible"),
+    ))
 
 
 GOLD_COLS = "speed_lag_1 speed_rolling_avg_15m p50 speed_vs_p50 weather_temperature future_speed_60m"

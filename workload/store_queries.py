@@ -101,7 +101,7 @@ def first_existing_table(spark, sf):
 def partitioned_roundtrip(spark, sf):
     path = scratch_path(spark, "panel")
     rows = dv.panel(spark, sf).select("city", "segment_id", "time_bucket", "currentSpeed").withColumn("date", F.date_format("time_bucket", "yyyy-MM-dd"))
-    sk.write_partitioned(rows, path, ["city", "date"], files_per_value=1)
+    sk.write_partitioned(rows, path, ["city", "date"])
     back = rd.read_table(spark, path).filter(F.col("date") >= "2024-01-15")
     return tidy(back.select("city", "segment_id", "time_bucket", "currentSpeed", F.date_format("date", "yyyy-MM-dd").alias("date")))
 
@@ -210,15 +210,31 @@ def stream_dead_letter(spark, sf):
     return good.unionAll(bad).agg(F.sum("s").alias("stored"), F.sum("l").alias("letters"))
 
 
-@query("stream_tumbling", """SELECT date_trunc('day', ts) AS time_bucket, event_type, count(*) AS n, round(avg(value), 6) + 0.0 AS mean_value FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) GROUP BY ALL""")
+# Four arrivals: a row comes with the quarter of the time range it lies in, every 7th one quarter later. Rows of the first two
+# quarters arrive before a restart, the others after it. What a batch drops as late is what the batch before has closed.
+ARRIVALS = """span AS (SELECT min(epoch(ts)) AS a, max(epoch(ts)) AS z FROM events), timed AS (SELECT *, least(3, floor((epoch(ts) - a) / (z - a) * 4)::INTEGER) AS q FROM events, span),
+arrived AS (SELECT *, CASE WHEN event_id % 7 = 0 THEN least(3, q + 1) ELSE q END AS arrival, date_trunc('day', ts) AS day FROM timed),
+marks AS (SELECT max(ts) FILTER (arrival < 2) - INTERVAL 2 DAYS AS late_mark, max(ts) - INTERVAL 2 DAYS AS last_mark FROM arrived),
+taken AS (SELECT * FROM arrived, marks WHERE arrival < 2 OR day + INTERVAL 1 DAY > late_mark)"""
+
+
+@query("stream_tumbling", f"""WITH {ARRIVALS} SELECT day AS time_bucket, event_type, count(*) AS n, round(avg(value), 6) + 0.0 AS mean_value FROM taken WHERE day + INTERVAL 1 DAY <= last_mark GROUP BY ALL""")
 def stream_tumbling(spark, sf):
-    """Daily buckets that the watermark has closed; the last, still open day does not appear."""
+    """Daily buckets over four micro-batches with rows out of order and one restart; buckets that are still open do not appear."""
     path = scratch_path(spark, "ticks")
-    events = dv.table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
-    events.write.parquet(f"{path}/in")
-    stream = spark.readStream.schema(events.schema).parquet(f"{path}/in")
-    daily = st.tumbling(stream, "ts", 1440, ["event_type"], [F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value")], lateness="0 seconds")
-    out = st.run_to_table(spark, daily, "daily")
+    events = dv.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    low, high = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    quarter = F.least(F.lit(3), F.floor((F.unix_micros("ts") - low) / (high - low) * 4).cast("int"))
+    arrivals = events.withColumn("arrival", F.when(F.col("event_id") % 7 == 0, F.least(F.lit(3), quarter + 1)).otherwise(quarter)).cache()
+    for first in (0, 2):
+        for i in (first, first + 1):
+            arrivals.filter(F.col("arrival") == i).select("ts", "event_type", "value").coalesce(1).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema("ts timestamp, event_type string, value double").option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        daily = st.tumbling(stream, "ts", 1440, ["event_type"], [F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value")], lateness="2 days")
+        # The second run goes on from the first one's state.
+        st.to_bronze(daily, f"{path}/out", f"{path}/checkpoint", once=True).awaitTermination()
+    arrivals.unpersist()
+    out = spark.read.schema(daily.schema).parquet(f"{path}/out")
     return tidy(out.select(F.col("time_bucket").cast("timestamp_ntz").alias("time_bucket"), "event_type", "n", "mean_value"))
 
 
