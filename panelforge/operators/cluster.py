@@ -80,12 +80,8 @@ def dbscan(df: DataFrame, key: str, x: str, y: str, by: str, params: dict[str, t
     sparse_links = few.join(core_others, [by, "nx", "ny"]).filter(near("", "o")).select(by, cell("c").alias("a"), cell("n").alias("b")).distinct()
 
     # Links between crowded cells: boxes first, finer boxes where undecided, points last.
-    full = core.filter("crowded").withColumns(
-        {"fx": F.floor((F.col("x") / side - F.col("cx")) * fine), "fy": F.floor((F.col("y") / side - F.col("cy")) * fine)}
-    )
-    apart = _gap("ax0", "ax1", "bx0", "bx1") ** 2 + _gap("ay0", "ay1", "by0", "by1") ** 2
-    across = _reach("ax0", "ax1", "bx0", "bx1") ** 2 + _reach("ay0", "ay1", "by0", "by1") ** 2
-    limit = F.col("eps") ** 2
+    full = core.filter("crowded")
+    apart, across, limit = _apart(), _across(), F.col("eps") ** 2
     boxes = _boxes(full, [by, "eps", "cx", "cy"])
     left = _around(boxes).select(by, "eps", F.col("cx").alias("acx"), F.col("cy").alias("acy"), F.col("nx").alias("bcx"), F.col("ny").alias("bcy"),
                                  *[F.col(c).alias("a" + c) for c in ("x0", "x1", "y0", "y1")])
@@ -94,22 +90,9 @@ def dbscan(df: DataFrame, key: str, x: str, y: str, by: str, params: dict[str, t
     pairs = left.join(right, [by, "bcx", "bcy"]).filter(forward & (apart <= limit)).withColumn("sure", across <= limit)
     pairs = cut_lineage(pairs.select(by, "eps", "acx", "acy", "bcx", "bcy", "sure"))
     open_pairs = pairs.filter(~F.col("sure")).drop("sure")
-    small = _boxes(full, [by, "cx", "cy", "fx", "fy"])
-    tiles = (
-        open_pairs.join(_renamed(small, [], "a", by), [by, "acx", "acy"]).join(_renamed(small, [], "b", by), [by, "bcx", "bcy"])
-        .filter(apart <= limit).withColumn("sure", across <= limit)
-    )
     ids = [by, "acx", "acy", "bcx", "bcy"]
-    tiles = cut_lineage(tiles.select(*ids, "eps", "afx", "afy", "bfx", "bfy", "sure"))
-    joined_tiles = tiles.filter("sure").select(*ids).distinct()
-    unsure = tiles.join(joined_tiles, ids, "left_anti")
-    spots = full.select(by, "cx", "cy", "fx", "fy", "x", "y")
-    by_points = (
-        unsure.join(_renamed(spots, [], "a", by), [by, "acx", "acy", "afx", "afy"])
-        .join(_renamed(spots, [], "b", by), [by, "bcx", "bcy", "bfx", "bfy"])
-        .filter(near("a", "b")).select(*ids).distinct()
-    )
-    decided = pairs.filter("sure").select(*ids).unionByName(joined_tiles).unionByName(by_points)
+    joined_tiles, rest = _closest_tiles(open_pairs.select(*ids, "eps"), full, by, side, fine)
+    decided = pairs.filter("sure").select(*ids).unionByName(joined_tiles).unionByName(rest)
     crowded_links = decided.select(by, cell("ac").alias("a"), cell("bc").alias("b"))
     links = cut_lineage(sparse_links.unionByName(crowded_links).filter(F.col("a") != F.col("b")).distinct())
     cells = core.select(by, cell("c").alias("cell")).distinct()
@@ -128,6 +111,56 @@ def dbscan(df: DataFrame, key: str, x: str, y: str, by: str, params: dict[str, t
     return out.select(key, by, F.coalesce("is_core", F.lit(False)).alias("is_core"), "cluster")
 
 
+def _apart() -> Column:
+    return _gap("ax0", "ax1", "bx0", "bx1") ** 2 + _gap("ay0", "ay1", "by0", "by1") ** 2
+
+
+def _across() -> Column:
+    return _reach("ax0", "ax1", "bx0", "bx1") ** 2 + _reach("ay0", "ay1", "by0", "by1") ** 2
+
+
+#: Points of a pair of tiles (product of both sides) that are compared one by one, and how finely a tile is split each time.
+FEW_PAIRS, SPLIT = 64, 4
+_FINEST = 1 << 40
+
+
+def _closest_tiles(cell_pairs: DataFrame, points: DataFrame, by: str, side: Column, fine: int) -> tuple[DataFrame, DataFrame]:
+    """The cell pairs that hold two points within eps of each other: (by boxes, by points).
+
+    A dual-tree search, one level of tiles at a time: of a pair of tiles only the boxes of their points count. Boxes further apart than
+    eps drop out, boxes wholly within eps decide for their cells, all others are split - the smaller the tiles, the fewer pairs lie across the
+    edge of eps. Pairs of tiles with few points compare these.
+    """
+    ids = [by, "acx", "acy", "bcx", "bcy"]
+    tile = lambda size: {f"f{c}": F.floor((F.col(c) / side - F.col(f"c{c}")) * size) for c in "xy"}
+    near = (F.col("ax") - F.col("bx")) ** 2 + (F.col("ay") - F.col("by")) ** 2 <= F.col("eps") ** 2
+    sides = lambda t, p: t.select(by, *[F.col(c).alias(p + c) for c in t.columns if c != by])
+    open_, size, found, rest, parents = cell_pairs, fine, None, None, False
+    while True:
+        cells = open_.select(by, F.col("acx").alias("cx"), F.col("acy").alias("cy")).unionByName(open_.select(by, F.col("bcx").alias("cx"), F.col("bcy").alias("cy"))).distinct()
+        held = points.join(cells, [by, "cx", "cy"], "left_semi").withColumns(tile(size))
+        boxes = held.groupBy(by, "cx", "cy", "fx", "fy").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"), F.count(F.lit(1)).alias("n"))
+        if parents:  # a tile of the level before holds SPLIT × SPLIT of this one
+            boxes = boxes.withColumns({"_ux": F.floor(F.col("fx") / SPLIT), "_uy": F.floor(F.col("fy") / SPLIT)})
+        up = ["_ux", "_uy"] if parents else []
+        both = open_.join(sides(boxes, "a"), [by, *["a" + c for c in ("cx", "cy", *up)]]).join(sides(boxes, "b"), [by, *["b" + c for c in ("cx", "cy", *up)]])
+        kept = both.filter(_apart() <= F.col("eps") ** 2).withColumn("sure", _across() <= F.col("eps") ** 2)
+        tiles = cut_lineage(kept.select(*ids, "eps", *[p + c for p in "ab" for c in ("fx", "fy", "n")], "sure"))
+        sure = tiles.filter("sure").select(*ids).distinct()
+        found = sure if found is None else found.unionByName(sure)
+        unsure = tiles.filter("NOT sure").join(sure, ids, "left_anti").drop("sure")
+        few = (F.col("an") * F.col("bn") <= FEW_PAIRS) | F.lit(size >= _FINEST)
+        spots = held.select(by, "cx", "cy", "fx", "fy", "x", "y")
+        hit = unsure.filter(few).join(sides(spots, "a"), [by, "acx", "acy", "afx", "afy"]).join(sides(spots, "b"), [by, "bcx", "bcy", "bfx", "bfy"]).filter(near).select(*ids).distinct()
+        hit = cut_lineage(hit)
+        rest = hit if rest is None else rest.unionByName(hit)
+        many = unsure.filter(~few).join(hit, ids, "left_anti").select(*ids, "eps", *[F.col(f"{p}f{c}").alias(f"{p}_u{c}") for p in "ab" for c in "xy"])
+        open_ = cut_lineage(many)
+        if open_.isEmpty():
+            return found, rest
+        parents, size = True, size * SPLIT
+
+
 def components(nodes: DataFrame, links: DataFrame, by: str, name: str = "cell") -> DataFrame:
     """Connected components: smallest label of the neighbourhood, then jump to the label's own label,
     until nothing changes. The rounds grow with the logarithm of the longest path."""

@@ -6,13 +6,14 @@ blocks ratio; thresholds are parameters).
 
 Scale: copies (same city, category, title, place) share one entry, so similarity is computed once per
 distinct title. Candidate titles come from a segment index: a title within d edits of another contains
-one of its d + 1 segments near the same position, so no block is ever paired with itself. Grouping is
-then a few rounds over (title, day) frontiers - the earliest and latest open event of each day.
+one of its d + 1 segments near the same position. Grouping is rounds over (title, day) frontiers - the
+earliest and latest open event of each day. A round links only the first titles of each block and day, which
+become leaders or wait, with those still open: titles that all match meet a leader, not each other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelforge.functions import text as tx, times as tm
 from panelforge.session import cut_lineage
@@ -35,32 +36,43 @@ def _segments(df: DataFrame, ratio: float) -> DataFrame:
     )
 
 
-def similar_titles(titles: DataFrame, block: list[str], key: str, title: str, ratio: float) -> DataFrame:
-    """(a, b, similarity) with a < b for all pairs of a block at or above the ratio; complete by pigeonhole."""
-    sized = titles.select(*block, key, F.col(title).alias("_s"), F.length(title).alias("_l"))
-    lengths = sized.select(F.col("_l").alias("_m")).distinct()
-    indexed = _segments(sized.withColumn("_m", F.col("_l")), ratio).select(
-        *block, F.col(key).alias("_r"), F.col("_s").alias("_rs"), "_m", "_i", F.substring("_s", F.col("_p"), F.col("_w")).alias("_seg")
-    )
-    # Lengths of the longer partner: from its own up to length / ratio, as far as they occur.
-    options = F.sequence(F.col("_l"), F.greatest(F.col("_l"), F.floor(F.col("_l") / ratio + F.lit(1e-9)).cast("int")))
-    probes = sized.withColumn("_m", F.explode(options)).join(lengths, "_m", "left_semi")
-    placed = _segments(probes, ratio)
-    shift = F.col("_l") - F.col("_m")
-    right = F.col("_d") + 1 - F.col("_i")
-    low = F.greatest(F.lit(1), F.col("_p") - (F.col("_i") - 1), F.col("_p") + shift - right)
-    high = F.least(F.col("_l") - F.col("_w") + 1, F.col("_p") + (F.col("_i") - 1), F.col("_p") + shift + right)
-    starts = placed.withColumns({"_low": low, "_high": high}).filter("_low <= _high")
-    probing = starts.withColumn("_at", F.explode(F.sequence("_low", "_high"))).select(
-        *block, key, "_s", "_m", "_i", F.substring("_s", F.col("_at"), F.col("_w")).alias("_seg")
-    )
-    pairs = probing.join(indexed, [*block, "_m", "_i", "_seg"]).filter(F.col(key) != F.col("_r"))
-    ordered = pairs.select(
-        F.least(key, "_r").alias("a"), F.greatest(key, "_r").alias("b"), "_s", "_rs", "_m"
-    ).dropDuplicates(["a", "b"])
-    edits = F.levenshtein("_s", "_rs")
-    similarity = F.when(F.col("_m") == 0, 1.0).otherwise(1 - edits / F.col("_m"))
-    return ordered.select("a", "b", similarity.alias("similarity")).filter(F.col("similarity") >= ratio - 1e-9)
+def similar_titles(left: DataFrame, right: DataFrame, block: list[str], key: str, title: str, ratio: float) -> DataFrame:
+    """(a, b) of all pairs of a block with a from ``left``, b from ``right`` and a similarity of at least ``ratio``; complete by
+    pigeonhole. A title on both sides is no pair with itself."""
+
+    def sized(t: DataFrame) -> DataFrame:
+        return t.select(*block, key, F.col(title).alias("_s"), F.length(title).alias("_l"))
+
+    def matched(longer: DataFrame, shorter: DataFrame) -> DataFrame:
+        """(k of the longer title, k of the shorter one)."""
+        indexed = _segments(longer.withColumn("_m", F.col("_l")), ratio).select(
+            *block, F.col(key).alias("_r"), F.col("_s").alias("_rs"), "_m", "_i", F.substring("_s", F.col("_p"), F.col("_w")).alias("_seg")
+        )
+        # Lengths of the longer partner: from its own up to length / ratio, as far as they occur.
+        lengths = longer.select(F.col("_l").alias("_m")).distinct()
+        options = F.sequence(F.col("_l"), F.greatest(F.col("_l"), F.floor(F.col("_l") / ratio + F.lit(1e-9)).cast("int")))
+        placed = _segments(shorter.withColumn("_m", F.explode(options)).join(lengths, "_m", "left_semi"), ratio)
+        shift = F.col("_l") - F.col("_m")
+        behind = F.col("_d") + 1 - F.col("_i")
+        low = F.greatest(F.lit(1), F.col("_p") - (F.col("_i") - 1), F.col("_p") + shift - behind)
+        high = F.least(F.col("_l") - F.col("_w") + 1, F.col("_p") + (F.col("_i") - 1), F.col("_p") + shift + behind)
+        starts = placed.withColumns({"_low": low, "_high": high}).filter("_low <= _high")
+        probing = starts.withColumn("_at", F.explode(F.sequence("_low", "_high"))).select(
+            *block, key, "_s", "_m", "_i", F.substring("_s", F.col("_at"), F.col("_w")).alias("_seg")
+        )
+        pairs = probing.join(indexed, [*block, "_m", "_i", "_seg"]).filter(F.col(key) != F.col("_r"))
+        pairs = pairs.select("_r", key, "_s", "_rs", "_m").dropDuplicates(["_r", key])
+        similarity = F.when(F.col("_m") == 0, 1.0).otherwise(1 - F.levenshtein("_s", "_rs") / F.col("_m"))
+        return pairs.filter(similarity >= ratio - 1e-9).select("_r", key)
+
+    one, two = sized(left), sized(right)
+    long = matched(one, two).select(F.col("_r").alias("a"), F.col(key).alias("b"))
+    short = matched(two, one).select(F.col(key).alias("a"), F.col("_r").alias("b"))
+    return long.unionByName(short).distinct()
+
+
+#: Titles of a block and day that are linked in the first round, and how that number grows.
+HEADS, GROWTH = 128, 8
 
 
 def event_groups(
@@ -77,36 +89,46 @@ def event_groups(
         tm.epoch_micros(F.col("event_time_start")).alias("t"),
     ).withColumns({"g": F.md5(F.concat_ws("\x01", "city", "category", "title", "place")), "day": F.floor(F.col("t") / DAY)})
     shaped = cut_lineage(shaped)
-    groups = cut_lineage(shaped.select("g", "city", "category", "title", "place").distinct())
-    # Groups reach at most a day, so titles meet only on equal or neighbouring days: a row stands in its day and the next,
-    # and two such rows share one of these. That bounds a block by the titles of two days, not of all time.
-    daily = shaped.select("g", "city", "category", "title", "place", F.explode(F.array("day", F.col("day") + 1)).alias("_near")).distinct()
-    near = similar_titles(daily, ["city", "category", "_near"], "g", "title", strict).select("a", "b")
-    placed = daily.filter("place <> ''")
-    loose = similar_titles(placed, ["city", "category", "place", "_near"], "g", "title", same_place).select("a", "b")
-    edges = near.unionByName(loose).distinct()
-    links = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(
-        groups.select(F.col("g").alias("a"), F.col("g").alias("b"))
-    )
-    links = cut_lineage(links.distinct())
+    block = ["city", "category"]
+    titles = shaped.select("g", *block, "title", "place", "day").distinct()
+
+    def linked(heads: DataFrame, open_: DataFrame) -> DataFrame:
+        """(a, b): titles of ``heads`` with the open titles they match, of the day and the days beside it."""
+        first = titles.join(heads, ["g", "day"], "left_semi").withColumn("_near", F.col("day"))
+        days = F.explode(F.array(F.col("day") - 1, F.col("day"), F.col("day") + 1))
+        other = titles.join(open_, ["g", "day"], "left_semi").withColumn("_near", days).drop("day").distinct()
+        near = similar_titles(first, other, [*block, "_near"], "g", "title", strict)
+        loose = similar_titles(first.filter("place <> ''"), other.filter("place <> ''"), [*block, "place", "_near"], "g", "title", same_place)
+        own = first.select(F.col("g").alias("a"), F.col("g").alias("b"))
+        return near.unionByName(loose).unionByName(own).distinct()
 
     rows = shaped.select("id", "g", "t", "day")
-    undecided, matches, leaders = rows, None, None
+    undecided, matches, leaders, links, known, size = rows, None, None, None, None, HEADS
+    of_block = shaped.select("g", *block).distinct()
     while True:
         when = F.struct("t", "id")
         frontier = undecided.groupBy("g", "day").agg(F.min(when).alias("first"), F.max("t").alias("last"))
         frontier = cut_lineage(frontier)
         if frontier.isEmpty():
             break
+        # The earliest open titles of each block and day take part; more in every round. Only they are linked, with what is still open.
+        rank = F.row_number().over(Window.partitionBy(*block, "day").orderBy("first"))
+        heads = frontier.join(of_block, "g").withColumn("_rank", rank).filter(F.col("_rank") <= size).select("g", "day", "first")
+        heads, size = cut_lineage(heads), size * GROWTH
+        new = heads.select("g", "day") if known is None else heads.select("g", "day").join(known, ["g", "day"], "left_anti")
+        if known is None or not new.isEmpty():
+            found_links = linked(new, frontier.select("g", "day"))
+            links = cut_lineage(found_links if links is None else links.unionByName(found_links).distinct())
+            known = new if known is None else known.unionByName(new)
         earlier = frontier.select(F.col("g").alias("b"), F.col("day").alias("_day"), F.col("first").alias("_first"), F.col("last").alias("_last"))
-        around = frontier.join(links, frontier["g"] == links["a"]).withColumn(
+        around = heads.join(links, heads["g"] == links["a"]).withColumn(
             "_day", F.explode(F.array(F.col("day") - 1, F.col("day")))
         )
         blocks = F.when(F.col("_day") == F.col("day"), F.col("_first") < F.col("first")).otherwise(
             F.col("_last") >= F.col("first.t") - reach
         )
         blocked = around.join(earlier, ["b", "_day"]).filter(blocks).select("g", "day").distinct()
-        found = cut_lineage(frontier.join(blocked, ["g", "day"], "left_anti").select("g", "day", "first"))
+        found = cut_lineage(heads.join(blocked, ["g", "day"], "left_anti").select("g", "day", "first"))
         leaders = found if leaders is None else leaders.unionByName(found)
         targets = found.join(links, found["g"] == links["a"]).select(
             F.col("b").alias("g"), F.col("first").alias("_lead"), F.explode(F.array("day", F.col("day") + 1)).alias("day")

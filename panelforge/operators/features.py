@@ -202,6 +202,7 @@ def event_windows(grid: DataFrame, events: DataFrame, bucket_seconds: int) -> Da
     return grid.join(out.drop("_relevance_6h"), ["city", "time_bucket"], "left")
 
 
+# Names of the event features.
 EVENT_NUMBERS = (
     "news_event_count_1h", "news_event_count_3h", "news_event_count_6h", "accident_count_1h", "congestion_news_count_1h",
     "roadwork_count_24h", "weather_disruption_count_6h", "flood_count_6h", "max_event_severity_1h", "max_event_severity_6h",

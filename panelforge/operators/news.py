@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from panelforge import catalog
 from panelforge.functions import numeric as nm, scoring as sc, text as tx, times as tm, urls
 
+# Version columns of the news table.
 BRONZE_VERSIONS = {"crawler_name": "news_reader", "crawler_version": "1", "schema_version": "1"}
 
 
@@ -29,23 +30,47 @@ def city_by_alias(text: Column, hint: Column, aliases: dict[str, list[str]]) ->
     return F.when(found.isNotNull(), F.struct(found["city"].alias("city"), found["alias"].alias("alias")))
 
 
-def place_names(text: Column, gazetteer: list[str]) -> Column:
-    """Places of the gazetteer the text contains, longest name first."""
-    ordered = sorted(dict.fromkeys(gazetteer), key=len, reverse=True)
-    table = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(n.lower()).alias("key")) for n in ordered])
-    found = tx.let(F.lower(text), lambda low: F.filter(table, lambda p: F.contains(low, p["key"])))
-    return F.transform(found, lambda p: p["name"])
+#: Characters of the fragment by which a gazetteer name is looked up, and of the stretches in which a text is cut into them.
+FRAGMENT, STRETCH = 4, 512
+
+
+def _fragments(text: Column, width: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.length(text) - width + 1), lambda i: F.substr(text, i, width))
+
+
+def place_names(df: DataFrame, key: str, text: str, gazetteer: DataFrame) -> DataFrame:
+    """(key, places): names of the gazetteer that the text contains, whatever their case, longest first.
+
+    ``gazetteer`` is a table (name, rank); of equally long names the smaller rank comes first, of names that differ in
+    case only the smallest rank stays. ``key`` is unique. Each name is indexed by its rarest fragment among the names, and the
+    distinct fragments of a text meet that index, so a text looks at the few names that may be in it, however long the table is.
+    """
+    low = F.lower("name")
+    names = gazetteer.filter(F.trim("name") != "").groupBy(low.alias("_low")).agg(F.min_by("name", F.struct("rank", "name")).alias("name"), F.min("rank").alias("rank"))
+    names = names.withColumn("_w", F.least(F.length("_low"), F.lit(FRAGMENT)))
+    fragments = names.select("_low", "name", "rank", F.explode(F.array_distinct(_fragments(F.col("_low"), F.col("_w")))).alias("_f"))
+    counts = fragments.groupBy("_f").agg(F.count(F.lit(1)).alias("_c"))
+    index = fragments.join(counts, "_f").groupBy("_low", "name", "rank").agg(F.min_by("_f", F.struct("_c", "_f")).alias("_f"))
+
+    texts = df.select(key, F.lower(text).alias("_text"))
+    widths = sorted(r["_w"] for r in names.select("_w").distinct().collect())  # at most FRAGMENT numbers
+    # Places inside a long text are found from its start, so it is cut into stretches first; they overlap by a fragment.
+    stretch = F.transform(F.sequence(F.lit(0), F.floor(F.length("_text") / STRETCH)), lambda i: F.substr(F.col("_text"), (i * STRETCH + 1).cast("int"), F.lit(STRETCH + FRAGMENT - 1)))
+    pieces = texts.filter("_text <> ''").select(key, F.explode(stretch).alias("_s"))
+    of_width = [F.when(F.length("_s") >= w, _fragments(F.col("_s"), F.lit(w))).otherwise(F.array().cast("array<string>")) for w in widths]
+    held = pieces.select(key, F.explode(F.array_distinct(F.concat(*of_width) if of_width else F.array().cast("array<string>"))).alias("_f"))
+    maybe = held.join(index, "_f").select(key, "_low", "name", "rank").distinct().groupBy(key).agg(F.collect_list(F.struct((-F.length("_low")).alias("n"), "rank", "_low", "name")).alias("_maybe"))
+    joined = texts.join(maybe, key, "left")
+    inside = F.filter(F.array_sort("_maybe"), lambda p: F.contains(F.col("_text"), p["_low"]))
+    return joined.select(key, F.coalesce(F.transform(inside, lambda p: p["name"]), F.array().cast("array<string>")).alias("places"))
 
 
 def named_city(text: Column, cities: dict[str, list[str]] = catalog.PLACE_CITIES) -> Column:
     return tx.let(F.lower(text), lambda low: tx.first_label(low, cities))
 
 
-def located_places(text: Column, hint: Column, gazetteer: list[str], cities: dict[str, list[str]], found: Column | None = None) -> Column:
-    """Places with the city appended where the name lacks one; names found elsewhere go first, once."""
-    places = place_names(text, gazetteer)
-    if found is not None:
-        places = F.array_distinct(F.concat(found, places))
+def with_city(places: Column, text: Column, hint: Column, cities: dict[str, list[str]]) -> Column:
+    """Places with the city of the text (else the hint) appended where the name lacks one."""
     city = F.coalesce(named_city(text, cities), hint)
     every = [w for words in cities.values() for w in words]
     has_city = lambda p: tx.contains_any(F.lower(p), every)
@@ -54,8 +79,19 @@ def located_places(text: Column, hint: Column, gazetteer: list[str], cities: dic
     )
 
 
-def primary_place(text: Column, hint: Column, gazetteer: list[str], cities: dict[str, list[str]]) -> Column:
-    return F.coalesce(F.get(located_places(text, hint, gazetteer, cities), 0), F.lit(""))
+def located_places(
+    df: DataFrame, key: str, text: str, hint: str, gazetteer: DataFrame, cities: dict[str, list[str]] = catalog.PLACE_CITIES, found: str | None = None
+) -> DataFrame:
+    """Adds ``places`` (with their city) and ``primary_place`` ('' for none); names of the array column ``found`` go first, once."""
+    joined = df.join(place_names(df, key, text, gazetteer).withColumnRenamed("places", "_names"), key)
+    names = F.array_distinct(F.concat(F.coalesce(F.col(found), F.array().cast("array<string>")), F.col("_names"))) if found else F.col("_names")
+    out = joined.withColumn("places", with_city(names, F.col(text), F.col(hint), cities)).drop("_names")
+    return out.withColumn("primary_place", F.coalesce(F.get("places", 0), F.lit("")))
+
+
+def gazetteer_table(spark: SparkSession, names: list[str] = catalog.GAZETTEER) -> DataFrame:
+    """The built-in names as a table, ranked in their order."""
+    return spark.createDataFrame(list(zip(names, range(len(names)))), "name string, rank int")
 
 
 def district_in(text: Column, patterns: list[str] = catalog.DISTRICT_PATTERNS) -> Column:
@@ -294,6 +330,7 @@ def news_table(
         }
     )
     partial = (F.col("provider") == "html_listing") & (F.col("summary_raw").isNull() | tx.is_missing(F.col("published_at")))
+    # Names of the quality flags.
     flags = {
         "missing_title": F.col("title_raw").isNull(),
         "missing_summary": F.col("summary_raw").isNull(),
@@ -335,9 +372,14 @@ def news_table(
     )
 
 
+def published_order() -> list[Column]:
+    """Ingestion time, source, title, nulls last."""
+    return [F.asc_nulls_last(c) for c in ("ingestion_time_utc", "source", "title_raw")]
+
+
 def by_ingestion(news: DataFrame) -> DataFrame:
-    """The table in its published order: ingestion time, source, title, nulls last."""
-    return news.orderBy(*[F.asc_nulls_last(c) for c in ("ingestion_time_utc", "source", "title_raw")])
+    """The table in its published order."""
+    return news.orderBy(*published_order())
 
 
 def mark_duplicates(news: DataFrame, order: list[str]) -> DataFrame:
@@ -386,6 +428,7 @@ def raw_shape(news: DataFrame) -> DataFrame:
     )
 
 
+# Flag columns of an event and the categories that set them.
 FLAG_CATEGORIES = {
     "has_accident": ["accident"],
     "has_congestion": ["congestion"],

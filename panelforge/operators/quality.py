@@ -178,12 +178,17 @@ def collection_summary(df: DataFrame) -> DataFrame:
     )
 
 
+#: Distinct values around a wanted rank that one task may sort.
+FEW_VALUES = 4096
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, marks: list[float], bins: int = 4096) -> DataFrame:
     """Exact linear-interpolation quantiles per key for columns with unbounded distinct values.
 
-    Two rounds of histogram counting narrow every wanted rank down to a sliver of the value range;
-    only the distinct values inside those slivers are ranked. State per key is two histograms, never
-    the values themselves, so one key may hold most of the table.
+    Histogram counts narrow every wanted rank down, round by round, until few distinct values lie around it; only these are
+    ranked. The first round counts on a logarithmic scale, so outliers of any size share no bin with the rest; the next ones divide
+    what is left of the range, as it really occurs, evenly. A round multiplies the resolution by ``bins``, so five are enough for all bits of
+    a double. State per key is a histogram per rank, never the values themselves, so one key may hold most of the table.
     """
     base = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("x"))
     if not keys:
@@ -199,35 +204,35 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, marks: list[floa
         ])))).alias("rank"),
     )
 
-    def locate(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-        """Bin of every wanted rank inside [lo, hi], with the rank counted from the bin's start."""
-        width = (F.col("hi") - F.col("lo")) / bins
-        cell = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(0)
+    # Any scale that never falls will do: equal cells are told apart in the next round.
+    size = F.floor((F.log(F.abs("x")) + 746) / 1456 * (bins // 2)) + 1
+    by_size = F.when(F.col("x") == 0, F.lit(0).cast("long")).otherwise(F.when(F.col("x") < 0, -size).otherwise(size))
+    width = (F.col("hi") - F.col("lo")) / bins
+    evenly = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(0)
+
+    def locate(wanted: DataFrame, cell: Column) -> DataFrame:
+        """The bin of every wanted rank inside [lo, hi], the rank counted from its start, and how many distinct values it holds."""
         ranges = wanted.select(*keys, "lo", "hi").distinct()
-        placed = rows.join(ranges, keys).filter(F.col("x").between(F.col("lo"), F.col("hi"))).withColumn("bin", cell)
+        placed = counts.join(ranges, keys).filter(F.col("x").between(F.col("lo"), F.col("hi"))).withColumn("bin", cell)
         histogram = placed.groupBy(*keys, "lo", "hi", "bin").agg(
-            F.sum("c").alias("bc"), F.min("x").alias("blo"), F.max("x").alias("bhi")
+            F.sum("c").alias("bc"), F.count(F.lit(1)).alias("held"), F.min("x").alias("blo"), F.max("x").alias("bhi")
         )
         order = Window.partitionBy(*keys, "lo", "hi").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
         stacked = histogram.withColumn("start", F.coalesce(F.sum("bc").over(order), F.lit(0)))
         hit = stacked.join(wanted, [*keys, "lo", "hi"]).filter(
             (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("bc"))
         )
-        return hit
-
-    first = locate(counts, positions).select(
-        *keys, F.col("blo").alias("lo"), F.col("bhi").alias("hi"), (F.col("rank") - F.col("start")).alias("rank"),
-        F.col("rank").alias("full"), "n",
-    )
-    first = cut_lineage(first)
-    second = locate(counts, first).select(
-        *keys, F.col("blo").alias("lo"), F.col("bhi").alias("hi"), (F.col("rank") - F.col("start")).alias("rank"), "full", "n"
-    )
-    second = cut_lineage(second)
-    slivers = counts.join(second.select(*keys, "lo", "hi").distinct(), keys).filter(F.col("x").between(F.col("lo"), F.col("hi")))
+        return cut_lineage(hit.select(
+            *keys, F.col("blo").alias("lo"), F.col("bhi").alias("hi"), (F.col("rank") - F.col("start")).alias("rank"), "full", "n", "held"
+        ))
+
+    found = locate(positions.withColumn("full", F.col("rank")), by_size)
+    while not found.filter(F.col("held") > FEW_VALUES).isEmpty():
+        found = locate(found.drop("held"), evenly)
+    slivers = counts.join(found.select(*keys, "lo", "hi").distinct(), keys).filter(F.col("x").between(F.col("lo"), F.col("hi")))
     order = Window.partitionBy(*keys, "lo", "hi").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
     ranked = slivers.withColumn("start", F.coalesce(F.sum("c").over(order), F.lit(0)))
-    at_rank = ranked.join(second, [*keys, "lo", "hi"]).filter(
+    at_rank = ranked.join(found, [*keys, "lo", "hi"]).filter(
         (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("c"))
     )
     values = at_rank.groupBy(*keys).agg(

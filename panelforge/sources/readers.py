@@ -29,9 +29,9 @@ def split_json(lines: DataFrame, value: Column, schema: str) -> tuple[DataFrame,
     return good, wrong
 
 
-def read_traffic(spark: SparkSession, path: str) -> DataFrame:
+def read_traffic(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
     """Traffic JSONL, both layouts: ``timestamp`` stands in for ``event_time``, jam and geometry are derived."""
-    rows, _ = read_jsonl(spark, path, schemas.TRAFFIC_RAW)
+    rows, _ = read_jsonl(spark, path, schemas.TRAFFIC_RAW, pattern)
     jam = F.coalesce("jamFactor", nm.jam_factor(F.col("currentSpeed"), F.col("freeFlowSpeed")))
     return rows.withColumns(
         {
@@ -59,14 +59,16 @@ def read_weather(spark: SparkSession, path: str) -> DataFrame:
 def read_news(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
     """News JSONL with the raw line, its file and a record id that does not depend on how files are split.
 
-    The id hashes the file's path, the line and which of its occurrences in the file this is; Spark knows no line numbers.
+    The id hashes the file's path below ``path`` (so a moved folder keeps its ids), the line and which of its occurrences in the
+    file this is; Spark knows no line numbers. Equal lines of a file are counted first and numbered afterwards.
     """
     lines = spark.read.option("pathGlobFilter", pattern).text(path).filter(F.trim("value") != "")
-    lines = lines.select("value", F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("raw_payload_json"))
-    rows, _ = split_json(lines, F.col("value"), schemas.NEWS_RAW)
-    same = Window.partitionBy("source_file", F.sha1("raw_payload_json")).orderBy("raw_payload_json")
-    numbered = rows.withColumn("_occurrence", F.row_number().over(same))
-    return numbered.withColumn("record_id", F.sha1(F.concat_ws(":", "source_file", "_occurrence", "raw_payload_json"))).drop("_occurrence")
+    # A glob or a single file is no part of its files' paths: these keep their whole path.
+    below = F.substring_index("_metadata.file_path", path.rstrip("/") + "/", -1)
+    counted = lines.groupBy("value", below.alias("source_file")).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = counted.select("value", "source_file", F.col("value").alias("raw_payload_json"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_occurrence"))
+    rows, _ = split_json(numbered, F.col("value"), schemas.NEWS_RAW)
+    return rows.withColumn("record_id", F.sha1(F.concat_ws(":", "source_file", "_occurrence", "raw_payload_json"))).drop("_occurrence")
 
 
 FLOW = (

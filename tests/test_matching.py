@@ -275,3 +275,41 @@ def test_all_scenarios_and_segments_are_kept(spark):
     pairs = {(r["upstream"], r["downstream"]) for r in graph.upstream_edges(latest).collect()}
     order = [r["segment_id"] for r in latest.orderBy(F.desc("jamFactor"), "segment_id").collect()]
     assert pairs == set(zip(order, order[1:]))
+
+
+def test_dbscan_cells_at_the_edge_of_eps(spark, monkeypatch):
+    """Two crowded strips whose closest points lie just within, or just beyond, eps: decided without comparing all their points."""
+    compared = []
+    real = cl.cut_lineage
+    monkeypatch.setattr(cl, "cut_lineage", lambda df: compared.append((r := real(df)).count()) or r)
+    n = 4000
+    side = 1.0 / 2**0.5
+    for gap, joined in ((0.9999, True), (1.0001, False)):
+        compared.clear()
+        # Both strips are narrow columns of points; facing columns are ``gap`` apart.
+        y = (F.col("id") % n) * (side / n)
+        rows = spark.range(2 * n).select("id", F.lit("g").alias("g"), F.when(F.col("id") < n, F.lit(side * 0.999) - F.col("id") % 7 * 1e-3).otherwise(F.lit(side * 0.999 + gap) + F.col("id") % 5 * 1e-3).alias("x"), y.alias("y"))
+        got = cl.dbscan(rows, "id", "x", "y", "g", {"g": (1.0, 5)}).filter("is_core").select("cluster").distinct().count()
+        assert got == (1 if joined else 2)
+        assert max(compared) <= 40 * n
+
+
+def test_event_groups_of_titles_that_differ_in_a_number(spark, monkeypatch):
+    """5,000 titles of one city, category and day match each other: they meet leaders only."""
+    seen = []
+    real = eg.similar_titles
+    monkeypatch.setattr(eg, "similar_titles", lambda *a: seen.append(d := real(*a).cache()) or d)
+    rows = spark.range(5000).select(
+        F.col("id").alias("record_id"), F.concat(F.lit("collision of two lorries at kilometre "), F.lpad(F.col("id").cast("string"), 4, "0")).alias("title"),
+        F.lit("hanoi").alias("city"), F.lit("accident").alias("event_category"), F.lit(None).cast("string").alias("location_text"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 10).alias("event_time_start"),
+    )
+    got = eg.event_groups(rows).groupBy("leader").count().collect()
+    assert [(r["leader"], r["count"]) for r in got] == [(0, 5000)]
+    assert sum(d.count() for d in seen) < 1_500_000
+
+
+@pytest.mark.parametrize("heads", [1, 3])
+def test_event_groups_with_few_heads_a_round(spark, monkeypatch, heads):
+    monkeypatch.setattr(eg, "HEADS", heads)
+    monkeypatch.setattr(eg, "GROWTH", 2)
+    test_event_groups_match_the_sequential_rule(spark)

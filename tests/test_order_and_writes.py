@@ -1,6 +1,7 @@
 """Global order without one big window, partitioned writes, scenario product, late rows, scoring by a bundle."""
 
 import json
+import math
 import random
 from collections import Counter
 from glob import glob
@@ -8,7 +9,7 @@ from glob import glob
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from panelforge.operators import graph, learn, ordering, timeseries as ts
+from panelforge.operators import graph, learn, ordering, quality, timeseries as ts
 from panelforge.plans import dashboards
 from panelforge.session import scratch_path
 from panelforge.sources import readers, sinks
@@ -125,3 +126,49 @@ def test_small_helpers(spark, tmp_path):
     df.createOrReplaceTempView("known_rows")
     assert readers.optional_table(spark, "absent_rows") is None and readers.optional_table(spark, "known_rows").count() == 2
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_quantiles_beside_far_outliers(spark, monkeypatch):
+    """Outliers of 1e300 on both sides, values packed within a billionth, zeros and a constant group."""
+    rng = random.Random(9)
+    groups = {
+        "far": [rng.gauss(50, 5) for _ in range(3000)] + [1e300, -1e300, 5e-324, 0.0],
+        "packed": [1e6 + rng.random() * 1e-3 for _ in range(3000)] + [1.4e6, 1e-9],
+        "signs": [rng.choice([-1, 1]) * 10 ** rng.uniform(-200, 200) for _ in range(2000)] + [0.0] * 200,
+        "same": [3.5] * 500, "one": [7.0],
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values]
+    marks = [0.0, 0.15, 0.5, 0.85, 1.0]
+    largest = []
+    monkeypatch.setattr(quality, "FEW_VALUES", 64)
+    real = quality.cut_lineage
+
+    def watched(df):
+        out = real(df)
+        if "held" in out.columns:
+            largest.append(out.agg(F.max("held")).first()[0])
+        return out
+
+    monkeypatch.setattr(quality, "cut_lineage", watched)
+    got = {r["g"]: r for r in quality.exact_quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", marks).collect()}
+    for g, values in groups.items():
+        values.sort()
+        for m in marks:
+            spot = (len(values) - 1) * m
+            low, high = values[math.floor(spot)], values[math.ceil(spot)]
+            assert got[g][f"p{round(m * 100):02d}"] == low + (high - low) * (spot - math.floor(spot)), (g, m)
+    assert largest[-1] <= 64 and len(largest) <= 6
+
+
+def test_counts_ride_along_with_an_action(spark):
+    df, watch = quality.counted(spark.range(100), "steps", {"even": F.col("id") % 2 == 0, "small": F.col("id") < 7})
+    assert df.count() == 100 and watch.get == {"rows": 100, "even": 50, "small": 7}
+
+
+def test_news_ids_survive_a_move_and_count_equal_lines(spark, tmp_path):
+    lines = ['{"title": "x"}\n'] * 500 + ['{"title": "y"}\n', "\n", "broken\n"]
+    for place in ("one", "two"):
+        (tmp_path / place / "day").mkdir(parents=True)
+        (tmp_path / place / "day" / "a.jsonl").write_text("".join(lines))
+    ids = [{r["record_id"] for r in readers.read_news(spark, f"{tmp_path}/{place}/day").collect()} for place in ("one", "two")]
+    assert ids[0] == ids[1] and len(ids[0]) == 501

@@ -4,6 +4,8 @@ import html
 import unicodedata
 
 import pytest
+import random
+
 from pyspark.sql import functions as F
 
 from panelforge import catalog
@@ -116,13 +118,34 @@ def test_long_classifier_precedence(spark):
 
 
 def test_places(spark):
-    found = one(spark, "Ùn tắc ở Cầu Giấy và Nguyễn Trãi", lambda c: nw.located_places(c, F.lit("Hà Nội"), catalog.GAZETTEER, catalog.PLACE_CITIES))
-    assert found == ["Nguyễn Trãi, Hà Nội", "Cầu Giấy, Hà Nội"]
-    assert one(spark, "Không có địa danh", lambda c: nw.primary_place(c, F.lit(None), catalog.GAZETTEER, catalog.PLACE_CITIES)) == ""
+    rows = spark.createDataFrame([(1, "Ùn tắc ở Cầu Giấy và Nguyễn Trãi", "Hà Nội"), (2, "Không có địa danh", None), (3, None, None), (4, "", "x")], "id int, t string, h string")
+    found = {r["id"]: (r["places"], r["primary_place"]) for r in nw.located_places(rows, "id", "t", "h", nw.gazetteer_table(spark)).collect()}
+    assert found == {1: (["Nguyễn Trãi, Hà Nội", "Cầu Giấy, Hà Nội"], "Nguyễn Trãi, Hà Nội"), 2: ([], ""), 3: ([], ""), 4: ([], "")}
     city = one(spark, "tai nan o sai gon", lambda c: nw.city_by_alias(c, F.lit(None).cast("string"), catalog.NEWS_CITY_ALIASES))
     assert tuple(city) == ("hcmc", "sài gòn")
 
 
+def test_gazetteer_of_a_hundred_thousand_names(spark):
+    """The answers of a plain search, from a table that is no literal of the plan."""
+    rng = random.Random(3)
+    syllables = ["ba", "cau", "duc", "giấy", "hàng", "khê", "lộ", "mai", "nam", "phú", "quốc", "sơn", "tân", "vinh", "xã", "y"]
+    names = sorted({" ".join(rng.choices(syllables, k=rng.randint(2, 5))).title() + rng.choice(["", f" {rng.randint(1, 60)}"]) for _ in range(110_000)})
+    names += ["Ô", "Mã", "Bắc", "bắc", "Đường Láng"]
+    table = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, rank int")
+    texts = [" ".join(rng.choices(syllables, k=12)) + f" {rng.randint(1, 60)}" for _ in range(12)] + ["xBẮCx ô mã", "ĐƯỜNG LÁNG", "", None, "y " * 900 + "giấy hàng ba " + "mai vinh " * 60]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    out = nw.place_names(df, "id", "t", table)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Quốc" not in plan and len(names) > 100_000
+    first = {}
+    for n in names:
+        first.setdefault(n.lower(), n)
+    ordered = sorted(first.values(), key=len, reverse=True)
+    for r in out.collect():
+        low = (texts[r["id"]] or "").lower()
+        assert r["places"] == [n for n in ordered if n.lower() in low]
+
+
 def test_listing_links(spark):
     keep = lambda title, link: spark.createDataFrame([(title, link)], "t string, l string").select(nw.link_relevant(F.col("t"), F.col("l")).alias("k")).collect()[0]["k"]
     assert keep("Ùn tắc nghiêm trọng trên cao tốc", "https://x.vn/giao-thong/un-tac-123456.html")

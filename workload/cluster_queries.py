@@ -129,10 +129,21 @@ def cluster_stats(spark, sf):
     return tidy(cl.cluster_stats(rows, "city"))
 
 
-@query("segment_hotspots")
+Z = lambda c: f"(n.{c} - avg(n.{c}) OVER (PARTITION BY n.city)) / CASE WHEN stddev_pop(n.{c}) OVER (PARTITION BY n.city) > 0 THEN stddev_pop(n.{c}) OVER (PARTITION BY n.city) ELSE 1 END"
+HOTSPOTS = f"""{dv.BASED.removeprefix('WITH ')}, newest AS (SELECT * FROM based QUALIFY row_number() OVER (PARTITION BY city, segment_id ORDER BY time_bucket DESC) = 1),
+pts AS (SELECT n.segment_id AS id, n.city AS g, {Z('lat')} AS x, {Z('lon')} AS y FROM newest n),
+near AS (SELECT p.g, p.id AS a, q.id AS b FROM pts p JOIN pts q ON p.g = q.g AND (p.x - q.x) ^ 2 + (p.y - q.y) ^ 2 <= 1.0::DOUBLE), cores AS (SELECT g, a AS id FROM near GROUP BY g, a HAVING count(*) >= 2),
+links AS (SELECT n.g, a, b FROM near n JOIN cores c ON c.g = n.g AND c.id = a JOIN cores d ON d.g = n.g AND d.id = b), reach(g, src, dst) AS (SELECT g, id, id FROM cores UNION SELECT r.g, r.src, l.b FROM reach r JOIN links l ON l.g = r.g AND l.a = r.dst),
+root AS (SELECT g, dst AS id, min(src) AS cluster FROM reach GROUP BY g, dst), border AS (SELECT n.g, n.a AS id, min(r.cluster) AS cluster FROM near n JOIN root r ON r.g = n.g AND r.id = n.b GROUP BY n.g, n.a),
+m AS (SELECT n.*, coalesce(r.cluster, b.cluster) AS cluster FROM newest n LEFT JOIN root r ON r.g = n.city AND r.id = n.segment_id LEFT JOIN border b ON b.g = n.city AND b.id = n.segment_id),
+s AS (SELECT city, cluster, avg(lat) AS center_lat, avg(lon) AS center_lon, count(*) AS num_segments, avg(currentSpeed) AS avg_speed, min(currentSpeed) AS min_speed, max(currentSpeed) AS max_speed, avg(congestion_ratio) AS avg_congestion, avg(jamFactor) AS avg_jam_factor FROM m WHERE cluster IS NOT NULL GROUP BY city, cluster),
+t AS (SELECT s.*, (SELECT max(sqrt((m.lat - s.center_lat) ^ 2 + (m.lon - s.center_lon) ^ 2)) * 111 FROM m WHERE m.city = s.city AND m.cluster = s.cluster) AS radius_km FROM s)"""
+
+
+@query("segment_hotspots", f"WITH RECURSIVE {HOTSPOTS} SELECT {pick('city cluster num_segments', 'center_lat center_lon avg_speed min_speed max_speed avg_congestion avg_jam_factor radius_km')}, CASE WHEN avg_congestion <= 0.3 THEN 'low' WHEN avg_congestion <= 0.6 THEN 'medium' ELSE 'high' END AS severity FROM t")
 def segment_hotspots(spark, sf):
     """Density clusters of the newest row of each segment in standardized coordinates, with their statistics."""
     latest = ts.add_base_features(pn.latest_by_segment(dv.panel(spark, sf)))
     placed = cut_lineage(cl.standardize(cut_lineage(latest), ["lat", "lon"], ["city"]))
     labels = cl.dbscan(placed, "segment_id", "lat_z", "lon_z", "city", {"hanoi": (1.0, 2), "hcmc": (1.0, 2)})
-    return cl.cluster_stats(placed.join(labels.select("segment_id", "city", "cluster"), ["segment_id", "city"]), "city")
+    return tidy(cl.cluster_stats(placed.join(labels.select("segment_id", "city", "cluster"), ["segment_id", "city"]), "city"))

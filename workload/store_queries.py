@@ -64,14 +64,9 @@ def traffic_layouts(spark, sf):
     old = events.filter(e % 2 == 1).select(*shared, iso.alias("timestamp"))
     for part, name in ((new, "new"), (old, "old")):
         part.write.json(f"{path}/{name}")
-    rows = rd.read_jsonl(spark, f"{path}/*", schemas.TRAFFIC_RAW, glob="*.json")[0]
-    return _both_layouts(rows)
-
-
-def _both_layouts(rows):
-    jam = F.coalesce("jamFactor", nm.jam_factor(F.col("currentSpeed"), F.col("freeFlowSpeed")))
-    at = tm.parse_utc(F.coalesce("event_time", "timestamp")).cast("timestamp_ntz")
-    return rows.select(F.col("segment_name").cast("long").alias("event_id"), "segment_id", at.alias("event_time"), "currentSpeed", jam.alias("jamFactor"))
+    rows = rd.read_traffic(spark, f"{path}/*", "*.json")
+    at = tm.parse_utc(F.col("event_time")).cast("timestamp_ntz")
+    return rows.select(F.col("segment_name").cast("long").alias("event_id"), "segment_id", at.alias("event_time"), "currentSpeed", "jamFactor")
 
 
 @query("csv_roundtrip", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")

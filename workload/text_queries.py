@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelforge.functions import scoring as sc, text as tx, times as tm, urls
-from panelforge.operators import cluster as cl, news as nw, panel as pn
+from panelforge.operators import cluster as cl, news as nw, ordering, panel as pn
 from panelforge.plans import builds
 from panelforge.session import cut_lineage
 from panelforge.sources import readers as rd
@@ -287,10 +287,9 @@ CITY_OF = "CASE " + " ".join(f"WHEN {like_any('lower(text)', w)} THEN '{k}'" for
 @query("gazetteer_match", f"""WITH p AS (SELECT doc_id, {CITY_OF} AS city, list_filter([{', '.join(f"CASE WHEN contains(lower(text), '{n.lower()}') THEN '{n}' END" for n in BY_LENGTH)}], lambda x: x IS NOT NULL) AS names FROM documents)
     SELECT doc_id, array_to_string(list_transform(names, lambda n: CASE WHEN city IS NULL THEN n ELSE n || ', ' || city END), '; ') AS places, coalesce(CASE WHEN city IS NULL THEN names[1] ELSE names[1] || ', ' || city END, '') AS primary_place FROM p""")
 def gazetteer_match(spark, sf):
-    hint = F.when(F.col("doc_id") % 2 == 0, "Hue")
-    return docs(spark, sf).select(
-        "doc_id", F.array_join(nw.located_places(F.col("text"), hint, PLACES, PLACE_CITIES), "; ").alias("places"), nw.primary_place(F.col("text"), hint, PLACES, PLACE_CITIES).alias("primary_place")
-    )
+    rows = docs(spark, sf).select("doc_id", "text", F.when(F.col("doc_id") % 2 == 0, "Hue").alias("hint"))
+    out = nw.located_places(rows, "doc_id", "text", "hint", nw.gazetteer_table(spark, PLACES), PLACE_CITIES)
+    return out.select("doc_id", F.array_join("places", "; ").alias("places"), "primary_place")
 
 
 @query("district_and_road", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'quận ' || (user_id % 12) END AS district, CASE event_id % 3 WHEN 1 THEN 'đường Láng ' || user_id END AS road FROM events")
@@ -371,10 +370,38 @@ def news(spark, sf):
     return builds.news_build(dv.raw_news(spark, sf), [], dv.FIXTURE_CITIES, dv.FIXTURE_HINTS)
 
 
-@query("news_build", f"""WITH {NEWS} SELECT record_id, title_raw, canonical_url, url_hash, content_hash, published_at_utc, published_at_source, city_hint_raw, category_hint_raw,
-    CASE WHEN list_contains(flags, 'html_listing_partial') THEN 'partial' ELSE 'ok' END AS fetch_status FROM news""")
+ALL_FLAGS = "list_sort(CASE WHEN duplicate_of_record_id IS NOT NULL THEN list_append(flags, 'exact_duplicate') ELSE flags END)"
+BRONZE = {
+    "external_id": "external_id", "source": "source", "source_domain": f"regexp_replace(lower({PART(2)}), '^www\\.', '')",
+    "source_section": "CASE source WHEN 'tuoitre_giaothong' THEN 'giao_thong' WHEN 'site_thoisux' THEN 'thoi_su' END", "provider": "provider", **{n: f"'{v}'" for n, v in nw.BRONZE_VERSIONS.items()},
+    "source_url": "source_url", "canonical_url": "canonical_url", "url_hash": "url_hash", "content_hash": "content_hash", "title_raw": "title_raw", "summary_raw": "summary", "summary_text": "summary_text",
+    "content_raw_optional": "NULL", "html_raw_optional": "NULL", "image_url": "nullif(regexp_extract(summary, '<img[^>]+src=\"([^\"]+)\"', 1), '')",
+    "published_at_raw": "strftime(published_at, '%Y-%m-%dT%H:%M:%SZ')", "published_at_utc": "published_at_utc", "published_at_local": "published_at_utc + INTERVAL 7 HOURS",
+    "published_at_source": "published_at_source", "published_at_parse_status": "published_at_parse_status", "ingestion_time_utc": "ingestion_time", "crawl_date": "strftime(ingestion_time, '%Y-%m-%d')",
+    "fetch_status": "CASE WHEN list_contains(flags, 'html_listing_partial') THEN 'partial' ELSE 'ok' END", "http_status": "NULL", "language": "CASE WHEN record_id % 3 = 0 THEN 'en' ELSE 'vi' END", "encoding": "'utf-8'",
+    "city_hint_raw": "city_hint_raw", "location_hint_raw": f"coalesce({CITY_CASE(FOLD("CASE WHEN city_hint <> 'none' THEN city_hint END"), 1)}, {CITY_CASE('folded', 1)})", "category_hint_raw": "category_hint_raw",
+    "author_raw": "'author ' || (record_id % 9)", "tags_raw": "'[\"t' || (record_id % 5) || '\",\"news\"]'", "raw_payload_json": "NULL", "data_quality_flags": f"array_to_string({ALL_FLAGS}, ';')",
+    "is_exact_duplicate": "duplicate_of_record_id IS NOT NULL", "duplicate_of_record_id": "duplicate_of_record_id",
+}
+
+
+@query("news_build", f"WITH {NEWS} SELECT record_id, {', '.join(f'{e} AS {n}' for n, e in BRONZE.items())} FROM news")
 def news_build(spark, sf):
-    return news(spark, sf).select("record_id", "title_raw", "canonical_url", "url_hash", "content_hash", "published_at_utc", "published_at_source", "city_hint_raw", "category_hint_raw", "fetch_status")
+    """All columns of the table; the records carry an author, tags and a language."""
+    n = F.col("record_id")
+    raw = dv.raw_news(spark, sf).withColumns({
+        "author": F.concat(F.lit("author "), (n % 9).cast("string")), "tags": F.concat(F.lit('["t'), (n % 5).cast("string"), F.lit('","news"]')), "language": F.when(n % 3 == 0, "en").otherwise(""),
+    })
+    out = builds.news_build(raw, [], dv.FIXTURE_CITIES, dv.FIXTURE_HINTS)
+    times = [c for c in ("published_at_utc", "published_at_local", "ingestion_time_utc")]
+    return out.withColumns({**{c: F.col(c).cast("timestamp_ntz") for c in times}, "data_quality_flags": F.array_join("data_quality_flags", ";")})
+
+
+@query("news_published_order", f"WITH {NEWS} SELECT record_id, row_number() OVER (ORDER BY ingestion_time NULLS LAST, source NULLS LAST, title_raw NULLS LAST, record_id) AS place FROM news")
+def news_published_order(spark, sf):
+    """Places in the published order, from range partitions instead of one sorted task."""
+    placed = ordering.numbered(news(spark, sf), *nw.published_order(), "record_id")
+    return placed.select("record_id", (F.col("position") + 1).alias("place"))
 
 
 @query("flag_arrays", f"WITH {NEWS} SELECT record_id, array_to_string(list_sort(CASE WHEN duplicate_of_record_id IS NOT NULL THEN list_append(flags, 'exact_duplicate') ELSE flags END), ';') AS flags, list_contains(flags, 'parse_error') AS unparsed FROM news")
