@@ -8,7 +8,7 @@ Scale: copies (same city, category, title, place) share one entry, so similarity
 distinct title. Candidate titles come from a segment index: a title within d edits of another contains
 one of its d + 1 segments near the same position. Grouping is rounds over (title, day) frontiers - the
 earliest and latest open event of each day. A round links only the first titles of each block and day, which
-become leaders or wait, with those still open: titles that all match meet a leader, not each other.
+become leaders or wait, with the others: titles that all match meet a leader, not each other.
 """
 
 from __future__ import annotations
@@ -92,11 +92,13 @@ def event_groups(
     block = ["city", "category"]
     titles = shaped.select("g", *block, "title", "place", "day").distinct()
 
-    def linked(heads: DataFrame, open_: DataFrame) -> DataFrame:
-        """(a, b): titles of ``heads`` with the open titles they match, of the day and the days beside it."""
+    days = F.explode(F.array(F.col("day") - 1, F.col("day"), F.col("day") + 1))
+    # Settled titles too: of two leaders that match an event the earlier one counts, whichever was found first.
+    other = titles.withColumn("_near", days).drop("day").distinct()
+
+    def linked(heads: DataFrame) -> DataFrame:
+        """(a, b): titles of ``heads`` with the titles they match, of the day and the days beside it."""
         first = titles.join(heads, ["g", "day"], "left_semi").withColumn("_near", F.col("day"))
-        days = F.explode(F.array(F.col("day") - 1, F.col("day"), F.col("day") + 1))
-        other = titles.join(open_, ["g", "day"], "left_semi").withColumn("_near", days).drop("day").distinct()
         near = similar_titles(first, other, [*block, "_near"], "g", "title", strict)
         loose = similar_titles(first.filter("place <> ''"), other.filter("place <> ''"), [*block, "place", "_near"], "g", "title", same_place)
         own = first.select(F.col("g").alias("a"), F.col("g").alias("b"))
@@ -111,13 +113,13 @@ def event_groups(
         frontier = cut_lineage(frontier)
         if frontier.isEmpty():
             break
-        # The earliest open titles of each block and day take part; more in every round. Only they are linked, with what is still open.
+        # The earliest open titles of each block and day take part; more in every round. Only they are linked.
         rank = F.row_number().over(Window.partitionBy(*block, "day").orderBy("first"))
         heads = frontier.join(of_block, "g").withColumn("_rank", rank).filter(F.col("_rank") <= size).select("g", "day", "first")
         heads, size = cut_lineage(heads), size * GROWTH
         new = heads.select("g", "day") if known is None else heads.select("g", "day").join(known, ["g", "day"], "left_anti")
         if known is None or not new.isEmpty():
-            found_links = linked(new, frontier.select("g", "day"))
+            found_links = linked(new)
             links = cut_lineage(found_links if links is None else links.unionByName(found_links).distinct())
             known = new if known is None else known.unionByName(new)
         earlier = frontier.select(F.col("g").alias("b"), F.col("day").alias("_day"), F.col("first").alias("_first"), F.col("last").alias("_last"))

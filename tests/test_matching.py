@@ -38,7 +38,9 @@ def test_similar_titles_are_complete(spark):
     rows = [(f"k{i:03d}", "b1" if i % 2 else "b2", t) for i, t in enumerate(titles)]
     df = spark.createDataFrame(rows, "k string, b string, t string")
     for ratio in (0.82, 0.68):
-        got = {(r["a"], r["b"]) for r in eg.similar_titles(df, ["b"], "k", "t", ratio).collect()}
+        both = {(r["a"], r["b"]) for r in eg.similar_titles(df, df, ["b"], "k", "t", ratio).collect()}
+        assert {(b, a) for a, b in both} == both
+        got = {(a, b) for a, b in both if a < b}
         want = set()
         for i, (k1, b1, t1) in enumerate(rows):
             for k2, b2, t2 in rows[i + 1 :]:
@@ -46,6 +48,8 @@ def test_similar_titles_are_complete(spark):
                 if b1 == b2 and (longest == 0 or 1 - lev(t1, t2) / longest >= ratio - 1e-9):
                     want.add((k1, k2))
         assert got == want
+        left, right = df.filter("k < 'k060'"), df.filter("k >= 'k060'")
+        assert {(r["a"], r["b"]) for r in eg.similar_titles(left, right, ["b"], "k", "t", ratio).collect()} == {(a, b) for a, b in want if a < "k060" <= b}
 
 
 def test_event_groups_match_the_sequential_rule(spark):

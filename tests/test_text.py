@@ -129,7 +129,7 @@ def test_gazetteer_of_a_hundred_thousand_names(spark):
     """The answers of a plain search, from a table that is no literal of the plan."""
     rng = random.Random(3)
     syllables = ["ba", "cau", "duc", "giấy", "hàng", "khê", "lộ", "mai", "nam", "phú", "quốc", "sơn", "tân", "vinh", "xã", "y"]
-    names = sorted({" ".join(rng.choices(syllables, k=rng.randint(2, 5))).title() + rng.choice(["", f" {rng.randint(1, 60)}"]) for _ in range(110_000)})
+    names = sorted({" ".join(rng.choices(syllables, k=rng.randint(2, 5))).title() + rng.choice(["", f" {rng.randint(1, 60)}"]) for _ in range(160_000)})
     names += ["Ô", "Mã", "Bắc", "bắc", "Đường Láng"]
     table = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, rank int")
     texts = [" ".join(rng.choices(syllables, k=12)) + f" {rng.randint(1, 60)}" for _ in range(12)] + ["xBẮCx ô mã", "ĐƯỜNG LÁNG", "", None, "y " * 900 + "giấy hàng ba " + "mai vinh " * 60]
