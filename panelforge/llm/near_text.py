@@ -23,7 +23,7 @@ BITS = 128
 #: Differing bits of a candidate: 3 deviations above the mean of a pair at similarity 0.8; unrelated texts differ in 64 ± 6.
 RADIUS = 31
 #: Share of equal bits of such a pair (angle between the sets' votes), fingerprints a key is to hold, and how rarely all tables miss it.
-AGREE, BUCKET, MISS = 0.848, 384, 0.001
+AGREE, BUCKET, MISS = 0.848, 1024, 0.001
 #: Fingerprints, and shingle sets, of one part; larger groups are split and their parts meet in pairs.
 PART, SET_PART = 2048, 512
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -150,7 +150,8 @@ def _parted(rows: DataFrame, group: list[str], part: int, spread: list[str]) ->
     dealt = rows.join(sizes, group).withColumn("p", F.pmod(F.xxhash64(*spread, F.lit(7)), F.col("_parts")).cast("int"))
     meets = F.expr("transform(sequence(0, _parts - 1), q -> struct(least(p, q) AS lo, greatest(p, q) AS hi))")
     met = dealt.withColumn("_m", F.explode(meets)).select(*rows.columns, "p", "_m.lo", "_m.hi")
-    return met.repartition(*group, "lo", "hi").sortWithinPartitions(*group, "lo", "hi")
+    # In node order the smallest node of what a run unites is its root: runs that hold the same nodes give the same links.
+    return met.repartition(*group, "lo", "hi").sortWithinPartitions(*group, "lo", "hi", "node")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -198,9 +199,9 @@ def candidate_links(distinct: DataFrame) -> DataFrame:
                         union.join(int(x[i]), j)
             if pairs := union.links():
                 nodes = table.column("node").to_pylist()
-                yield pa.RecordBatch.from_pydict({"a": [nodes[i] for i, _ in pairs], "b": [nodes[j] for _, j in pairs]})
+                yield pa.RecordBatch.from_pydict({"a": pa.array([nodes[i] for i, _ in pairs], pa.int64()), "b": pa.array([nodes[j] for _, j in pairs], pa.int64())})
 
-    return _parted(keyed, ["n", "h"], PART, ["node"]).select("node", "w0", "w1", "n", "h", "p", "lo", "hi").mapInArrow(run, "a string, b string").distinct()
+    return _parted(keyed, ["n", "h"], PART, ["node"]).select("node", "w0", "w1", "n", "h", "p", "lo", "hi").mapInArrow(run, "a long, b long").distinct()
 
 
 def verified_links(sets: DataFrame) -> DataFrame:
@@ -229,9 +230,9 @@ def verified_links(sets: DataFrame) -> DataFrame:
                         union.join(i, j)
             if pairs := union.links():
                 nodes = table.column("node").to_pylist()
-                yield pa.RecordBatch.from_pydict({"a": [nodes[i] for i, _ in pairs], "b": [nodes[j] for _, j in pairs]})
+                yield pa.RecordBatch.from_pydict({"a": pa.array([nodes[i] for i, _ in pairs], pa.int64()), "b": pa.array([nodes[j] for _, j in pairs], pa.int64())})
 
-    return _parted(sets, ["root"], SET_PART, ["node"]).select("node", "root", "codes", "p", "lo", "hi").mapInArrow(run, "a string, b string").distinct()
+    return _parted(sets, ["root"], SET_PART, ["node"]).select("node", "root", "codes", "p", "lo", "hi").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_text_groups(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -249,26 +250,29 @@ def near_text_groups(docs: DataFrame, key: str, text: str = "text") -> DataFrame
             words = [fingerprint(s) for s in sets]
             names = [xxhash.xxh128_hexdigest(s.tobytes()) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names), pa.array([w[0] for w in words], pa.int64()), pa.array([w[1] for w in words], pa.int64())], [key, "node", "w0", "w1"]
+                [batch.column(0), pa.array(names), pa.array([w[0] for w in words], pa.int64()), pa.array([w[1] for w in words], pa.int64())], [key, "name", "w0", "w1"]
             )
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t).astype("<u8").tobytes() for t in as_texts(batch.column(2))]
-            # Rows may share a key: only the set that the node names goes on.
-            mine = pa.array([xxhash.xxh128_hexdigest(s) == node for s, node in zip(sets, batch.column(0).to_pylist())], pa.bool_())
+            sets = [shingles(t).astype("<u8").tobytes() for t in as_texts(batch.column(3))]
+            # Rows may share a key: only the set that is meant goes on.
+            mine = pa.array([xxhash.xxh128_hexdigest(s) == name for s, name in zip(sets, batch.column(2).to_pylist())], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], ["node", "root", "codes"]).filter(mine)
 
     rows = docs.select(key, text_or_empty(text).alias("_text"))
-    marked = stored(rows.mapInArrow(marks, f"`{key}` {kind}, node string, w0 long, w1 long"), "shingle-marks")
-    distinct = stored(marked.groupBy("node").agg(F.min(F.struct("w0", "w1", F.col(key).alias("k"))).alias("m")).select("node", "m.w0", "m.w1", "m.k"), "shingle-sets")
+    marked = stored(rows.mapInArrow(marks, f"`{key}` {kind}, name string, w0 long, w1 long"), "shingle-marks")
+    least = marked.groupBy("name").agg(F.min(F.struct("w0", "w1", F.col(key).alias("k"))).alias("m"))
+    # Numbers instead of names keep what is shuffled small; they are stored, so they never change.
+    distinct = stored(least.select(F.monotonically_increasing_id().alias("node"), "name", "m.w0", "m.w1", "m.k"), "shingle-sets")
     groups = components(candidate_links(distinct.select("node", "w0", "w1")))
     # One text of every set that has a candidate, found by its key.
-    wanted = distinct.join(groups, "node").select("node", "root", F.col("k").alias(key))
-    again = stored(rows.join(wanted, rows[key].eqNullSafe(wanted[key])).select("node", "root", "_text").mapInArrow(codes, "node string, root string, codes binary"), "candidate-sets")
-    links = verified_links(again.dropDuplicates(["node"]))
-    roots = components(links).withColumnRenamed("root", "_r")
-    return marked.join(roots, "node", "left").select(key, F.coalesce("_r", "node").alias("root"))
+    wanted = distinct.join(groups, "node").select("node", "root", "name", F.col("k").alias(key))
+    found = rows.join(wanted, rows[key].eqNullSafe(wanted[key])).select("node", "root", "name", "_text")
+    again = stored(found.mapInArrow(codes, "node long, root long, codes binary"), "candidate-sets")
+    roots = components(verified_links(again.dropDuplicates(["node"]))).withColumnRenamed("root", "_r")
+    named = distinct.join(roots, "node", "left").select("name", F.coalesce("_r", "node").alias("root"))
+    return marked.select(key, "name").join(named, "name").select(key, "root")
 
 
 def near_duplicate_free(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
