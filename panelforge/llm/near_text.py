@@ -204,6 +204,17 @@ def candidate_links(distinct: DataFrame) -> DataFrame:
     return _parted(keyed, ["n", "h"], PART, ["node"]).select("node", "w0", "w1", "n", "h", "p", "lo", "hi").mapInArrow(run, "a long, b long").distinct()
 
 
+def thinned(links: DataFrame) -> DataFrame:
+    """The same groups from fewer links: a node keeps the smallest node it is linked to, its other partners are linked to that one.
+
+    Runs of different tables and parts name different smallest members of one group, few for all its nodes; so what was a link per
+    node and run becomes one per node and one per such member."""
+    stars = links.groupBy("a").agg(F.min("b").alias("m"), F.collect_set("b").alias("bs"))
+    pair = lambda a: F.struct(a.alias("a"), F.col("m").alias("b"))
+    pairs = F.concat(F.array(pair(F.col("a"))), F.transform("bs", pair))
+    return stars.select(F.explode(pairs).alias("p")).select("p.a", "p.b").filter("a <> b").distinct()
+
+
 def verified_links(sets: DataFrame) -> DataFrame:
     """(a, b) links inside candidate groups (columns node, root, codes: sorted distinct hashes as bytes) that join all pairs whose
     Jaccard similarity reaches 0.8; a pair is skipped only where verified links join it already."""
@@ -265,12 +276,12 @@ def near_text_groups(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     least = marked.groupBy("name").agg(F.min(F.struct("w0", "w1", F.col(key).alias("k"))).alias("m"))
     # Numbers instead of names keep what is shuffled small; they are stored, so they never change.
     distinct = stored(least.select(F.monotonically_increasing_id().alias("node"), "name", "m.w0", "m.w1", "m.k"), "shingle-sets")
-    groups = components(candidate_links(distinct.select("node", "w0", "w1")))
+    groups = components(thinned(candidate_links(distinct.select("node", "w0", "w1"))))
     # One text of every set that has a candidate, found by its key.
     wanted = distinct.join(groups, "node").select("node", "root", "name", F.col("k").alias(key))
     found = rows.join(wanted, rows[key].eqNullSafe(wanted[key])).select("node", "root", "name", "_text")
     again = stored(found.mapInArrow(codes, "node long, root long, codes binary"), "candidate-sets")
-    roots = components(verified_links(again.dropDuplicates(["node"]))).withColumnRenamed("root", "_r")
+    roots = components(thinned(verified_links(again.dropDuplicates(["node"])))).withColumnRenamed("root", "_r")
     named = distinct.join(roots, "node", "left").select("name", F.coalesce("_r", "node").alias("root"))
     return marked.select(key, "name").join(named, "name").select(key, "root")
 
