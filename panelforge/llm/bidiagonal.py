@@ -198,7 +198,7 @@ def _jacobi(m: np.ndarray, sweeps: int = 12) -> tuple[np.ndarray, np.ndarray]:
 def decompose(r: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """(all squared singular values falling, right singular vectors of the ``count`` largest as columns) of a square matrix.
 
-    A vector's entry of largest magnitude is positive.
+    A vector's entry of largest magnitude is positive. Vectors of values that are rounding noise beside the largest mean nothing.
     """
     a, b, right = bidiagonalize(r)
     values = dqds(a * a, b * b)

@@ -4,6 +4,10 @@ In each pass vectors are ordered by the concatenated signs of random projections
 prefix, and every vector is compared with a bounded window of its neighbours in that order. Pairs that the cosine
 confirms are united across passes. Within the groups found this way all pairs are then compared in blocks, so the
 number of a vector's links does not depend on the window: however large a group of near copies, none is lost.
+
+How many passes are enough depends on how vectors crowd: in a dense cone many more signs must agree before two meet in a
+window. So it is measured: some vectors get a probe, an artificial partner exactly at the threshold that takes part in all
+passes without uniting anything, and rounds of passes go on until nearly all probes have met their vector's group.
 """
 
 from __future__ import annotations
@@ -23,8 +27,10 @@ BLOCK, NEIGHBOURS = 512, 128
 BITS = 63
 #: Members of one part when a group is compared with itself.
 PART = 1024
-#: A pair just at the threshold is missed by all passes with this probability.
+#: A pair just at the threshold is missed by the first round's passes with this probability if vectors spread evenly.
 MISS = 0.001
+#: Vectors that get a probe, and the share of probes that must be found before rounds end. Probes only decide when to stop.
+PROBES, FOUND = 4000, 0.998
 
 
 def passes_for(vectors: int, threshold: float, miss: float = MISS) -> int:
@@ -115,16 +121,51 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int, fn) -> Iterator[pa.Rec
             yield found
 
 
+def probes(distinct: DataFrame, threshold: float, count: int = PROBES) -> DataFrame:
+    """(node, dim, embedding) of one probe for each of about ``count`` vectors, at the threshold in a random direction.
+
+    The probe of node v is node −1 − v."""
+
+    def partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, vectors = [], []
+            for node, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                v = np.array(v) / np.abs(v).max()  # keeps the squares of very small or large entries finite
+                v /= np.linalg.norm(v)
+                away = np.random.default_rng(node).standard_normal(len(v))
+                away -= (away @ v) * v
+                if (size := np.linalg.norm(away)) > 1e-9:
+                    aim = min(1.0, threshold + 1e-9)
+                    nodes.append(-1 - node)
+                    vectors.append((aim * v + np.sqrt(1 - aim * aim) * away / size).tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([len(v) for v in vectors], pa.int32()), pa.array(vectors, pa.list_(pa.float64()))], ["node", "dim", "embedding"])
+
+    step = max(1, distinct.count() // count)
+    chosen = distinct.filter(F.pmod(F.xxhash64("node"), F.lit(step)) == 0).select("node", "embedding")
+    return chosen.mapInArrow(partner, "node long, dim int, embedding array<double>")
+
+
 def window_links(distinct: DataFrame, threshold: float, passes: int, seed: int = 17) -> DataFrame:
-    """(a, b) links between nodes that unite whatever some pass brings into one window at the threshold or above."""
+    """(a, b) links between nodes that unite whatever some pass brings into one window at the threshold or above.
+
+    A probe (negative node) unites nothing: it gets one link (probe, node) to every group of its window that it is near to.
+    """
 
     def compare(key: tuple, table: pa.Table) -> pa.RecordBatch | None:
         dim = key[0]
         x = matrix(table.column("embedding").chunk(0), dim)
         node = table.column("node").to_numpy()
-        label = _united(cosine(x, x) >= threshold)
-        linked = np.flatnonzero(label != np.arange(len(label)))
-        return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[label[linked]])], names=["a", "b"]) if len(linked) else None
+        near = cosine(x, x) >= threshold
+        real, probe = np.flatnonzero(node >= 0), np.flatnonzero(node < 0)
+        label = real[_united(near[np.ix_(real, real)])] if len(real) else real
+        linked = label != real
+        a, b = [node[real[linked]]], [node[label[linked]]]
+        for p in probe:
+            groups = np.unique(label[near[p, real]])
+            a.append(np.full(len(groups), node[p]))
+            b.append(node[groups])
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"]) if len(a) else None
 
     places = _ranked(distinct, passes, seed)
     rows = places.join(distinct.select("node", "embedding"), "node").select("dim", "pass", "block", "node", "embedding")
@@ -132,6 +173,29 @@ def window_links(distinct: DataFrame, threshold: float, passes: int, seed: int =
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda b: _groups(b, 3, compare), "a long, b long").distinct()
 
 
+def near_groups(distinct: DataFrame, threshold: float, passes: int | None = None) -> DataFrame:
+    """(node, root) of every node with a link, after as many rounds of passes as the probes ask for."""
+    per_round = passes or passes_for(distinct.count(), threshold)
+    # Partners at a threshold of one would be copies, which are one node already.
+    tried = stored(probes(distinct if threshold < 1 - 1e-6 else distinct.limit(0), threshold), "probes")
+    total = tried.count()
+    taking_part = distinct.select("node", "dim", "embedding").unionByName(tried)
+    links, met, seed = None, None, 17
+    while True:
+        found = stored(window_links(taking_part, threshold, per_round, seed), "window-links")
+        own, of_probe = found.filter("a >= 0"), found.filter("a < 0")
+        links = own if links is None else links.unionByName(own).distinct()
+        met = of_probe if met is None else met.unionByName(of_probe)
+        roots = cut_lineage(components(links))
+        # A vector without links is a group of its own.
+        group = lambda c: F.coalesce(F.col(f"{c}.root"), F.col(f"_{c}"))
+        hit = met.select((-1 - F.col("a")).alias("_v"), F.col("b").alias("_w")).distinct()
+        same = hit.join(roots.alias("v"), F.col("_v") == F.col("v.node"), "left").join(roots.alias("w"), F.col("_w") == F.col("w.node"), "left").filter(group("v") == group("w"))
+        if same.select("_v").distinct().count() >= FOUND * total:
+            return roots
+        seed += 1
+
+
 def link_counts(members: DataFrame, threshold: float, part: int = PART) -> DataFrame:
     """(node, links): for members (root, node, dim, copies, embedding) the rows of other nodes at the threshold or above.
 
@@ -177,8 +241,7 @@ def near_vectors(df: DataFrame, threshold: float = 0.95, key: str = "vec_id", ve
     rows = df.filter(valid).select(F.col(key), x.alias("embedding"))
     distinct = rows.groupBy("embedding").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("copies"))
     distinct = stored(distinct.withColumns({"node": F.monotonically_increasing_id(), "dim": F.size("embedding")}), "distinct-vectors")
-    links = window_links(distinct, threshold, passes or passes_for(distinct.count(), threshold))
-    roots = cut_lineage(components(links))
+    roots = near_groups(distinct, threshold, passes)
     members = distinct.join(roots, "node").select("root", "node", "dim", "copies", "embedding")
     counts = link_counts(members, threshold)
     first = distinct.select("node", "first").join(roots, "node").groupBy("root").agg(F.min("first").alias("component_id"))

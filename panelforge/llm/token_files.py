@@ -19,6 +19,8 @@ from panelforge.llm.common import as_texts, mapped, small_batches, stored, tasks
 from panelforge.llm.tokens import encoder
 from panelforge.session import scratch_path
 
+#: Key of rows without one in ``.docs``: the file has no null.
+NO_KEY = -(1 << 63)
 MANIFEST = "part string, place int, documents long, tokens long, bytes_per_id int"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -26,15 +28,19 @@ READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode every whole text, append ``end_id``, write the files in ascending key order, return the manifest with bases.
 
-    Null texts are empty (the end id alone); rows with one key stay separate rows, ordered by text; rows whose key is
-    null come first and carry key −1 in ``.docs`` (the file has no null); an empty table gives an empty manifest.
-    The texts are shuffled once, by key range; a part is encoded and written by one task, batch by batch. A task
-    that runs again writes the same bytes to the same name.
+    Null texts are empty (the end id alone); rows with one key stay separate rows, ordered by a hash of the text; rows whose key is
+    null come first and carry ``NO_KEY`` in ``.docs``, which no real key may be; an empty table gives an empty manifest.
+    The texts are shuffled once, by ranges of key, text hash and place in the input, so a key or a row that repeats often is split; ``docs``
+    must give its rows in the same order when a task runs again, as tables do. A part is encoded and written by one task,
+    batch by batch. A task that runs again writes the same bytes to the same name.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col(key).cast("long").alias("k"), text_or_empty(text).alias("t"))
-    ordered = rows.repartitionByRange(tasks(spark), "k").sortWithinPartitions("k", "t")
+    order = ["k", "_hash", "t", "_row"]
+    tagged = rows.withColumns({"_hash": F.xxhash64("t"), "_row": F.monotonically_increasing_id()})
+    # Texts whose hashes are equal by chance may be split between parts in either order; that is all that leaving the text out changes.
+    ordered = tagged.repartitionByRange(tasks(spark), "k", "_hash", "_row").sortWithinPartitions(*order).select("k", "t")
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId()
@@ -44,7 +50,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
 
         def pieces() -> Iterator[bytes]:
             for batch in batches:
-                keys.extend(-1 if k is None else k for k in batch.column(0).to_pylist())
+                keys.extend(map(_stored_key, batch.column(0).to_pylist()))
                 for ids in enc.encode(as_texts(batch.column(1))):
                     counts.append(len(ids) // size + 1)
                     yield ids + end
@@ -65,6 +71,16 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     return parts.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 
 
+def _stored_key(k: int | None) -> int:
+    if k == NO_KEY:
+        raise ValueError(f"document id {NO_KEY} stands for rows without an id")
+    return NO_KEY if k is None else k
+
+
+def _real_keys(stored_keys: np.ndarray) -> pa.Array:
+    return pa.array(stored_keys, pa.int64(), mask=stored_keys == NO_KEY)
+
+
 def _chain(first: bytes, rest: Iterator[bytes]) -> Iterator[bytes]:
     yield first
     yield from rest
@@ -84,7 +100,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     hi = min(n, lo + 10_000)
                     sums = [zlib.crc32(ids[offsets[i] : offsets[i + 1]].astype("<u4").tobytes()) for i in range(lo, hi)]
                     yield pa.RecordBatch.from_pydict({
-                        "doc_id": docs[lo:hi], "start": base + offsets[lo:hi], "n_tokens": np.diff(offsets[lo : hi + 1]),
+                        "doc_id": _real_keys(docs[lo:hi]), "start": base + offsets[lo:hi], "n_tokens": np.diff(offsets[lo : hi + 1]),
                         "ids_crc32": pa.array(sums, pa.int64()),
                     })
 
@@ -102,7 +118,7 @@ def read_ids(manifest: DataFrame) -> DataFrame:
                 docs = np.frombuffer(mapped(f"{part}.docs"), "<i8")
                 for lo in range(0, n, 1000):
                     hi = min(n, lo + 1000)
-                    yield pa.RecordBatch.from_pydict({"doc_id": docs[lo:hi], "ids": pa.array([ids[offsets[i] : offsets[i + 1]].astype(np.int32) for i in range(lo, hi)], pa.list_(pa.int32()))})
+                    yield pa.RecordBatch.from_pydict({"doc_id": _real_keys(docs[lo:hi]), "ids": pa.array([ids[offsets[i] : offsets[i + 1]].astype(np.int32) for i in range(lo, hi)], pa.list_(pa.int32()))})
 
     return manifest.select("part", "documents", "bytes_per_id").mapInArrow(read, "doc_id long, ids array<int>")
 
