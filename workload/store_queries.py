@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelforge.functions import numeric as nm, times as tm
+from panelforge.functions import times as tm
 from panelforge.operators import news as nw
 from panelforge.session import scratch_path
-from panelforge.sources import readers as rd, schemas, sinks as sk
+from panelforge.sources import readers as rd, sinks as sk
 from panelforge.streaming import jobs as st
 from workload import derive as dv
 from workload.registry import pick, query, tidy
