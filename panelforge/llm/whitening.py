@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from panelforge.llm.bidiagonal import EPS, decompose
+from panelforge.llm.bidiagonal import decompose
 from panelforge.llm.common import small_batches
 
 SCALE, SHIFT = 64, 1_000_000
