@@ -5,8 +5,8 @@ a new group. Similarity is 1 − edit distance / longer length (the reference be
 blocks ratio; thresholds are parameters).
 
 Scale: copies (same city, category, title, place) share one entry, so similarity is computed once per
-distinct title. Candidate titles come from a segment index: a title within d edits of another contains
-one of its d + 1 segments near the same position. Grouping is rounds over (title, day) frontiers - the
+distinct title. A block with few titles on one side compares all pairs; candidates of a crowded one come from a
+segment index: a title within d edits of another contains one of its d + 1 segments near the same position. Grouping is rounds over (title, day) frontiers - the
 earliest and latest open event of each day. A round links only the first titles of each block and day, which
 become leaders or wait, with the others: titles that all match meet a leader, not each other.
 """
@@ -36,39 +36,65 @@ def _segments(df: DataFrame, ratio: float) -> DataFrame:
     )
 
 
-def similar_titles(left: DataFrame, right: DataFrame, block: list[str], key: str, title: str, ratio: float) -> DataFrame:
-    """(a, b) of all pairs of a block with a from ``left``, b from ``right`` and a similarity of at least ``ratio``; complete by
-    pigeonhole. A title on both sides is no pair with itself."""
+#: Titles of the smaller side of a block up to which all its pairs are compared: an index makes some thousand rows of each title.
+PAIRED = 1024
+#: Titles of the right side that one part of such a block holds.
+PART = 4096
 
-    def sized(t: DataFrame) -> DataFrame:
-        return t.select(*block, key, F.col(title).alias("_s"), F.length(title).alias("_l"))
 
-    def matched(longer: DataFrame, shorter: DataFrame) -> DataFrame:
-        """(k of the longer title, k of the shorter one)."""
-        indexed = _segments(longer.withColumn("_m", F.col("_l")), ratio).select(
-            *block, F.col(key).alias("_r"), F.col("_s").alias("_rs"), "_m", "_i", F.substring("_s", F.col("_p"), F.col("_w")).alias("_seg")
-        )
-        # Lengths of the longer partner: from its own up to length / ratio, as far as they occur.
-        lengths = longer.select(F.col("_l").alias("_m")).distinct()
-        options = F.sequence(F.col("_l"), F.greatest(F.col("_l"), F.floor(F.col("_l") / ratio + F.lit(1e-9)).cast("int")))
-        placed = _segments(shorter.withColumn("_m", F.explode(options)).join(lengths, "_m", "left_semi"), ratio)
-        shift = F.col("_l") - F.col("_m")
-        behind = F.col("_d") + 1 - F.col("_i")
-        low = F.greatest(F.lit(1), F.col("_p") - (F.col("_i") - 1), F.col("_p") + shift - behind)
-        high = F.least(F.col("_l") - F.col("_w") + 1, F.col("_p") + (F.col("_i") - 1), F.col("_p") + shift + behind)
-        starts = placed.withColumns({"_low": low, "_high": high}).filter("_low <= _high")
-        probing = starts.withColumn("_at", F.explode(F.sequence("_low", "_high"))).select(
-            *block, key, "_s", "_m", "_i", F.substring("_s", F.col("_at"), F.col("_w")).alias("_seg")
-        )
-        pairs = probing.join(indexed, [*block, "_m", "_i", "_seg"]).filter(F.col(key) != F.col("_r"))
-        pairs = pairs.select("_r", key, "_s", "_rs", "_m").dropDuplicates(["_r", key])
-        similarity = F.when(F.col("_m") == 0, 1.0).otherwise(1 - F.levenshtein("_s", "_rs") / F.col("_m"))
-        return pairs.filter(similarity >= ratio - 1e-9).select("_r", key)
+def _alike(ratio: Column) -> Column:
+    """Whether titles _s and _rs, the longer of length _m, reach the ratio; the distance is counted no further than needed."""
+    edits = F.call_function("levenshtein", F.col("_s"), F.col("_rs"), _max_edits(F.col("_m"), ratio) + 1)
+    return F.when(F.col("_m") == 0, True).otherwise((edits >= 0) & (1 - edits / F.col("_m") >= ratio - 1e-9))
+
 
+def similar_titles(left: DataFrame, right: DataFrame, block: list[str], key: str, title: str, ratio: float | Column) -> DataFrame:
+    """(a, b) of all pairs of a block with a from ``left``, b from ``right`` and a similarity of at least ``ratio``, a number or a
+    column made of the block's. A title on both sides is no pair with itself. Complete: blocks with few titles on one side
+    compare all pairs, parts of the other side apart; crowded ones find them by a segment index.
+    """
+    ratio = ratio if isinstance(ratio, Column) else F.lit(float(ratio))
+    sized = lambda t: t.select(*block, key, F.col(title).alias("_s"), F.length(title).alias("_l"))
     one, two = sized(left), sized(right)
-    long = matched(one, two).select(F.col("_r").alias("a"), F.col(key).alias("b"))
-    short = matched(two, one).select(F.col(key).alias("a"), F.col("_r").alias("b"))
-    return long.unionByName(short).distinct()
+    counted = lambda t, name: t.groupBy(*block).agg(F.count(F.lit(1)).alias(name))
+    sizes = counted(one, "_n1").join(counted(two, "_n2"), block)
+    sizes = cut_lineage(sizes.select(*block, (F.least("_n1", "_n2") <= PAIRED).alias("_few"), F.ceil(F.col("_n2") / PART).cast("int").alias("_parts")))
+    few, many = sizes.filter("_few"), sizes.filter("NOT _few").select(*block)
+    paired = _compared(one.join(few, block), two.join(few, block), block, key, ratio)
+    if many.isEmpty():
+        return paired.distinct()
+    return paired.unionByName(_indexed(one.join(many, block, "left_semi"), two.join(many, block, "left_semi"), block, key, ratio)).distinct()
+
+
+def _compared(left: DataFrame, right: DataFrame, block: list[str], key: str, ratio: Column) -> DataFrame:
+    """``similar_titles`` by comparing all pairs of a block."""
+    ones = left.select(*block, F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"), F.col(key).alias("_r"), "_s", "_l")
+    twos = right.select(*block, F.pmod(F.xxhash64(key), F.col("_parts")).cast("int").alias("_part"), F.col(key).alias("_k"), F.col("_s").alias("_rs"), F.col("_l").alias("_rl"))
+    pairs = ones.join(twos, [*block, "_part"]).filter("_r != _k").withColumn("_m", F.greatest("_l", "_rl"))
+    return pairs.filter(F.least("_l", "_rl") >= F.col("_m") * ratio - 1e-6).filter(_alike(ratio)).select(F.col("_r").alias("a"), F.col("_k").alias("b"))
+
+
+def _indexed(left: DataFrame, right: DataFrame, block: list[str], key: str, ratio: Column) -> DataFrame:
+    """``similar_titles`` by pigeonhole. The longer title of a pair is indexed and the shorter one probes, so each side does
+    both; one join serves both directions."""
+    sides = left.withColumn("_left", F.lit(True)).unionByName(right.withColumn("_left", F.lit(False)))
+    indexed = _segments(sides.withColumn("_m", F.col("_l")), ratio).select(
+        *block, F.col(key).alias("_r"), F.col("_s").alias("_rs"), "_m", "_i", F.col("_left").alias("_of"), F.substring("_s", F.col("_p"), F.col("_w")).alias("_seg")
+    )
+    # Lengths of the longer partner: from its own up to length / ratio, as far as the other side has them.
+    lengths = sides.select(*block, F.col("_l").alias("_m"), (~F.col("_left")).alias("_left")).distinct()
+    options = F.sequence(F.col("_l"), F.greatest(F.col("_l"), F.floor(F.col("_l") / ratio + F.lit(1e-9)).cast("int")))
+    placed = _segments(sides.withColumn("_m", F.explode(options)).join(lengths, [*block, "_m", "_left"], "left_semi"), ratio)
+    shift = F.col("_l") - F.col("_m")
+    behind = F.col("_d") + 1 - F.col("_i")
+    low = F.greatest(F.lit(1), F.col("_p") - (F.col("_i") - 1), F.col("_p") + shift - behind)
+    high = F.least(F.col("_l") - F.col("_w") + 1, F.col("_p") + (F.col("_i") - 1), F.col("_p") + shift + behind)
+    starts = placed.withColumns({"_low": low, "_high": high}).filter("_low <= _high")
+    probing = starts.withColumn("_at", F.explode(F.sequence("_low", "_high"))).select(
+        *block, key, "_s", "_m", "_i", "_left", (~F.col("_left")).alias("_of"), F.substring("_s", F.col("_at"), F.col("_w")).alias("_seg")
+    )
+    pairs = probing.join(indexed, [*block, "_m", "_i", "_of", "_seg"]).filter(F.col(key) != F.col("_r")).filter(_alike(ratio))
+    return pairs.select(F.when(F.col("_left"), F.col(key)).otherwise(F.col("_r")).alias("a"), F.when(F.col("_left"), F.col("_r")).otherwise(F.col(key)).alias("b"))
 
 
 #: Titles of a block and day that are linked in the first round, and how that number grows.
@@ -90,19 +116,21 @@ def event_groups(
     ).withColumns({"g": F.md5(F.concat_ws("\x01", "city", "category", "title", "place")), "day": F.floor(F.col("t") / DAY)})
     shaped = cut_lineage(shaped)
     block = ["city", "category"]
-    titles = shaped.select("g", *block, "title", "place", "day").distinct()
+    # Every title meets those of its block at the strict similarity and those of its place at the lower one.
+    places = F.explode(F.array_distinct(F.array(F.lit(""), F.col("place"))))
+    titles = cut_lineage(shaped.select("g", *block, "title", "place", "day").distinct().withColumn("_place", places))
+    wanted = F.when(F.col("_place") == "", strict).otherwise(same_place)
 
     days = F.explode(F.array(F.col("day") - 1, F.col("day"), F.col("day") + 1))
     # Settled titles too: of two leaders that match an event the earlier one counts, whichever was found first.
-    other = titles.withColumn("_near", days).drop("day").distinct()
+    other = titles.withColumn("_near", days)
 
     def linked(heads: DataFrame) -> DataFrame:
         """(a, b): titles of ``heads`` with the titles they match, of the day and the days beside it."""
         first = titles.join(heads, ["g", "day"], "left_semi").withColumn("_near", F.col("day"))
-        near = similar_titles(first, other, [*block, "_near"], "g", "title", strict)
-        loose = similar_titles(first.filter("place <> ''"), other.filter("place <> ''"), [*block, "place", "_near"], "g", "title", same_place)
-        own = first.select(F.col("g").alias("a"), F.col("g").alias("b"))
-        return near.unionByName(loose).unionByName(own).distinct()
+        near = similar_titles(first, other, [*block, "_near", "_place"], "g", "title", wanted)
+        own = heads.select(F.col("g").alias("a"), F.col("g").alias("b"))
+        return near.unionByName(own).distinct()
 
     rows = shaped.select("id", "g", "t", "day")
     undecided, matches, leaders, links, known, size = rows, None, None, None, None, HEADS
@@ -117,10 +145,11 @@ def event_groups(
         rank = F.row_number().over(Window.partitionBy(*block, "day").orderBy("first"))
         heads = frontier.join(of_block, "g").withColumn("_rank", rank).filter(F.col("_rank") <= size).select("g", "day", "first")
         heads, size = cut_lineage(heads), size * GROWTH
-        new = heads.select("g", "day") if known is None else heads.select("g", "day").join(known, ["g", "day"], "left_anti")
+        # Stored, as the heads known so far are subtracted from them in every later round: plans grow by a table a round.
+        new = cut_lineage(heads.select("g", "day") if known is None else heads.select("g", "day").join(known, ["g", "day"], "left_anti"))
         if known is None or not new.isEmpty():
             found_links = linked(new)
-            links = cut_lineage(found_links if links is None else links.unionByName(found_links).distinct())
+            links = cut_lineage(found_links) if links is None else links.unionByName(cut_lineage(found_links))
             known = new if known is None else known.unionByName(new)
         earlier = frontier.select(F.col("g").alias("b"), F.col("day").alias("_day"), F.col("first").alias("_first"), F.col("last").alias("_last"))
         around = heads.join(links, heads["g"] == links["a"]).withColumn(

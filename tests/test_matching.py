@@ -317,3 +317,29 @@ def test_event_groups_with_few_heads_a_round(spark, monkeypatch, heads):
     monkeypatch.setattr(eg, "HEADS", heads)
     monkeypatch.setattr(eg, "GROWTH", 2)
     test_event_groups_match_the_sequential_rule(spark)
+
+
+def test_plans_of_event_group_rounds_do_not_grow(spark, monkeypatch):
+    """Six unlike titles of one block, one head a round: what a round links is read from a stored table."""
+    monkeypatch.setattr(eg, "HEADS", 1)
+    monkeypatch.setattr(eg, "GROWTH", 1)
+    sizes = []
+    real = eg.similar_titles
+    monkeypatch.setattr(eg, "similar_titles", lambda *a: sizes.append(len(a[0]._jdf.queryExecution().analyzed().toString())) or real(*a))
+    rows = [(i, w * 9, "hanoi", "accident", None, datetime(2024, 5, 1, i)) for i, w in enumerate(["ab ", "cd ", "ef ", "gh ", "ij ", "kl "])]
+    df = spark.createDataFrame(rows, "record_id long, title string, city string, event_category string, location_text string, event_time_start timestamp_ntz")
+    assert {r["record_id"]: r["leader"] for r in eg.event_groups(df).collect()} == {i: i for i in range(6)}
+    assert len(sizes) == 6 and max(sizes) < 1.5 * sizes[0]
+
+
+def test_crowded_blocks_use_the_index(spark, monkeypatch):
+    monkeypatch.setattr(eg, "PAIRED", 0)
+    test_similar_titles_are_complete(spark)
+    test_event_groups_match_the_sequential_rule(spark)
+
+
+def test_blocks_with_few_titles_compare_pairs(spark, monkeypatch):
+    """Parts of the other side too; no rows of an index."""
+    monkeypatch.setattr(eg, "PART", 7)
+    monkeypatch.setattr(eg, "_segments", None)
+    test_similar_titles_are_complete(spark)
