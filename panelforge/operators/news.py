@@ -32,12 +32,21 @@ def city_by_alias(text: Column, hint: Column, aliases: dict[str, list[str]]) ->
 
 #: Characters of the fragment by which a gazetteer name is looked up, and of the stretches in which a text is cut into them.
 FRAGMENT, STRETCH = 4, 512
+#: Characters of a stretch that are cut at once, as every cut counts from the start; size of the filter of fragments that are looked up.
+CUT, FILTER = 32, 1 << 18
 
 
 def _fragments(text: Column, width: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(text) - width + 1), lambda i: F.substr(text, i, width))
 
 
+def _fragment_filter(index: DataFrame, fragment: str) -> DataFrame:
+    """One row (_known): a flag for every hash value, set where a fragment has it. Of fixed size, however many there are."""
+    at = index.select(F.pmod(F.xxhash64(fragment), F.lit(FILTER)).alias("id")).distinct().withColumn("_set", F.lit(True))
+    flags = index.sparkSession.range(FILTER).join(at, "id", "left").select(F.struct("id", F.coalesce("_set", F.lit(False)).alias("_set")).alias("_f"))
+    return flags.agg(F.array_sort(F.collect_list("_f")).alias("_all")).select(F.col("_all._set").alias("_known"))
+
+
 def place_names(df: DataFrame, key: str, text: str, gazetteer: DataFrame) -> DataFrame:
     """(key, places): names of the gazetteer that the text contains, whatever their case, longest first.
 
@@ -57,8 +66,15 @@ def place_names(df: DataFrame, key: str, text: str, gazetteer: DataFrame) -> Dat
     # Places inside a long text are found from its start, so it is cut into stretches first; they overlap by a fragment.
     stretch = F.transform(F.sequence(F.lit(0), F.floor(F.length("_text") / STRETCH)), lambda i: F.substr(F.col("_text"), (i * STRETCH + 1).cast("int"), F.lit(STRETCH + FRAGMENT - 1)))
     pieces = texts.filter("_text <> ''").select(key, F.explode(stretch).alias("_s"))
-    of_width = [F.when(F.length("_s") >= w, _fragments(F.col("_s"), F.lit(w))).otherwise(F.array().cast("array<string>")) for w in widths]
-    held = pieces.select(key, F.explode(F.array_distinct(F.concat(*of_width) if of_width else F.array().cast("array<string>"))).alias("_f"))
+    none = F.array().cast("array<string>")
+
+    def fragments_of(w: int) -> Column:
+        cuts = F.transform(F.sequence(F.lit(0), F.floor((F.length("_s") - w) / CUT)), lambda i: F.substr(F.col("_s"), (i * CUT + 1).cast("int"), F.lit(CUT + w - 1)))
+        return F.when(F.length("_s") >= w, F.flatten(F.transform(cuts, lambda c: F.filter(_fragments(c, F.lit(w)), lambda f: F.get("_known", F.pmod(F.xxhash64(f), F.lit(FILTER)).cast("int")))))).otherwise(none)
+
+    # Nearly all fragments are in no name; the filter drops most of them before they become rows.
+    filtered = pieces.crossJoin(_fragment_filter(index, "_f"))
+    held = filtered.select(key, F.explode(F.array_distinct(F.concat(*map(fragments_of, widths)) if widths else none)).alias("_f"))
     maybe = held.join(index, "_f").select(key, "_low", "name", "rank").distinct().groupBy(key).agg(F.collect_list(F.struct((-F.length("_low")).alias("n"), "rank", "_low", "name")).alias("_maybe"))
     joined = texts.join(maybe, key, "left")
     inside = F.filter(F.array_sort("_maybe"), lambda p: F.contains(F.col("_text"), p["_low"]))

@@ -152,3 +152,17 @@ def test_listing_links(spark):
     assert not keep("Giao thông", "https://x.vn/giao-thong/un-tac-123456.html")
     assert not keep("Ùn tắc nghiêm trọng", "https://x.vn/")
     assert not keep("Ùn tắc nghiêm trọng", "https://x.vn/giao-thong/muc-luc.html")
+
+
+def test_gazetteer_filter_keeps_every_name(spark, monkeypatch):
+    """Names over the borders of cuts and stretches; a filter of one flag lets every fragment through and finds the same."""
+    rows = [(at, "x" * at + "Old Bridge" + "y" * 40) for at in [*range(20, 36), *range(500, 518)]] + [(-1, "Old Brid ge"), (-2, ""), (-3, "ab")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    table = spark.createDataFrame([("Old Bridge", 0), ("ab", 1), ("Far", 2)], "name string, rank int")
+    want = {at: ["Old Bridge"] if at >= 0 else ["ab"] if at == -3 else [] for at, _ in rows}
+    for size in (nw.FILTER, 1):
+        monkeypatch.setattr(nw, "FILTER", size)
+        assert {r["id"]: r["places"] for r in nw.place_names(df, "id", "t", table).collect()} == want
+    monkeypatch.undo()
+    known = nw._fragment_filter(table, "name").collect()
+    assert len(known) == 1 and len(known[0]["_known"]) == nw.FILTER and sum(known[0]["_known"]) <= 3
