@@ -343,3 +343,10 @@ def test_blocks_with_few_titles_compare_pairs(spark, monkeypatch):
     monkeypatch.setattr(eg, "PART", 7)
     monkeypatch.setattr(eg, "_segments", None)
     test_similar_titles_are_complete(spark)
+
+
+def test_rarest_first_carries_places_not_tokens(spark):
+    """Places of tokens, rarest first; as many bytes however long the tokens are."""
+    df = spark.createDataFrame([("p", ["a" * 300, "b", "c"]), ("q", ["b", "c"]), ("r", ["c"])], "vid string, tokens array<string>")
+    got = {r["vid"]: (r["tokens"], r["n"]) for r in rarest_first(df, "vid", "tokens").collect()}
+    assert got == {"p": ([0, 1, 2], 3), "q": ([1, 2], 2), "r": ([2], 1)}
