@@ -7,10 +7,7 @@ from collections.abc import Callable
 from functools import lru_cache
 from html.entities import name2codepoint
 
-import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 SPACES = r"(?U)\s+"
 TAG = r"<[^>]+>"
@@ -38,10 +35,10 @@ def collapse_spaces(value: Column) -> Column:
     return F.trim(F.regexp_replace(value, SPACES, " "))
 
 
-@pandas_udf(StringType())
-def nfc(text: pd.Series) -> pd.Series:
-    """Unicode NFC; Spark has no builtin, so whole Arrow batches go through one call."""
-    return text.str.normalize("NFC")
+def nfc(text: Column) -> Column:
+    """Unicode NFC; Spark has no builtin, so the ICU library it ships is called, row by row in the JVM."""
+    composed = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False))
+    return F.when(text.isNotNull(), composed)
 
 
 def decode_entities(value: Column) -> Column:

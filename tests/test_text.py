@@ -40,6 +40,14 @@ def test_nfc_and_folding(spark):
     assert one(spark, "Đống Đa", lambda c: tx.fold_accents(c, fold_d=False)) == "đong đa"
 
 
+def test_nfc_runs_in_the_jvm_and_keeps_every_text(spark):
+    values = [None, "", "abc", unicodedata.normalize("NFD", "Hà Nội đường"), "각 ﬁ Ω \u0344 \U0001d15e", "a\u0323\u0302\u0301 ậ\u0301"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").withColumn("n", tx.nfc(F.col("v")))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    got = {r["i"]: r["n"] for r in df.collect()}
+    assert got == {i: None if v is None else unicodedata.normalize("NFC", v) for i, v in enumerate(values)}
+
+
 def test_title_tokens_drop_stopwords(spark):
     got = one(spark, "Tai nạn của xe tải trên đường A 5", lambda c: tx.title_tokens(c, catalog.TITLE_STOPWORDS))
     assert got == ["tai", "nan", "xe", "tai", "uong"]
