@@ -522,14 +522,9 @@ def normalize_events(
 
 
 def collapse_groups(events: DataFrame, group: str = "dedup_group_id", tie: str = "record_id") -> DataFrame:
-    """Best row of every group: relevance, then severity, then the smallest id."""
-    ranked = events.groupBy(group).agg(
-        F.min_by(
-            F.struct(*[F.col(c) for c in events.columns]),
-            F.struct((-F.col("traffic_relevance_score")).alias("a"), (-F.col("severity_score")).alias("b"), F.col(tie)),
-        ).alias("_row")
-    )
-    return ranked.select("_row.*")
+    """Best row of every group: relevance, then severity, then the smallest id. Only the columns that are used are sorted and kept."""
+    best = Window.partitionBy(group).orderBy(-F.col("traffic_relevance_score"), -F.col("severity_score"), tie)
+    return events.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").drop("_rank")
 
 
 def mirror_sources(events: DataFrame, group: str, source: str = "source") -> DataFrame:

@@ -65,10 +65,10 @@ def news_build(raw: DataFrame, order: list[str], aliases=catalog.NEWS_CITY_ALIAS
 def events_build(
     raw: DataFrame, as_of: Column, rules: dict = catalog.EVENT_RULES, aliases=catalog.EVENT_CITY_ALIASES
 ) -> tuple[DataFrame, DataFrame]:
-    """(normalized events with their group, one best row per group)."""
+    """(normalized events with their group, one best row per group). Events and groups are stored once, as both tables read them."""
     normalized = cut_lineage(nw.normalize_events(raw, as_of, rules, aliases))
-    groups = event_groups(normalized, "record_id")
-    grouped = normalized.join(groups.select("record_id", "dedup_group_id"), "record_id")
+    groups = cut_lineage(event_groups(normalized, "record_id").select("record_id", "dedup_group_id"))
+    grouped = normalized.join(groups, "record_id")
     grouped = grouped.withColumn("event_id", F.col("dedup_group_id"))
     return grouped, nw.collapse_groups(grouped)
 

@@ -350,3 +350,30 @@ def test_rarest_first_carries_places_not_tokens(spark):
     df = spark.createDataFrame([("p", ["a" * 300, "b", "c"]), ("q", ["b", "c"]), ("r", ["c"])], "vid string, tokens array<string>")
     got = {r["vid"]: (r["tokens"], r["n"]) for r in rarest_first(df, "vid", "tokens").collect()}
     assert got == {"p": ([0, 1, 2], 3), "q": ([1, 2], 2), "r": ([2], 1)}
+
+
+def test_collapsing_groups_sorts_only_the_columns_that_are_used(spark):
+    nan = float("nan")
+    rows = [(1, "a", 0.5, 1), (2, "a", 0.9, 1), (3, "a", 0.9, 3), (4, "a", 0.9, 3), (5, "b", 0.9, 1), (6, "b", None, 1), (7, "c", nan, 5), (8, "c", 0.1, 1), (9, None, 0.2, 1), (10, None, 0.3, 1)]
+    events = spark.createDataFrame(rows, "record_id long, dedup_group_id string, traffic_relevance_score double, severity_score int")
+    events = events.withColumn("body", F.repeat(F.col("record_id").cast("string"), 50))
+    best = nw.collapse_groups(events)
+    assert best.columns == events.columns
+    assert {r["record_id"] for r in best.collect()} == {3, 6, 8, 10}
+    assert "repeat" not in best.select("record_id")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_event_report_stores_no_texts(spark, monkeypatch, tmp_path):
+    from panelforge.plans import builds
+    from workload import build_queries as bq
+
+    pages = [(i, f"<title>Tin {i % 3} abc</title><p>{'x ' * 40}{i}</p>", f"https://a.vn/{i}") for i in range(12)]
+    spark.createDataFrame(pages, "page_id long, html string, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    stored = []
+    cut = builds.cut_lineage
+    for module in (builds, bq):
+        monkeypatch.setattr(module, "cut_lineage", lambda df: stored.append(df.columns) or cut(df))
+    value = {r["metric"]: r["value"] for r in bq.event_quality_report(spark, str(tmp_path)).collect()}
+    assert value["raw_records"] == "12"
+    assert int(value["events_after_semantic_dedup"]) + int(value["events_removed_by_semantic_dedup"]) == 12
+    assert sum("summary_text" in columns for columns in stored) == 1

@@ -75,7 +75,9 @@ REPORT = [
 @query("event_quality_report", f"WITH RECURSIVE {EVENTS} " + " UNION ALL ".join(REPORT))
 def event_quality_report(spark, sf):
     grouped, best = _events(spark, sf)
-    return nw.event_report(dv.raw_news(spark, sf), cut_lineage(grouped), cut_lineage(best))
+    # Stored without the texts, which no figure of the report reads.
+    facts = cut_lineage(grouped.select("event_category", "city", "severity_score", "event_time_confidence", "is_relevant_for_traffic_model"))
+    return nw.event_report(dv.raw_news(spark, sf), facts, cut_lineage(best.select("is_relevant_for_traffic_model")))
 
 
 @query("silver_matched", f"WITH {dv.PANEL}, {dv.WEATHER}{NEAREST.replace('180 MINUTES', '60 MINUTES')} SELECT {pick(KEYS + ' matched_cell', 'temp')}, year(time_bucket) AS _year, month(time_bucket) AS _month, day(time_bucket) AS _day FROM near")
