@@ -377,3 +377,20 @@ def test_event_report_stores_no_texts(spark, monkeypatch, tmp_path):
     assert value["raw_records"] == "12"
     assert int(value["events_after_semantic_dedup"]) + int(value["events_removed_by_semantic_dedup"]) == 12
     assert sum("summary_text" in columns for columns in stored) == 1
+
+
+def test_events_build_stores_groups_and_leaves_texts_out_of_the_best_rows(spark, monkeypatch):
+    from panelforge.plans import builds
+
+    text = "string"
+    names = ["external_id", "source", "provider", "title", "summary", "source_url", "published_at", "city_hint", "ingestion_time"]
+    row = lambda i: (i, f"x{i}", "s", "rss", f"Tin {i % 2} abc", "y " * 30, f"https://a.vn/{i}", f"2024-01-01T0{i}:00:00Z", "Hà Nội", None)
+    raw = spark.createDataFrame([row(i) for i in range(6)], "record_id long, " + ", ".join(f"{n} {text}" for n in names))
+    stored = []
+    cut = builds.cut_lineage
+    monkeypatch.setattr(builds, "cut_lineage", lambda df: stored.append(df.columns) or cut(df))
+    grouped, best = builds.events_build(raw, F.lit("2024-03-01").cast("timestamp"))
+    assert ["record_id", "dedup_group_id"] in stored
+    assert grouped.count() == 6 and "summary_text" in best.columns
+    plan = best.select("city", "event_time_start")._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "summary_text" in line and "LogicalRDD" not in line]
