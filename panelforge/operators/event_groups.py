@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelforge.functions import text as tx, times as tm
-from panelforge.session import cut_lineage
+from panelforge.session import cut_lineage, sorted_join
 
 DAY = 86_400_000_000
 
@@ -57,9 +57,9 @@ def similar_titles(left: DataFrame, right: DataFrame, block: list[str], key: str
     sized = lambda t: t.select(*block, key, F.col(title).alias("_s"), F.length(title).alias("_l"))
     one, two = sized(left), sized(right)
     counted = lambda t, name: t.groupBy(*block).agg(F.count(F.lit(1)).alias(name))
-    sizes = counted(one, "_n1").join(counted(two, "_n2"), block)
+    sizes = counted(one, "_n1").join(sorted_join(counted(two, "_n2")), block)
     sizes = cut_lineage(sizes.select(*block, (F.least("_n1", "_n2") <= PAIRED).alias("_few"), F.ceil(F.col("_n2") / PART).cast("int").alias("_parts")))
-    few, many = sizes.filter("_few"), sizes.filter("NOT _few").select(*block)
+    few, many = sorted_join(sizes.filter("_few")), sorted_join(sizes.filter("NOT _few").select(*block))
     paired = _compared(one.join(few, block), two.join(few, block), block, key, ratio)
     if many.isEmpty():
         return paired.distinct()
@@ -70,7 +70,10 @@ def _compared(left: DataFrame, right: DataFrame, block: list[str], key: str, rat
     """``similar_titles`` by comparing all pairs of a block."""
     ones = left.select(*block, F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"), F.col(key).alias("_r"), "_s", "_l")
     twos = right.select(*block, F.pmod(F.xxhash64(key), F.col("_parts")).cast("int").alias("_part"), F.col(key).alias("_k"), F.col("_s").alias("_rs"), F.col("_l").alias("_rl"))
-    pairs = ones.join(twos, [*block, "_part"]).filter("_r != _k").withColumn("_m", F.greatest("_l", "_rl"))
+    # A number of tasks, not of bytes: a few rows make many pairs, and partitions of little data would be put together.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lambda t: t.repartition(tasks, *block, "_part")
+    pairs = dealt(ones).join(sorted_join(dealt(twos)), [*block, "_part"]).filter("_r != _k").withColumn("_m", F.greatest("_l", "_rl"))
     return pairs.filter(F.least("_l", "_rl") >= F.col("_m") * ratio - 1e-6).filter(_alike(ratio)).select(F.col("_r").alias("a"), F.col("_k").alias("b"))
 
 
@@ -84,7 +87,7 @@ def _indexed(left: DataFrame, right: DataFrame, block: list[str], key: str, rati
     # Lengths of the longer partner: from its own up to length / ratio, as far as the other side has them.
     lengths = sides.select(*block, F.col("_l").alias("_m"), (~F.col("_left")).alias("_left")).distinct()
     options = F.sequence(F.col("_l"), F.greatest(F.col("_l"), F.floor(F.col("_l") / ratio + F.lit(1e-9)).cast("int")))
-    placed = _segments(sides.withColumn("_m", F.explode(options)).join(lengths, [*block, "_m", "_left"], "left_semi"), ratio)
+    placed = _segments(sides.withColumn("_m", F.explode(options)).join(sorted_join(lengths), [*block, "_m", "_left"], "left_semi"), ratio)
     shift = F.col("_l") - F.col("_m")
     behind = F.col("_d") + 1 - F.col("_i")
     low = F.greatest(F.lit(1), F.col("_p") - (F.col("_i") - 1), F.col("_p") + shift - behind)
@@ -93,7 +96,7 @@ def _indexed(left: DataFrame, right: DataFrame, block: list[str], key: str, rati
     probing = starts.withColumn("_at", F.explode(F.sequence("_low", "_high"))).select(
         *block, key, "_s", "_m", "_i", "_left", (~F.col("_left")).alias("_of"), F.substring("_s", F.col("_at"), F.col("_w")).alias("_seg")
     )
-    pairs = probing.join(indexed, [*block, "_m", "_i", "_of", "_seg"]).filter(F.col(key) != F.col("_r")).filter(_alike(ratio))
+    pairs = probing.join(sorted_join(indexed), [*block, "_m", "_i", "_of", "_seg"]).filter(F.col(key) != F.col("_r")).filter(_alike(ratio))
     return pairs.select(F.when(F.col("_left"), F.col(key)).otherwise(F.col("_r")).alias("a"), F.when(F.col("_left"), F.col("_r")).otherwise(F.col(key)).alias("b"))
 
 
@@ -127,7 +130,7 @@ def event_groups(
 
     def linked(heads: DataFrame) -> DataFrame:
         """(a, b): titles of ``heads`` with the titles they match, of the day and the days beside it."""
-        first = titles.join(heads, ["g", "day"], "left_semi").withColumn("_near", F.col("day"))
+        first = titles.join(sorted_join(heads), ["g", "day"], "left_semi").withColumn("_near", F.col("day"))
         near = similar_titles(first, other, [*block, "_near", "_place"], "g", "title", wanted)
         own = heads.select(F.col("g").alias("a"), F.col("g").alias("b"))
         return near.unionByName(own).distinct()
@@ -143,32 +146,32 @@ def event_groups(
             break
         # The earliest open titles of each block and day take part; more in every round. Only they are linked.
         rank = F.row_number().over(Window.partitionBy(*block, "day").orderBy("first"))
-        heads = frontier.join(of_block, "g").withColumn("_rank", rank).filter(F.col("_rank") <= size).select("g", "day", "first")
+        heads = frontier.join(sorted_join(of_block), "g").withColumn("_rank", rank).filter(F.col("_rank") <= size).select("g", "day", "first")
         heads, size = cut_lineage(heads), size * GROWTH
         # Stored, as the heads known so far are subtracted from them in every later round: plans grow by a table a round.
-        new = cut_lineage(heads.select("g", "day") if known is None else heads.select("g", "day").join(known, ["g", "day"], "left_anti"))
+        new = cut_lineage(heads.select("g", "day") if known is None else heads.select("g", "day").join(sorted_join(known), ["g", "day"], "left_anti"))
         if known is None or not new.isEmpty():
             found_links = linked(new)
             links = cut_lineage(found_links) if links is None else links.unionByName(cut_lineage(found_links))
             known = new if known is None else known.unionByName(new)
         earlier = frontier.select(F.col("g").alias("b"), F.col("day").alias("_day"), F.col("first").alias("_first"), F.col("last").alias("_last"))
-        around = heads.join(links, heads["g"] == links["a"]).withColumn(
+        around = heads.join(sorted_join(links), heads["g"] == links["a"]).withColumn(
             "_day", F.explode(F.array(F.col("day") - 1, F.col("day")))
         )
         blocks = F.when(F.col("_day") == F.col("day"), F.col("_first") < F.col("first")).otherwise(
             F.col("_last") >= F.col("first.t") - reach
         )
-        blocked = around.join(earlier, ["b", "_day"]).filter(blocks).select("g", "day").distinct()
-        found = cut_lineage(heads.join(blocked, ["g", "day"], "left_anti").select("g", "day", "first"))
+        blocked = around.join(sorted_join(earlier), ["b", "_day"]).filter(blocks).select("g", "day").distinct()
+        found = cut_lineage(heads.join(sorted_join(blocked), ["g", "day"], "left_anti").select("g", "day", "first"))
         leaders = found if leaders is None else leaders.unionByName(found)
-        targets = found.join(links, found["g"] == links["a"]).select(
+        targets = found.join(sorted_join(links), found["g"] == links["a"]).select(
             F.col("b").alias("g"), F.col("first").alias("_lead"), F.explode(F.array("day", F.col("day") + 1)).alias("day")
         )
         after = (F.struct("t", "id") > F.col("_lead")) & (F.col("t") <= F.col("_lead.t") + reach)
-        hit = cut_lineage(rows.join(targets, ["g", "day"]).filter(after).select("id", "_lead"))
+        hit = cut_lineage(rows.join(sorted_join(targets), ["g", "day"]).filter(after).select("id", "_lead"))
         matches = hit if matches is None else matches.unionByName(hit)
         settled = found.select(F.col("first.id").alias("id")).unionByName(hit.select("id")).distinct()
-        undecided = cut_lineage(undecided.join(settled, "id", "left_anti"))
+        undecided = cut_lineage(undecided.join(sorted_join(settled), "id", "left_anti"))
     best = matches.groupBy("id").agg(F.min("_lead").alias("_lead"))
     own = leaders.select(F.col("first.id").alias("id"), F.col("first").alias("_lead"))
     assigned = own.unionByName(best)
@@ -176,6 +179,6 @@ def event_groups(
     label = F.concat_ws(
         "|", "city", "category", "title", F.date_format(F.timestamp_micros("_t"), "yyyy-MM-dd"), F.col("_lead.id").cast("string")
     )
-    return assigned.join(titles, F.col("_lead.id") == F.col("_id")).select(
+    return assigned.join(sorted_join(titles), F.col("_lead.id") == F.col("_id")).select(
         F.col("id").alias(key), F.col("_lead.id").alias("leader"), F.sha1(label).alias("dedup_group_id")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelforge import catalog
 from panelforge.operators import features as ft, joins as jn, news as nw, panel as pn, quality as ql, timeseries as ts
 from panelforge.operators.event_groups import event_groups
-from panelforge.session import cut_lineage
+from panelforge.session import cut_lineage, sorted_join
 
 
 def panel_build(traffic: DataFrame, bucket_minutes: int = 5) -> DataFrame:
@@ -68,7 +68,7 @@ def events_build(
     """(normalized events with their group, one best row per group). Events and groups are stored once, as both tables read them."""
     normalized = cut_lineage(nw.normalize_events(raw, as_of, rules, aliases))
     groups = cut_lineage(event_groups(normalized, "record_id").select("record_id", "dedup_group_id"))
-    grouped = normalized.join(groups, "record_id")
+    grouped = normalized.join(sorted_join(groups), "record_id")
     grouped = grouped.withColumn("event_id", F.col("dedup_group_id"))
     return grouped, nw.collapse_groups(grouped)
 

@@ -394,3 +394,14 @@ def test_events_build_stores_groups_and_leaves_texts_out_of_the_best_rows(spark,
     assert grouped.count() == 6 and "summary_text" in best.columns
     plan = best.select("city", "event_time_start")._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.splitlines() if "summary_text" in line and "LogicalRDD" not in line]
+
+
+def test_event_groups_plan_no_broadcasts(spark):
+    rows = [(i, "hanoi", "flood", f"nước ngập đường số {i % 3}", f"p{i % 2}", f"2024-01-0{1 + i % 3} 08:00:00") for i in range(12)]
+    events = spark.createDataFrame(rows, "record_id long, city string, event_category string, title string, location_text string, at string").withColumn("event_time_start", F.col("at").cast("timestamp"))
+    grouped = eg.event_groups(events)
+    titles = events.select("city", "record_id", "title")
+    pairs = eg.similar_titles(titles, titles, ["city"], "record_id", "title", 0.8)
+    for frame in (grouped, pairs):
+        # The adaptive plan is final once the rows were collected.
+        assert frame.collect() and "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
