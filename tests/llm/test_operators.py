@@ -297,6 +297,23 @@ def test_spelling_is_a_distribution():
     assert mixing_lm.spelled([b"then"], tables, mixer)[0] > mixing_lm.spelled([b"zqxv"], tables, mixer)[0]
 
 
+def test_a_half_byte_is_hashed_once(monkeypatch):
+    words = [b"the", b"then", b"other", b"on", b"a"]
+    rng = np.random.default_rng(0)
+    tables = {k: rng.integers(0, 9, 2 << bits).astype(np.uint32) for k, bits in mixing_lm.ORDERS.items()}
+    mixer, expected = mixing_lm.Mixer(), np.zeros(len(words))
+    for rows, matrix in mixing_lm.by_length(words):
+        for i, bit, salt, node in mixing_lm.decisions(matrix):
+            x, seen = mixing_lm.inputs(tables, mixing_lm.contexts(matrix), bit, salt, node, 0)
+            p = mixer.probability(x, seen, mixing_lm.place_gates(bit.shape, i).ravel())
+            expected[rows] += np.log2(np.where(bit.ravel(), p, 1 - p)).reshape(bit.shape).sum(axis=1)
+    calls, lines = [], mixing_lm.lines
+    monkeypatch.setattr(mixing_lm, "lines", lambda *a: calls.append(1) or lines(*a))
+    assert (mixing_lm.spelled(words, tables, mixer) == expected).all()
+    lengths = len({len(w) for w in words})
+    assert len(calls) == 2 * lengths * len(mixing_lm.ORDERS)
+
+
 def test_matches_look_back_within_a_text():
     rng = np.random.default_rng(0)
     parts = [rng.integers(0, 4, n).tolist() for n in (1, 5, 30, 2, 40)]
