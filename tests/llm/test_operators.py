@@ -297,6 +297,20 @@ def test_spelling_is_a_distribution():
     assert mixing_lm.spelled([b"then"], tables, mixer)[0] > mixing_lm.spelled([b"zqxv"], tables, mixer)[0]
 
 
+def test_a_single_byte_predicts_the_next():
+    """After q comes u: only the last byte tells, as no longer context of the asked word was seen."""
+    rng = np.random.default_rng(0)
+    letters = np.frombuffer(b"bcdfghjklm", np.uint8)
+    words = [bytes(rng.choice(letters, 5)) + b"qu" for _ in range(3000)]
+    tables = {k: np.zeros(2 << bits, np.uint32) for k, bits in mixing_lm.ORDERS.items()}
+    for k in tables:
+        mixing_lm.count_order(words, k, tables[k])
+    mixer = mixing_lm.Mixer()
+    mixing_lm.learn_words(words, tables, mixer, np.random.default_rng(0))
+    known, other = mixing_lm.spelled([b"zzzzzqu", b"zzzzzqb"], tables, mixer)
+    assert 1 in mixing_lm.ORDERS and known > other + 4
+
+
 def test_a_half_byte_is_hashed_once(monkeypatch):
     words = [b"the", b"then", b"other", b"on", b"a"]
     rng = np.random.default_rng(0)
