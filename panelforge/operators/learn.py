@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelforge.functions import numeric as nm, times as tm
 from panelforge.operators import quality as ql
+from panelforge.operators.sparse_forest import SparseForestRegressor
 
 # Model inputs of the panel.
 MODEL_FEATURES = [
@@ -187,8 +188,8 @@ def forest(numeric: list[str], categorical: list[str], target: str, trees: int =
         stages.append(OneHotEncoder(inputCols=[f"{n}_i" for n in categorical], outputCols=[f"{n}_v" for n in categorical], handleInvalid="keep"))
     inputs = [f"{n}_f" for n in numeric] + [f"{n}_v" for n in categorical]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
-    stages.append(RandomForestRegressor(labelCol=target, numTrees=trees, minInstancesPerNode=leaf, maxDepth=8,
-                                        featureSubsetStrategy="onethird", seed=seed))
+    # Spark's own forest holds a number per slot and row.
+    stages.append(SparseForestRegressor(target, len(numeric), trees=trees, leaf=leaf, depth=8, seed=seed))
     return Pipeline(stages=stages)
 
 
