@@ -343,6 +343,88 @@ def test_matches_look_back_within_a_text():
     assert list(zip(*(x.tolist() for x in got))) == expected
 
 
+def word_level(texts):
+    """(numbers of words, positions, words, counts, tables as read) of texts of words, all of them in training."""
+    index, codes, ends = {}, [], [0]
+    for t in texts:
+        codes += [index.setdefault(w, len(index)) for w in [*t, b""]]
+        ends.append(len(codes))
+    codes, ends = np.array(codes, np.int32), np.array(ends)
+    total = np.bincount(codes)
+    level = mixing_lm.levels(total)
+    sizes, uses = np.bincount(level, minlength=mixing_lm.LEVELS), np.bincount(level, total, mixing_lm.LEVELS).astype(int)
+    paths = mixing_lm.Paths({0: sizes}, uses, int((total == 1).sum()))
+    rows = np.stack([total, paths.of(0, total), np.zeros(len(total), "<i8"), total])
+    words = mixing_lm.BlockWords(rows, [len(codes)], len(codes) + 0.5 * len(total))
+    at = mixing_lm.Positions(codes, ends, words)
+    counts = {order: np.zeros(2 << bits, np.uint32) for order, bits in {**mixing_lm.WORD_ORDERS, mixing_lm.MATCHED: mixing_lm.MATCHED_BITS}.items()}
+    mixing_lm.count_words(at, np.arange(len(codes)), counts)
+    mixing_lm.count_uses(words.path, total[None, :], counts)
+    return index, at, words, counts, {order: mixing_lm.as_read(c.reshape(-1, 2)) for order, c in counts.items()}
+
+
+def test_every_token_of_a_text_is_counted():
+    """Each use of a word adds its decisions in every context, not each distinct word once."""
+    rng = np.random.default_rng(0)
+    texts = [[b"w%d" % min(w, 40) for w in rng.zipf(1.4, n)] for n in (300, 1, 0, 500)]
+    index, at, words, counts, _ = word_level(texts)
+    use = Counter(w for t in texts for w in [*t, b""])
+    path = {w: bin(words.path[i])[3:] for w, i in index.items()}
+    decisions = sum(len(path[w]) * n for w, n in use.items())
+    assert all(counts[order].sum() == decisions for order in mixing_lm.WORD_ORDERS) and decisions > 5 * len(use)
+    assert len({path[w] for w, n in use.items() if n > 1}) == sum(n > 1 for n in use.values())
+    assert len({path[w] for w, n in use.items() if n == 1}) <= 1
+    # By hand: after one word, how often each decision at the start of a path went which way.
+    before, first = [], []
+    for t in texts:
+        for a, b in zip(t, [*t[1:], b""]):
+            if a == b"w1":
+                first.append(int(path[b][0]))
+    line = mixing_lm.lines(np.array([words.path[index[b"w1"]]]).astype(np.uint64) * mixing_lm._MULTIPLY, np.ones(1, np.uint64), mixing_lm.WORD_ORDERS[1])[0] | 1
+    assert counts[1][2 * line : 2 * line + 2].tolist() == [first.count(0), first.count(1)]
+
+
+def test_words_after_a_text_are_a_distribution():
+    """After the same words, the chances of all words with a path of their own and of the escape add up to one."""
+    rng = np.random.default_rng(1)
+    # Four words used 64 times, eight used 8 times, sixteen used 2 times: no number on a path is left over.
+    pool = [b"a%d" % i for i in range(4)] * 64 + [b"b%d" % i for i in range(8)] * 8 + [b"c%d" % i for i in range(16)] * 2 + [b"once"]
+    rng.shuffle(pool)
+    texts = [pool[i : i + 40] for i in range(0, len(pool), 40)]
+    texts += [[]] * (16 - len(texts))  # the end of a text is the only word used 16 to 31 times
+    index, at, words, _, tables = word_level(texts)
+    mixer = mixing_lm.WordMixer()
+    mixing_lm.learn_texts(at, np.arange(len(at.path)), tables, mixer, rng)
+    start = [index[w] for w in texts[0][:12]]
+    total = 0.0
+    for path in sorted(set(words.path.tolist())):
+        word = int(np.flatnonzero(words.path == path)[0])
+        asked = mixing_lm.Positions(np.array([*start, word], np.int32), np.array([0, 13]), words)
+        total += 10 ** mixing_lm.predicted(asked, words, tables, mixer)[-1]
+    kraft = sum(2.0 ** -(int(p).bit_length() - 1) for p in set(words.path.tolist()))
+    assert abs(kraft - 1) < 1e-9 and abs(total - 1) < 1e-4
+
+
+def test_known_words_are_predicted_from_the_words_before(spark):
+    """All words of the asked texts stand in training texts, equally often: only what stood before them tells them apart."""
+    rng = np.random.default_rng(2)
+    pairs = [(f"left{i}", f"right{i}") for i in range(40)]
+    said = lambda: " ".join(" ".join(pairs[i]) for i in rng.permutation(40)[:20])
+    rows = [(i, said(), True) for i in range(300)]
+    whole = rng.permutation(40)
+    rows.append((1000, " ".join(" ".join(pairs[i]) for i in whole), False))
+    rows.append((1001, " ".join(f"{pairs[i][0]} {pairs[j][1]}" for i, j in zip(whole, np.roll(whole, 1))), False))
+    rows += [(1002, "", False), (1003, None, False)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learns boolean")
+    got = {r["doc_id"]: r for r in mixing_lm.score_texts(df, df["learns"]).collect()}
+    assert got[1000]["n_known"] == got[1001]["n_known"] == 81 and abs(got[1000]["base_score"] - got[1001]["base_score"]) < 1e-9
+    assert got[1000]["score"] > got[1001]["score"] + 40 and got[1000]["score"] > got[1000]["base_score"] + 30
+    size = {i: len(t.encode()) if t else 0 for i, t, _ in rows}
+    for i, r in got.items():
+        assert (r["bits_per_byte"] is None) if not size[i] else abs(r["bits_per_byte"] + r["score"] * np.log2(10) / size[i]) < 1e-9
+    assert len(got) == len(rows)
+
+
 def test_quality_rules_equal_their_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
