@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from panelforge.llm import (
-    common, embed_dedup, mixing_lm, near_text, packing, quality_rules, quality_sampling, queries, simhash, token_files, toxicity, url_rules, word_bpe,
+    common, embed_dedup, mixing_lm, near_text, packing, quality_rules, quality_sampling, queries, simhash, token_files, toxicity, url_rules, word_blocks, word_bpe,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -405,6 +405,17 @@ def test_words_after_a_text_are_a_distribution():
     assert abs(kraft - 1) < 1e-9 and abs(total - 1) < 1e-4
 
 
+def test_texts_are_taken_some_at_a_time(spark, odd, monkeypatch):
+    blocks = word_blocks.write_blocks(odd, lambda: mixing_lm.tokens, group=mixing_lm.F.lit(0), groups=1)
+    names = [r["block"] for r in blocks.words.select("block").distinct().collect()]
+    monkeypatch.setattr(mixing_lm, "HELD", 50)
+    for block in names:
+        whole = [(k, c[a:b].tolist(), g, n) for keys, e, c, gs, ns in word_blocks.texts_with_groups(blocks.folder, block) for k, a, b, g, n in zip(keys.to_pylist(), e, e[1:], gs, ns)]
+        parts = list(mixing_lm.pieces(blocks.folder, block))
+        assert [(k, c[a:b].tolist(), g, n) for keys, e, c, gs, ns in parts for k, a, b, g, n in zip(keys.to_pylist(), e, e[1:], gs, ns)] == whole
+        assert all(len(c) <= 50 or len(keys) == 1 for keys, _, c, _, _ in parts)
+
+
 def test_known_words_are_predicted_from_the_words_before(spark):
     """All words of the asked texts stand in training texts, equally often: only what stood before them tells them apart."""
     rng = np.random.default_rng(2)
